@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import common, packing, token_counts, warc
+from marlstone.llm import common, packing, quality, secrets, token_counts, warc
 
 BYTE_BPE, BYTE_BPE_RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
@@ -26,6 +26,16 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE_RANKS), public_tokenizers.PATTERN)
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = secrets.versions(table(spark, sf_dir, "documents"))
+    ledger, _ = common.stored(spark, secrets.scan(history), "ledger")
+    return secrets.digest(secrets.findings(history, ledger))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
@@ -33,6 +43,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
+    "op7_secrets": op7_secrets,
+    "op9_quality": op9_quality,
     "op10_token_counts": op10_token_counts,
 }
 
