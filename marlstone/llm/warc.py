@@ -161,7 +161,7 @@ def _strip(value: bytes | None) -> str | None:
     return None if value is None else value.decode("utf-8", "replace").strip("<>")
 
 
-def read(spark: SparkSession, path: str, range_bytes: int = 32 << 20, keep_payload: bool = True) -> DataFrame:
+def read(spark: SparkSession, path: str, range_bytes: int = 8 << 20, keep_payload: bool = True, most_tasks: int = 100_000) -> DataFrame:
     """One row per record of the archives below ``path`` (see RECORD_SCHEMA): its file and
     position, type, ids, target, and its payload's size and bare base32 SHA-1. Both are
     computed from a response's payload; for a revisit they are what its head says of the
@@ -170,7 +170,9 @@ def read(spark: SparkSession, path: str, range_bytes: int = 32 << 20, keep_paylo
     """
     files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "length")
     ranges = files.select("path", "length", F.explode(F.sequence(F.lit(0), F.col("length") - 1, F.lit(range_bytes))).alias("start"))
-    ranges = ranges.select("path", "start", F.least(F.col("start") + range_bytes, "length").alias("end")).repartition("path", "start")
+    ranges = ranges.select("path", "start", F.least(F.col("start") + range_bytes, "length").alias("end"))
+    # rows this small would be coalesced into one task; a stated number of partitions is not
+    ranges = ranges.repartition(max(1, min(ranges.count(), most_tasks)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split(" ")[0] for x in RECORD_SCHEMA.split(", ")]
