@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import common, packing, quality, secrets, token_counts, warc
+from marlstone.llm import common, packing, pii, quality, secrets, token_counts, toxicity, warc
 
 BYTE_BPE, BYTE_BPE_RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
@@ -26,12 +27,27 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE_RANKS), public_tokenizers.PATTERN)
 
 
+@functools.cache
+def pii_tagger() -> pii.Tagger:
+    """Trained once per driver process; the same from the same seeds."""
+    return pii.train(pii.labelled_examples())
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"), pii_tagger())
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = secrets.versions(table(spark, sf_dir, "documents"))
     ledger, _ = common.stored(spark, secrets.scan(history), "ledger")
     return secrets.digest(secrets.findings(history, ledger))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,7 +59,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
+    "op6_pii": op6_pii,
     "op7_secrets": op7_secrets,
+    "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_token_counts": op10_token_counts,
 }
