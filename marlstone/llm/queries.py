@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import common, packing, pii, quality, secrets, token_counts, toxicity, warc
+from marlstone.llm import common, jaccard_join, packing, pii, quality, secrets, token_counts, toxicity, warc
 
 BYTE_BPE, BYTE_BPE_RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
@@ -27,6 +27,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE_RANKS), public_tokenizers.PATTERN)
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @functools.cache
 def pii_tagger() -> pii.Tagger:
     """Trained once per driver process; the same from the same seeds."""
@@ -59,6 +63,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
+    "op3_jaccard_join": op3_jaccard_join,
     "op6_pii": op6_pii,
     "op7_secrets": op7_secrets,
     "op8_toxicity": op8_toxicity,
