@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marlstone.llm import common, jaccard_join, packing, pii, quality, secrets, token_counts, toxicity, warc
+from marlstone.llm import common, hamming_topk, jaccard_join, packing, pii, quality, secrets, token_counts, toxicity, warc
 
 BYTE_BPE, BYTE_BPE_RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
@@ -31,6 +32,11 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return hamming_topk.top_k(rows, hamming_topk.sign_code(F.col("embedding")), F.col("vec_id") % 100 == 0, k=10)
+
+
 @functools.cache
 def pii_tagger() -> pii.Tagger:
     """Trained once per driver process; the same from the same seeds."""
@@ -64,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_hamming_topk": op4_hamming_topk,
     "op6_pii": op6_pii,
     "op7_secrets": op7_secrets,
     "op8_toxicity": op8_toxicity,
@@ -83,4 +90,20 @@ SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, payload_digest
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM d""",
+    "op3_jaccard_join": r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+  ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[CAST(i AS BIGINT) : CAST(i + 4 AS BIGINT)], ' ')) END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, (SELECT min(other) FROM reach r WHERE r.doc_id = d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id""",
+    "op4_hamming_topk": """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings WHERE len(embedding) > 0),
+d AS (SELECT q.vec_id AS query_id, r.vec_id AS neighbor_id, CAST(list_sum(list_transform(range(1, len(q.bits) + 1), lambda i: abs(q.bits[CAST(i AS BIGINT)] - r.bits[CAST(i AS BIGINT)]))) AS INTEGER) AS distance
+  FROM v q JOIN v r ON q.vec_id <> r.vec_id WHERE q.vec_id % 100 = 0),
+o AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank, neighbor_id, distance FROM d)
+SELECT query_id, rank, neighbor_id, distance FROM o WHERE rank <= 10""",
 }
