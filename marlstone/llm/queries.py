@@ -9,9 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import common, hamming_topk, jaccard_join, packing, pii, quality, secrets, token_counts, toxicity, warc
+from marlstone.llm import common, hamming_topk, jaccard_join, packing, pii, quality, secrets, sentencepiece_lattice, token_counts, toxicity, warc
 
-BYTE_BPE, BYTE_BPE_RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+BYTE_BPE, BYTE_BPE_RANKS, PIECES = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op4_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_topk.top_k(rows, hamming_topk.sign_code(F.col("embedding")), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = sentencepiece_lattice.Model.load(public_tokenizers.path(PIECES))
+    return sentencepiece_lattice.digest(sentencepiece_lattice.encode(table(spark, sf_dir, "documents"), model), model)
+
+
 @functools.cache
 def pii_tagger() -> pii.Tagger:
     """Trained once per driver process; the same from the same seeds."""
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_hamming_topk": op4_hamming_topk,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_pii": op6_pii,
     "op7_secrets": op7_secrets,
     "op8_toxicity": op8_toxicity,
