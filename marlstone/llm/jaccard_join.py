@@ -370,3 +370,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = profiles.select("doc_id", "n", F.when(F.col("n") > 0, F.col("s1")).alias("s1"), F.when(F.col("n") > 0, F.col("s2")).alias("s2"))
     out = rows.join(of_class, ["s1", "s2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+    """The rows of ``docs`` whose id is their component's, with all their columns: one row
+    of each group, the first of any that repeat its id. Rows without an id stay unless they
+    copy one that has an id."""
+    found = near_duplicates(docs, id_col, text_col, **params)
+    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    named = docs.where(F.col(f"`{id_col}`").isNotNull()).join(first, F.col(f"`{id_col}`") == F.col("kept_id"), "left_semi").dropDuplicates([id_col])
+    unnamed = docs.where(F.col(f"`{id_col}`").isNull())
+    return named.unionByName(unnamed)

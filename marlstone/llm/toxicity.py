@@ -209,3 +209,14 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: s
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
 
     return map_arrow(rows, run, "doc_id bigint, held_out boolean, score double, predicted int")
+
+
+def keep(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text_col):
+            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            yield batch.filter(pa.array([lexicon.score(t or "") < threshold for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
