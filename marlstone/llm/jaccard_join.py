@@ -29,7 +29,10 @@ from pyspark.sql import functions as F
 from marlstone.llm.common import ids_and_texts, map_arrow, remove, slices, stored
 from marlstone.llm.components import components
 
-WORDS, GROUPS = 5, 128
+WORDS = 5
+#: Hashes per group, about, and the fewest groups. The groups of a set are a power of two, so
+#: the finer of two vectors folds onto the other.
+LOAD, GROUPS = 4, 128
 BAND = np.log(1.25)
 _R = np.random.default_rng(20240229)
 _BYTE = _R.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -90,6 +93,18 @@ def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(whose, np.arange(len(texts) + 1))
 
 
+def groups_of(n: np.ndarray) -> np.ndarray:
+    """Groups for sets of these sizes."""
+    return np.maximum(GROUPS, 1 << np.ceil(np.log2(np.maximum(n, 1) / LOAD)).clip(min=0).astype(np.int64))
+
+
+def folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    """Count vectors over fewer groups; 255 stands for 255 or more."""
+    if counts.shape[-1] == groups:
+        return counts
+    return counts.reshape(*counts.shape[:-1], counts.shape[-1] // groups, groups).sum(-2, dtype=np.int64).clip(max=255).astype(np.uint8)
+
+
 def needed_overlap(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """Smallest intersection of linked sets of sizes a and b: 100 i >= percent (a + b - i)."""
     return -(-percent * (a + b) // (100 + percent))
@@ -129,14 +144,16 @@ def _profiles(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
             np.cumsum(mix(hashes ^ _PLACE[0]), out=sums[0][1:])
             np.cumsum(mix(hashes + _PLACE[1]), out=sums[1][1:])
             identity = [(s[at[1:]] - s[at[:-1]]).view(np.int64) for s in sums]
-            counts = np.bincount(whose * GROUPS + (hashes % np.uint64(GROUPS)).astype(np.int64), minlength=len(texts) * GROUPS).clip(max=255).astype(np.uint8)
+            groups = groups_of(n)
+            first = np.concatenate([[0], np.cumsum(groups)])
+            counts = np.bincount(np.repeat(first[:-1], n) + (hashes & (np.repeat(groups, n) - 1).astype(np.uint64)).astype(np.int64), minlength=int(first[-1])).clip(max=255).astype(np.uint8)
             often = np.isin(hashes, frequent) if len(frequent) else np.zeros(len(hashes), bool)
             order = np.lexsort((hashes, often, whose))
             rank = np.arange(len(hashes)) - np.repeat(at[:-1], n)
             size = np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
             prefix = hashes[order][rank < np.repeat(size, n)].view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(identity[0]), pa.array(identity[1]), pa.array([r.tobytes() for r in counts.reshape(-1, GROUPS)], pa.binary()), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(prefix))],
+                [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(identity[0]), pa.array(identity[1]), pa.array([counts[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary()), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(prefix))],
                 names=["doc_id", "n", "s1", "s2", "counts", "prefix"],
             )
 
@@ -231,25 +248,35 @@ class CountTree:
         return self.order[at]
 
 
+def _near(cells: dict[int, np.ndarray], n: np.ndarray, counts: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row its near rows, each pair of rows at least once. ``cells`` has the rows by
+    their number of groups. Linked sets differ by a quarter in size, so their groups are the
+    same or differ by a factor of two: a tree holds the rows of one number of groups and,
+    folded, those of twice as many."""
+    for groups, own in cells.items():
+        finer = cells.get(2 * groups, np.array([], np.int64))
+        points = np.frombuffer(b"".join(counts[own]), np.uint8).reshape(-1, groups)
+        others = folded(np.frombuffer(b"".join(counts[finer]), np.uint8).reshape(-1, 2 * groups), groups)
+        held, both = np.concatenate([own, finer]), np.concatenate([points, others])
+        if len(held) > 1:
+            tree = CountTree(n[held], both)
+            for at, point in zip(own, points, strict=True):
+                yield at, held[tree.search(int(n[at]), point, percent)]
+
+
 def _tree_pairs(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of rows (cell, i, j, id, n, component, side, counts) sorted by cell, i, j."""
         for cell, i, j, id_, n, comp, side, counts in _runs(batches, 3):
             out_a, out_b = [], []
+            groups = groups_of(n)
             starts = _starts(cell, i, j)
             for s, e in zip(starts, np.r_[starts[1:], len(cell)], strict=True):
-                own = i[s] == j[s]
-                left = np.arange(s, e) if own else s + np.flatnonzero(side[s:e] == i[s])
-                right = left if own else s + np.flatnonzero(side[s:e] == j[s])
-                if len(left) and len(right):
-                    points = lambda x: np.frombuffer(b"".join(counts[x]), np.uint8).reshape(-1, GROUPS)
-                    tree, asked = CountTree(n[right], points(right)), points(left)
-                    for k, at in enumerate(left):
-                        near = right[tree.search(int(n[at]), asked[k], percent)]
-                        near = near[comp[near] != comp[at]]
-                        near = near[id_[near] > id_[at]] if own else near
-                        out_a.append(np.minimum(id_[near], id_[at]))
-                        out_b.append(np.maximum(id_[near], id_[at]))
+                kinds = {int(g): s + np.flatnonzero(groups[s:e] == g) for g in np.unique(groups[s:e])}
+                for at, near in _near(kinds, n, counts, percent):
+                    near = near[(comp[near] != comp[at]) & ((i[s] == j[s]) | (side[near] != side[at]))]
+                    out_a.append(np.minimum(id_[near], id_[at]))
+                    out_b.append(np.maximum(id_[near], id_[at]))
             if out_a:
                 pairs = np.unique(np.c_[np.concatenate(out_a), np.concatenate(out_b)], axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
@@ -260,11 +287,17 @@ def _tree_pairs(percent: int):
 def _bound_filter(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
-                va, vb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, GROUPS) for c in ("va", "vb"))
-                good = _bound(va, vb, na, nb) >= needed_overlap(na, nb, percent)
-                yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(good)) for c in ("a", "b")], names=["a", "b"])
+            if not batch.num_rows:
+                continue
+            na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+            va, vb = ([np.frombuffer(v, np.uint8) for v in batch.column(c).to_pylist()] for c in ("va", "vb"))
+            groups = np.array([min(len(a), len(b)) for a, b in zip(va, vb, strict=True)])
+            good = np.zeros(batch.num_rows, bool)
+            for g in np.unique(groups):
+                at = np.flatnonzero(groups == g)
+                left, right = (np.stack([folded(v[k], int(g)) for k in at]) for v in (va, vb))
+                good[at] = _bound(left, right, na[at], nb[at]) >= needed_overlap(na[at], nb[at], percent)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(good)) for c in ("a", "b")], names=["a", "b"])
 
     return run
 
