@@ -14,12 +14,15 @@ bounded size, is broadcast; other units of a text come to it by a join.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,7 +85,7 @@ def unit_counts(docs: DataFrame) -> DataFrame:
         for batch in slices(batches, "text"):
             for text in batch.column(1).to_pylist():
                 found.update(chunks(text or ""))
-            if len(found) > 600_000:
+            if len(found) > 150_000:
                 yield out(found)
                 found = Counter()
         yield out(found)
@@ -92,18 +95,35 @@ def unit_counts(docs: DataFrame) -> DataFrame:
 
 def lattice(spark: SparkSession, units: DataFrame, model: Model) -> DataFrame:
     """``units`` (unit, n) with parts: the unit's pieces in order; characters outside the
-    vocabulary are parts of their own."""
-    longest = model.longest()
-    table = F.broadcast(spark.createDataFrame([(p, float(s)) for p, s, _ in model.pieces if len(p) > 1 or not model.merges], "piece string, score double"))
+    vocabulary are parts of their own.
+
+    Substrings are exploded and joined to the piece table, whose size the model fixes; the
+    empty substring of each unit meets an entry of its own, so no unit is lost. An edge is
+    one number, its piece's place by score, then start and end: edges sort best first.
+    """
+    costs = sorted({-s for _, s, _ in model.pieces})
+    place = {c: i for i, c in enumerate(costs)}
     least = 2 if model.merges else 1
+    rows = [(p, place[-s]) for p, s, _ in model.pieces if len(p) >= least] + [("", -1)]
+    table = F.broadcast(spark.createDataFrame(rows, "piece string, place bigint"))
     size = F.length("unit")
-    spots = F.flatten(F.transform(F.sequence(F.lit(0), size - 1), lambda s: F.transform(F.filter(F.sequence(F.lit(least), F.lit(longest)), lambda k: s + k <= size), lambda k: F.struct(s.alias("s"), (s + k).alias("e"), F.substring(F.col("unit"), s + 1, k).alias("piece")))))
-    edges = units.select("unit", "n", F.explode_outer(spots).alias("x")).select("unit", "n", "x.s", "x.e", "x.piece")
-    edges = edges.join(table, "piece", "left").groupBy("unit", "n").agg(F.sort_array(F.collect_list(F.when(F.col("score").isNotNull(), F.struct((-F.col("score")).alias("cost"), "s", "e")))).alias("edges"))
-    cuts = _merge_cuts() if model.merges else _viterbi_cuts()
-    cut = edges.withColumn("cuts", cuts)
+    spots = units.select("unit", "n", F.explode(F.sequence(F.lit(0), F.greatest(size - least, F.lit(0)))).alias("s"))
+    first = F.when(F.col("s") == 0, 0).otherwise(least)
+    spots = spots.select("unit", "n", "s", F.explode(F.sequence(first, F.least(F.lit(model.longest()), size - F.col("s")))).alias("k"))
+    spots = spots.select("unit", "n", "s", "k", F.expr("substring(unit, s + 1, k)").alias("piece"))
+    edge = F.when(F.col("place") >= 0, F.expr("shiftleft(place, 40) + shiftleft(cast(s as bigint), 20) + s + k"))
+    edges = spots.join(table, "piece").select("unit", "n", edge.alias("edge")).groupBy("unit").agg(F.first("n").alias("n"), F.sort_array(F.collect_list("edge")).alias("edges"))
+    cuts = _merge_cuts() if model.merges else _viterbi_cuts(costs)
     parts = F.transform(F.slice("cuts", 1, F.size("cuts") - 1), lambda a, i: F.substring(F.col("unit"), a + 1, F.get(F.col("cuts"), i + 1) - a))
-    return cut.select("unit", "n", parts.alias("parts"))
+    return edges.withColumn("cuts", cuts).select("unit", "n", parts.alias("parts"))
+
+
+def _start(edge: Column) -> Column:
+    return F.shiftright(edge, 20).bitwiseAND(F.lit((1 << 20) - 1)).cast("int")
+
+
+def _end(edge: Column) -> Column:
+    return edge.bitwiseAND(F.lit((1 << 20) - 1)).cast("int")
 
 
 def _merge_cuts() -> Column:
@@ -111,58 +131,59 @@ def _merge_cuts() -> Column:
     takes that cut away; as often as there are characters."""
     size = F.length("unit")
     steps = F.sequence(F.lit(1), size)
-    bit = lambda p: F.call_function("shiftleft", F.lit(1).cast("bigint"), p)
-    inside = F.transform("edges", lambda x: F.struct((bit(x["s"]).bitwiseOR(bit(x["e"]))).alias("ends"), (bit(x["e"]) - bit(x["s"] + 1)).alias("inside")))
-    start = bit(size + 1) - F.lit(1).cast("bigint")
+    one = F.lit(1).cast("bigint")
+    bit = lambda p: F.call_function("shiftleft", one, p)
+    masks = F.transform("edges", lambda x: F.struct((bit(_start(x)) + bit(_end(x))).alias("ends"), (bit(_end(x)) - bit(_start(x) + 1)).alias("inside")))
 
     def masked(known: Column) -> Column:
         def step(m: Column, _: Column) -> Column:
             fits = F.filter(known, lambda x: (m.bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(m.bitwiseAND(x["inside"])) == 1))
             return F.coalesce(m.bitwiseAND(F.bitwise_not(F.get(fits, 0)["inside"])), m)
 
-        return F.aggregate(steps, start, step)
+        return F.aggregate(steps, bit(size + 1) - one, step)
 
-    mask = F.aggregate(F.transform(F.array(inside), masked), F.lit(0).cast("bigint"), lambda _, m: m)
     def listed(m: Column) -> Column:
         return F.filter(F.sequence(F.lit(0), size), lambda i: m.bitwiseAND(bit(i)) != 0)
 
-    few = F.flatten(F.transform(F.array(mask), listed))
+    # one-element arrays bind a value to a name, so that it is worked out once
+    few = F.flatten(F.transform(F.transform(F.array(masks), masked), listed))
 
     def step(cuts: Column, _: Column) -> Column:
-        fits = F.filter("edges", lambda x: F.array_contains(cuts, x["s"]) & F.array_contains(cuts, x["e"]) & (F.size(F.filter(cuts, lambda c: (c > x["s"]) & (c < x["e"]))) == 1))
+        fits = F.filter("edges", lambda x: F.array_contains(cuts, _start(x)) & F.array_contains(cuts, _end(x)) & (F.size(F.filter(cuts, lambda c: (c > _start(x)) & (c < _end(x)))) == 1))
         best = F.get(fits, 0)
-        return F.when(best.isNull(), cuts).otherwise(F.filter(cuts, lambda c: (c <= best["s"]) | (c >= best["e"])))
+        return F.when(best.isNull(), cuts).otherwise(F.filter(cuts, lambda c: (c <= _start(best)) | (c >= _end(best))))
 
     many = F.aggregate(steps, F.sequence(F.lit(0), size), step)
     return F.when(size <= MASK, few).otherwise(many)
 
 
-def _viterbi_cuts() -> Column:
+def _viterbi_cuts(costs: list[float]) -> Column:
     """Fold over the positions: the least cost to reach each and the cut before it. A
     character without an edge costs more than any path of pieces."""
     size = F.length("unit")
+    table = F.from_json(F.lit(json.dumps(costs)), "array<double>")
+    worst = max(1e6, 1e3 * max(map(abs, costs), default=1.0))
     state = F.array(F.struct(F.lit(0.0).alias("cost"), F.lit(-1).alias("back")))
 
     def step(acc: Column, e: Column) -> Column:
-        own = F.struct((F.get(acc, e - 1)["cost"] + 1e6).alias("cost"), (e - 1).alias("back"))
-        others = F.transform(F.filter("edges", lambda x: x["e"] == e), lambda x: F.struct((F.get(acc, x["s"])["cost"] + x["cost"]).alias("cost"), x["s"].alias("back")))
+        own = F.struct((F.get(acc, e - 1)["cost"] + worst).alias("cost"), (e - 1).alias("back"))
+        others = F.transform(F.filter("edges", lambda x: _end(x) == e), lambda x: F.struct((F.get(acc, _start(x))["cost"] + F.get(table, F.shiftright(x, 40).cast("int"))).alias("cost"), _start(x).alias("back")))
         return F.concat(acc, F.array(F.array_min(F.concat(F.array(own), others))))
 
     reached = F.aggregate(F.sequence(F.lit(1), size), state, step)
-    back = lambda r: F.aggregate(F.sequence(F.lit(1), size), F.array(size), lambda cuts, _: F.when(F.get(cuts, 0) > 0, F.concat(F.array(F.get(r, F.get(cuts, 0))["back"]), cuts)).otherwise(cuts))
+    back = lambda r: F.aggregate(F.sequence(F.lit(1), size), F.array(size), lambda cuts, _: F.when(F.get(cuts, F.lit(0)) > 0, F.concat(F.array(F.get(r, F.get(cuts, F.lit(0)))["back"]), cuts)).otherwise(cuts))
     return F.flatten(F.transform(F.array(reached), back))
 
 
 class Joiner:
-    """Puts texts' ids together from those of their units. Values are lists of ids."""
+    """Puts texts' ids together from those of their units. Ids are little-endian 32-bit
+    numbers in a byte string."""
 
-    def __init__(self, model: Model, units: dict[str, list[str]]):
+    def __init__(self, model: Model):
         self.of_piece = {p: i for p, _, i in model.pieces}
         self.model, self.units, self.known = model, {}, {}
-        for unit, parts in units.items():
-            self.units[unit] = self.ids(parts)
 
-    def ids(self, parts: list[str]) -> list[int]:
+    def ids(self, parts: list[str]) -> bytes:
         out: list[int] = []
         for p in parts:
             i = self.of_piece.get(p)
@@ -172,12 +193,12 @@ class Joiner:
                 out += [self.model.first_byte + b for b in p.encode()]
             else:
                 out.append(self.model.unknown)
-        return out
+        return struct.pack(f"<{len(out)}i", *out)
 
-    def chunk(self, chunk: str, own: dict[str, list[int]], missing: set[str]) -> list[int]:
+    def chunk(self, chunk: str, own: dict[str, bytes], missing: set[str]) -> bytes:
         if (ids := self.known.get(chunk)) is not None:
             return ids
-        ids, whole = [], True
+        found, whole = [], True
         for unit in UNIT.findall(chunk):
             got = self.units.get(unit)
             if got is None:
@@ -186,18 +207,16 @@ class Joiner:
                 if got is None:
                     missing.add(unit)
                     continue
-            ids += got
+            found.append(got)
+        ids = b"".join(found)
         if whole and len(chunk) <= 48:
-            if len(self.known) >= 200_000:
+            if len(self.known) >= 100_000:
                 self.known.clear()
             self.known[chunk] = ids
         return ids
 
-    def text(self, text: str, own: dict[str, list[int]], missing: set[str]) -> list[int]:
-        out: list[int] = []
-        for c in chunks(text):
-            out += self.chunk(c, own, missing)
-        return out
+    def text(self, text: str, own: dict[str, bytes], missing: set[str]) -> bytes:
+        return b"".join([self.chunk(c, own, missing) for c in chunks(text)])
 
 
 _joiners: dict[str, Joiner] = {}
@@ -207,11 +226,20 @@ def _joiner(name: str, model: Model, sent) -> Joiner:
     """One per Python worker and broadcast table."""
     if name not in _joiners:
         _joiners.clear()
-        table = pa.ipc.open_stream(pa.py_buffer(sent.value)).read_all()
-        _joiners[name] = Joiner(model, dict(zip(table.column("unit").to_pylist(), table.column("parts").to_pylist(), strict=True)))
+        joiner = Joiner(model)
+        for batch in pa.ipc.open_stream(pa.py_buffer(sent.value)):
+            for first in range(0, batch.num_rows, 5_000):
+                part = batch.slice(first, 5_000)
+                joiner.units.update((u, joiner.ids(p)) for u, p in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True))
+        _joiners[name] = joiner
     return _joiners[name]
 
 
+def _id_lists(ids: list[bytes]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+
+
 def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", most_units: int = 400_000, longest_unit: int = 32) -> DataFrame:
     """Per row of ``docs``: doc_id, text, ids (what the library gives for the whole text).
 
@@ -256,7 +284,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 ids.append(joiner.text(text or "", {x["unit"]: joiner.ids(x["parts"]) for x in own or ()}, lacks))
                 if lacks:
                     raise ValueError(f"units without pieces: {sorted(lacks)[:3]}")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "text", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), _id_lists(ids)], names=["doc_id", "text", "ids"])
 
     rare = map_arrow(docs, missing, "key binary, unit string").distinct().join(coded.select("unit", "parts"), "unit")
     own = rare.groupBy("key").agg(F.collect_list(F.struct("unit", "parts")).alias("own"))
@@ -294,8 +322,6 @@ def digest(encoded: DataFrame, model: Model) -> DataFrame:
     round_trip (decoding gives the text; a null text counts as empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         for batch in slices(batches, "text"):
             ids = batch.column("ids").to_pylist()
             back = decode_texts(ids, model)
