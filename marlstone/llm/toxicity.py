@@ -106,13 +106,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     return rows.join(F.broadcast(known), "id").select("text", "toxic")
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents, by label, that have a word beginning or (for exceptions) a pair of words.
-    contexts: of toxic documents, which of 60 hashes the word before had."""
+def _count_terms(batches: Iterator[pa.RecordBatch], exceptions: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """Documents, by label, that have a word beginning or (for exceptions) a pair of words,
+    known exceptions aside. contexts: of toxic documents, which of 60 hashes the word before
+    had."""
+    spared = [fold(e) for e in exceptions]
     counts, contexts = (Counter(), Counter()), {}
     for batch in slices(batches, "text"):
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = WORD.findall(fold(text))
+            folded = fold(text)
+            for phrase in spared:
+                folded = folded.replace(phrase, " ")
+            words = WORD.findall(folded)
             before = dict(zip(reversed(words), [*reversed(words[:-1]), ""], strict=True))
             own = {b: 1 << zlib.crc32(before[w].encode()) % 60 for w in before for b in beginnings(w)}
             counts[toxic > 0].update({*own, *(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)), ""})
@@ -136,7 +141,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     rows = training_rows(docs, labels, id_col, text_col, most_rows).persist()
     try:
-        counted = map_arrow(rows, _count_terms, "term string, bad bigint, good bigint, contexts bigint").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.bit_count(F.bit_or("contexts")).alias("contexts")).persist()
+        counted = map_arrow(rows, lambda batches: _count_terms(batches, exceptions), "term string, bad bigint, good bigint, contexts bigint").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.bit_count(F.bit_or("contexts")).alias("contexts")).persist()
         whole = counted.where("term = ''").collect()
         bad_rows, good_rows = (whole[0]["bad"], whole[0]["good"]) if whole else (0, 0)
         if not bad_rows or not good_rows:
