@@ -27,7 +27,8 @@ def json_part(text: Column) -> Column:
     objects = F.regexp_extract_all(t, F.lit(r"(?s)\{[^{}]*(?:\{[^{}]*\}[^{}]*)*\}"), F.lit(0))
     spans = F.array(F.regexp_extract(t, r"(?s)\{.*\}", 0), F.regexp_extract(t, r"(?s)\[.*\]", 0))
     every = F.filter(F.concat(objects, spans), lambda c: c != "")
-    parses = F.filter(F.transform(every, lambda c, i: F.struct((-F.length(c)).alias("l"), i.alias("i"), c.alias("c"))), lambda x: F.try_parse_json(x["c"]).isNotNull())
+    # inside brackets, as the parser lets anything follow a value
+    parses = F.filter(F.transform(every, lambda c, i: F.struct((-F.length(c)).alias("l"), i.alias("i"), c.alias("c"))), lambda x: F.try_parse_json(F.concat(F.lit("["), x["c"], F.lit("]"))).isNotNull())
     return F.get(F.sort_array(parses), 0)["c"]
 
 

@@ -33,7 +33,7 @@ def test_rules(spark):
     assert one(spark, rules.pore_of_phantom(F.lit(None).cast("string"), A, False), "100 A") == "100 A"
     assert one(spark, rules.real_column(A), "100 A") is None
     assert one(spark, rules.real_column(A), "Nucleosil C18") == "Nucleosil C18"
-    assert one(spark, rules.column_name(A), "of C18 nucleosol") == "Nucleosil C18"
+    assert one(spark, rules.column_name(A), "of C18 nucleosol") == "C18 Nucleosil"
     assert one(spark, rules.injection_volume(A), "5 wt%") is None
     assert one(spark, rules.inferred_column(F.array(A)), "on a brandx C 18 column") == "Brandx C18"
     assert one(spark, rules.phase(F.lit(None).cast("string"), A, B, B), "x", "diol") == "Normal phase"
