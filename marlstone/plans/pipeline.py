@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions.lexicon import Vocabulary, abbreviations
 from marlstone.operators import consensus, evidence, link, mentions, records, report, response, segment, validate
+from marlstone.plans.lineage import cut
 
 
 @dataclass(frozen=True)
@@ -51,14 +52,14 @@ def extraction(docs: DataFrame, paras: DataFrame, source, config: Config) -> Dat
         whole = evidence.global_evidence(paras, config.vocabulary, config.global_chars)
         asked = whole.select("doc_id", F.lit(2).alias("pass"), F.lit(0).alias("prompt_seq"), "evidence").unionByName(asked)
     prompts = asked.withColumn("prompt", F.concat(F.lit(PROMPT), "evidence")).select("*", models)
-    answered = source.responses(prompts)
-    found = response.flat(response.records(answered.drop("prompt")))
+    answered = cut(source.responses(cut(prompts)))  # asked once, even if a task runs again
+    found = cut(response.flat(response.records(answered.drop("prompt"))))
     order = F.struct("pass", "prompt_seq", F.array_position(F.array(*[F.lit(m) for m in config.models]), F.col("model")).alias("m"), "item_seq")
     texts = docs.select("doc_id", F.col("text").alias("__text"))
     checked = found.join(texts, "doc_id").withColumn("__source", F.when(F.col("pass") == 2, F.col("evidence")).otherwise(F.col("__text")))
-    checked = records.has_data(validate.validated(checked, "__source"))
+    checked = records.has_data(cut(validate.validated(checked, "__source")))  # else the filter repeats every check
     rows = checked.select("doc_id", order.alias("ord"), "model", *records.FIELDS, F.substring("evidence", 1, 1200).alias("context_snippet"))
-    merged = consensus.null_tolerant_merge(consensus.agreed(rows, config.least_models), (*consensus.KEY,))
+    merged = consensus.null_tolerant_merge(consensus.agreed(cut(rows), config.least_models), consensus.KEY)
     return merged.select("doc_id", F.col("kept_idx").alias("ord"), *records.FIELDS, "context_snippet")
 
 
@@ -70,8 +71,8 @@ def refined(conditions: DataFrame, paras: DataFrame, source, config: Config) ->
     found = evidence.condition_evidence(tokens.select("doc_id", "ord", "tokens"), paras, config.vocabulary, max(2000, config.max_chars))
     asked = found.join(open_.select("doc_id", "ord", F.to_json(F.struct(*records.FIELDS)).alias("__rec")), ["doc_id", "ord"])
     asked = asked.select("doc_id", "ord", "evidence", F.concat(F.lit(REFINE), "__rec", F.lit("\n\nText:\n"), "evidence").alias("prompt"), F.lit(config.models[0]).alias("model"))
-    answer = response.flat(response.records(source.responses(asked).drop("prompt"))).where("item_seq = 0")
-    answer = records.has_data(validate.validated(answer, "evidence")).select("doc_id", "ord", *[F.col(f).alias(f"__{f}") for f in records.FIELDS], F.lit(True).alias("__new"))
+    answer = response.flat(response.records(cut(source.responses(cut(asked))).drop("prompt"))).where("item_seq = 0")
+    answer = records.has_data(cut(validate.validated(answer, "evidence"))).select("doc_id", "ord", *[F.col(f).alias(f"__{f}") for f in records.FIELDS], F.lit(True).alias("__new"))
     rows = conditions.join(answer, ["doc_id", "ord"], "left")
     pick = lambda f: F.when(F.col("__new"), F.col(f"__{f}")).otherwise(F.col(f)) if config.compat else F.coalesce(f, f"__{f}")
     return rows.withColumns({f: pick(f) for f in records.FIELDS}).select(*conditions.columns)
@@ -86,11 +87,11 @@ def run(docs: DataFrame, source, config: Config | None = None) -> dict[str, Data
     counts = mentions.mention_counts(mentions.mentions(docs, table))
     valid = mentions.validated(counts, table) if config.validate_names else counts
     main = mentions.main_names(valid, config.threshold)
-    paras = segment.paragraphs(docs)
-    conditions = extraction(docs, paras, source, config)
+    paras = cut(segment.paragraphs(docs))
+    conditions = cut(extraction(docs, paras, source, config))
     if config.refine:
-        conditions = refined(conditions, paras, source, config)
-    linked = link.linked(conditions, config.compat).withColumnRenamed("kept_idx", "__idx").drop("__idx")
+        conditions = cut(refined(conditions, paras, source, config))
+    linked = cut(link.linked(conditions, config.compat).drop("kept_idx"))
     kept = report.graded(report.with_patch(report.without_size_exclusion(linked), docs))
     shown = report.compact(kept) if config.compact else kept
     groups = main.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("c"), "first", "name"))), lambda x: x["name"]), ", ").alias("__groups"))
