@@ -304,12 +304,12 @@ def column_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "ord", rules.real_column(F.col("n")).alias("column_name"), rules.pore_of_phantom(F.lit(None).cast("string"), F.col("n")).alias("pore_size"))
 
 
-KEYS = ("solvent",)
+KEYS = ("manufacturer",)
 
 
 @query(
     f"""
-WITH {BASE}, k AS (SELECT *, coalesce(solvent, '') AS key FROM c),
+WITH {BASE}, k AS (SELECT *, coalesce(lower(manufacturer), '') AS key FROM c),
 n AS (SELECT doc_id, key FROM k GROUP BY doc_id, key HAVING count(DISTINCT model) >= 2)
 SELECT k.doc_id, ord, model FROM k JOIN n ON n.doc_id = k.doc_id AND n.key = k.key"""
 )
