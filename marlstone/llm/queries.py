@@ -39,7 +39,7 @@ def op4_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = sentencepiece_lattice.Model.load(public_tokenizers.path(PIECES))
-    return sentencepiece_lattice.digest(sentencepiece_lattice.encode(table(spark, sf_dir, "documents"), model), model)
+    return sentencepiece_lattice.digests(table(spark, sf_dir, "documents"), model)
 
 
 @functools.cache

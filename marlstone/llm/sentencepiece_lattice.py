@@ -1,24 +1,24 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Texts fall into units that no piece of the vocabulary reaches across. Each distinct unit is
-encoded once: its substrings of bounded length are exploded and joined to the piece table,
-the edges found are grouped by unit, and a fold (Spark's aggregate) over them gives the
-segmentation. For a unigram vocabulary the fold is Viterbi's. For a merge vocabulary, which
-the score sum does not describe, it applies the best edge that joins two neighbouring
-symbols until none does; that is what the library does with such a model.
-
-Texts are then put together from their units: a dictionary of the most frequent units, of
-bounded size, is broadcast; other units of a text come to it by a join.
+Texts fall into units that no piece of the vocabulary reaches across. A unit's substrings of
+bounded length are exploded and joined to the piece table, the edges found are grouped by
+unit, and a fold (Spark's aggregate) over them gives the segmentation. For a unigram
+vocabulary the fold is Viterbi's. For a merge vocabulary, which the score sum does not
+describe, it applies the best edge that joins two neighbouring symbols until none does; that
+is what the library does with such a model.
+
+All of it is one pass without a shuffle: a task sends the units that are new to it ahead of
+the texts that hold them, explode and the broadcast join keep that order, so the edges of a
+unit arrive side by side and its pieces before its texts. A task remembers a bounded number
+of units and starts anew beyond it.
 """
 
 from __future__ import annotations
 
-import hashlib
 import json
 import re
 import struct
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,13 +27,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import ids_and_texts, map_arrow, slices, stored
+from marlstone.llm.common import ids_and_texts, map_arrow, slices
 
 BLANK = "▁"
 UNIT = re.compile(rf"{BLANK}*(?:[^\W\d_²³¹]+|(?:[^\w{BLANK}]|[_²³¹])+|\d)|{BLANK}+")
 _CUT = re.compile(rf"(?<=[^{BLANK}])(?={BLANK})")
 #: The fold's state is a 64-bit mask up to this unit length, beyond it an array.
 MASK = 60
+#: Set in that mask when the order of merges has to be looked at again.
+AGAIN = 1 << 62
+_PLACE = (1 << 20) - 1
+#: Units that a task remembers, and chunks of more than one unit.
+REMEMBERED = 400_000
+CHUNKS = 100_000
 
 
 @dataclass(frozen=True)
@@ -67,94 +73,153 @@ def chunks(text: str) -> list[str]:
         return []
     if "  " in text or text[0] == " " or BLANK in text:
         return _CUT.split(BLANK + text.replace(" ", BLANK))
-    return [BLANK + c for c in text.split(" ")]
+    return (BLANK + text.replace(" ", " " + BLANK)).split(" ")
+
+
+def new_units(batches: Iterator[pa.RecordBatch], remembered: int = REMEMBERED) -> Iterator[pa.RecordBatch]:
+    """(unit, doc_id, text): units not sent before, then the texts (without a unit) that
+    hold them; the empty unit says that all before it is forgotten."""
+    units: set[str] = set()
+    known: set[str] = set()
+    for batch in slices(batches, "text", 4 << 20):
+        new = []
+        if len(units) > remembered:
+            units.clear()
+            known.clear()
+            new.append("")
+        for text in batch.column(1).to_pylist():
+            for chunk in (set(chunks(text or "")) - units) - known:
+                found = UNIT.findall(chunk)
+                for unit in found:
+                    if unit not in units:
+                        units.add(unit)
+                        new.append(unit)
+                if len(found) > 1 and len(known) < CHUNKS:
+                    known.add(chunk)
+        for first in range(0, len(new), 10_000):
+            part = pa.array(new[first : first + 10_000], pa.string())
+            yield pa.RecordBatch.from_arrays([part, pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.string())], names=["unit", "doc_id", "text"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.string()), batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string())], names=["unit", "doc_id", "text"])
+
+
+def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Groups rows that stand side by side: a row without an edge begins a unit, its edges
+    follow. They come out sorted, and again as masks of their two ends (for short units)."""
+    rest = None
+    for batch in batches:
+        got = pa.Table.from_batches([batch])
+        if rest is not None:
+            got = pa.concat_tables([rest, got])
+        heads = np.flatnonzero(got.column("edge").is_null().to_numpy())
+        if len(heads) > 1:
+            yield _group(got.slice(0, heads[-1]), heads[:-1])
+            got = got.slice(heads[-1])
+        rest = got
+    if rest is not None and rest.num_rows:
+        yield _group(rest, np.array([0]))
+
+
+def _group(rows: pa.Table, heads: np.ndarray) -> pa.RecordBatch:
+    n = rows.num_rows
+    edge = rows.column("edge").fill_null(-1).to_numpy()
+    unit = np.zeros(n, np.int64)
+    unit[heads] = 1
+    unit = np.cumsum(unit)
+    has = edge >= 0
+    edge, unit = edge[has], unit[has]
+    place, s = edge >> 40, (edge >> 20) & _PLACE
+    if len(edge) and n < 1 << 30 and place.max() < 1 << 17 and s.max() < 1 << 12:  # one key sorts faster
+        edge = edge[np.argsort((unit << 29) + (place << 12) + s)]
+    else:
+        edge = edge[np.lexsort((edge, unit))]
+    s, e = (edge >> 20) & _PLACE, edge & _PLACE
+    ends = np.where(e <= MASK, (1 << np.minimum(s, MASK)) + (1 << np.minimum(e, MASK)), 0)
+    offsets = pa.array(np.append(heads, n) - np.arange(len(heads) + 1), pa.int32())
+    out = rows.take(pa.array(heads)).drop_columns(["edge"]).combine_chunks()
+    columns = [(c.chunk(0) if c.num_chunks else pa.array([], c.type)) for c in out.columns]
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in (edge, ends)]
+    return pa.RecordBatch.from_arrays([*columns, *lists], names=[*out.column_names, "edges", "ends"])
 
 
-def unit_counts(docs: DataFrame) -> DataFrame:
-    """(unit, n): how often each unit stands in all texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(found: Counter) -> pa.RecordBatch:
-            units: Counter = Counter()
-            for chunk, n in found.items():
-                for unit in UNIT.findall(chunk):
-                    units[unit] += n
-            return pa.RecordBatch.from_arrays([pa.array(list(units), pa.string()), pa.array(list(units.values()), pa.int64())], names=["unit", "n"])
-
-        found: Counter = Counter()
-        for batch in slices(batches, "text"):
-            for text in batch.column(1).to_pylist():
-                found.update(chunks(text or ""))
-            if len(found) > 150_000:
-                yield out(found)
-                found = Counter()
-        yield out(found)
-
-    return map_arrow(docs, run, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
+def lattice(spark: SparkSession, units: DataFrame, model: Model) -> DataFrame:
+    """``units`` with parts: the unit's pieces in order; characters outside the vocabulary
+    are parts of their own. Rows keep their order, a null unit has no parts."""
+    bits = F.filter(F.sequence(F.lit(0), F.length("unit")), lambda i: F.col("mask").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), i)) != 0)
+    listed = folded(spark, units, model).withColumn("cuts", F.coalesce("cuts", bits))
+    parts = F.transform(F.slice("cuts", 1, F.size("cuts") - 1), lambda a, i: F.substring(F.col("unit"), a + 1, F.get(F.col("cuts"), i + 1) - a))
+    return listed.select(*units.columns, F.when(F.col("cuts").isNotNull(), parts).alias("parts"))
 
 
-def lattice(spark: SparkSession, units: DataFrame, model: Model) -> DataFrame:
-    """``units`` (unit, n) with parts: the unit's pieces in order; characters outside the
-    vocabulary are parts of their own.
+def folded(spark: SparkSession, units: DataFrame, model: Model) -> DataFrame:
+    """``units`` with where their pieces begin and end: mask (a bit each) or cuts.
 
     Substrings are exploded and joined to the piece table, whose size the model fixes; the
-    empty substring of each unit meets an entry of its own, so no unit is lost. An edge is
-    one number, its piece's place by score, then start and end: edges sort best first.
+    empty substring of each unit meets an entry of its own, so no unit is lost, and carries
+    the other columns. An edge is one number, its piece's place by score, then start and
+    end: edges sort best first.
     """
     costs = sorted({-s for _, s, _ in model.pieces})
     place = {c: i for i, c in enumerate(costs)}
     least = 2 if model.merges else 1
     rows = [(p, place[-s]) for p, s, _ in model.pieces if len(p) >= least] + [("", -1)]
     table = F.broadcast(spark.createDataFrame(rows, "piece string, place bigint"))
-    size = F.length("unit")
-    spots = units.select("unit", "n", F.explode(F.sequence(F.lit(0), F.greatest(size - least, F.lit(0)))).alias("s"))
+    size = F.coalesce(F.length("unit"), F.lit(0))
+    spots = units.withColumn("s", F.explode(F.sequence(F.lit(0), F.greatest(size - least, F.lit(0)))))
     first = F.when(F.col("s") == 0, 0).otherwise(least)
-    spots = spots.select("unit", "n", "s", F.explode(F.sequence(first, F.least(F.lit(model.longest()), size - F.col("s")))).alias("k"))
-    spots = spots.select("unit", "n", "s", "k", F.expr("substring(unit, s + 1, k)").alias("piece"))
+    spots = spots.withColumn("k", F.explode(F.sequence(first, F.least(F.lit(model.longest()), size - F.col("s")))))
+    spots = spots.withColumn("piece", F.expr("coalesce(substring(unit, s + 1, k), '')"))
     edge = F.when(F.col("place") >= 0, F.expr("shiftleft(place, 40) + shiftleft(cast(s as bigint), 20) + s + k"))
-    edges = spots.join(table, "piece").select("unit", "n", edge.alias("edge")).groupBy("unit").agg(F.first("n").alias("n"), F.sort_array(F.collect_list("edge")).alias("edges"))
-    cuts = _merge_cuts() if model.merges else _viterbi_cuts(costs)
-    parts = F.transform(F.slice("cuts", 1, F.size("cuts") - 1), lambda a, i: F.substring(F.col("unit"), a + 1, F.get(F.col("cuts"), i + 1) - a))
-    return edges.withColumn("cuts", cuts).select("unit", "n", parts.alias("parts"))
+    whole = [F.when(F.col("place") < 0, F.col(c)).alias(c) for c in units.columns]
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in units.schema)
+    edges = map_arrow(spots.join(table, "piece").select(*whole, edge.alias("edge")), grouped, f"{types}, edges array<bigint>, ends array<bigint>")
+    if model.merges:
+        short, any_length = _merge_cuts()
+        length = F.length("unit")
+        return edges.select(*units.columns, F.when((length > 0) & (length <= MASK), short).alias("mask"), F.when(length > MASK, any_length).alias("cuts"))
+    return edges.select(*units.columns, F.lit(None).cast("bigint").alias("mask"), F.when(F.length("unit") > 0, _viterbi_cuts(costs)).alias("cuts"))
 
 
 def _start(edge: Column) -> Column:
-    return F.shiftright(edge, 20).bitwiseAND(F.lit((1 << 20) - 1)).cast("int")
+    return F.shiftright(edge, 20).bitwiseAND(F.lit(_PLACE)).cast("int")
 
 
 def _end(edge: Column) -> Column:
-    return edge.bitwiseAND(F.lit((1 << 20) - 1)).cast("int")
+    return edge.bitwiseAND(F.lit(_PLACE)).cast("int")
 
 
-def _merge_cuts() -> Column:
+def _merge_cuts() -> tuple[Column, Column]:
     """Fold: of the edges (best first), the first whose ends are cuts with one cut between
-    takes that cut away; as often as there are characters."""
+    takes that cut away, until none does.
+
+    One walk over the edges does it, unless it passes an edge with more than one cut between
+    its ends: later merges may leave one. Then the first that fits is looked for anew, as
+    often as there are characters. The first column is a mask for units of at most MASK
+    characters, the second lists the cuts of any."""
     size = F.length("unit")
     steps = F.sequence(F.lit(1), size)
     one = F.lit(1).cast("bigint")
     bit = lambda p: F.call_function("shiftleft", one, p)
-    masks = F.transform("edges", lambda x: F.struct((bit(_start(x)) + bit(_end(x))).alias("ends"), (bit(_end(x)) - bit(_start(x) + 1)).alias("inside")))
-
-    def masked(known: Column) -> Column:
-        def step(m: Column, _: Column) -> Column:
-            fits = F.filter(known, lambda x: (m.bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(m.bitwiseAND(x["inside"])) == 1))
-            return F.coalesce(m.bitwiseAND(F.bitwise_not(F.get(fits, 0)["inside"])), m)
+    inside = lambda x: x - x.bitwiseAND(-x) * 3  # the bits between the two of x
+    every = bit(size + 1) - one
 
-        return F.aggregate(steps, bit(size + 1) - one, step)
+    def walk(m: Column, x: Column) -> Column:
+        between = F.bit_count(m.bitwiseAND(inside(x)))
+        return F.when(m.bitwiseAND(x) != x, m).when(between == 1, m.bitwiseAND(F.bitwise_not(inside(x)))).when(between == 0, m).otherwise(m.bitwiseOR(F.lit(AGAIN)))
 
-    def listed(m: Column) -> Column:
-        return F.filter(F.sequence(F.lit(0), size), lambda i: m.bitwiseAND(bit(i)) != 0)
+    def step(m: Column, _: Column) -> Column:
+        fits = F.filter("ends", lambda x: (m.bitwiseAND(x) == x) & (F.bit_count(m.bitwiseAND(inside(x))) == 1))
+        return F.coalesce(F.get(F.transform(F.slice(fits, 1, 1), lambda x: m.bitwiseAND(F.bitwise_not(inside(x)))), 0), m)
 
     # one-element arrays bind a value to a name, so that it is worked out once
-    few = F.flatten(F.transform(F.transform(F.array(masks), masked), listed))
+    walked = F.transform(F.array(F.aggregate("ends", every, walk)), lambda m: F.when(m.bitwiseAND(F.lit(AGAIN)) == 0, m).otherwise(F.aggregate(steps, every, step)))
 
-    def step(cuts: Column, _: Column) -> Column:
+    def long_step(cuts: Column, _: Column) -> Column:
         fits = F.filter("edges", lambda x: F.array_contains(cuts, _start(x)) & F.array_contains(cuts, _end(x)) & (F.size(F.filter(cuts, lambda c: (c > _start(x)) & (c < _end(x)))) == 1))
         best = F.get(fits, 0)
         return F.when(best.isNull(), cuts).otherwise(F.filter(cuts, lambda c: (c <= _start(best)) | (c >= _end(best))))
 
-    many = F.aggregate(steps, F.sequence(F.lit(0), size), step)
-    return F.when(size <= MASK, few).otherwise(many)
+    many = F.aggregate(steps, F.sequence(F.lit(0), size), long_step)
+    return F.get(walked, 0), many
 
 
 def _viterbi_cuts(costs: list[float]) -> Column:
@@ -176,63 +241,66 @@ def _viterbi_cuts(costs: list[float]) -> Column:
 
 
 class Joiner:
-    """Puts texts' ids together from those of their units. Ids are little-endian 32-bit
-    numbers in a byte string."""
+    """Puts texts' ids together from those of their units, which come first. Ids are
+    little-endian 32-bit numbers in a byte string."""
 
     def __init__(self, model: Model):
-        self.of_piece = {p: i for p, _, i in model.pieces}
+        self.of_part = {p: struct.pack("<i", i) for p, _, i in model.pieces}
         self.model, self.units, self.known = model, {}, {}
 
-    def ids(self, parts: list[str]) -> bytes:
-        out: list[int] = []
-        for p in parts:
-            i = self.of_piece.get(p)
-            if i is not None:
-                out.append(i)
-            elif self.model.first_byte >= 0:
-                out += [self.model.first_byte + b for b in p.encode()]
-            else:
-                out.append(self.model.unknown)
-        return struct.pack(f"<{len(out)}i", *out)
-
-    def chunk(self, chunk: str, own: dict[str, bytes], missing: set[str]) -> bytes:
-        if (ids := self.known.get(chunk)) is not None:
-            return ids
-        found, whole = [], True
-        for unit in UNIT.findall(chunk):
-            got = self.units.get(unit)
-            if got is None:
-                whole = False
-                got = own.get(unit)
-                if got is None:
-                    missing.add(unit)
-                    continue
-            found.append(got)
-        ids = b"".join(found)
-        if whole and len(chunk) <= 48:
-            if len(self.known) >= 100_000:
-                self.known.clear()
-            self.known[chunk] = ids
+    def part(self, p: str) -> bytes:
+        """A piece, or a character outside the vocabulary: its bytes' pieces."""
+        ids = self.of_part.get(p)
+        if ids is None:
+            some = [self.model.first_byte + b for b in p.encode()] if self.model.first_byte >= 0 else [self.model.unknown]
+            ids = struct.pack(f"<{len(some)}i", *some)
         return ids
 
-    def text(self, text: str, own: dict[str, bytes], missing: set[str]) -> bytes:
-        return b"".join([self.chunk(c, own, missing) for c in chunks(text)])
-
-
-_joiners: dict[str, Joiner] = {}
+    def learn(self, units: pa.Array, masks: pa.Array, cuts: pa.Array) -> None:
+        names = units.to_pylist()
+        bits = np.unpackbits(masks.fill_null(0).to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        row, at = np.nonzero(bits)
+        same = np.flatnonzero(row[1:] == row[:-1])
+        ids = [b""] * len(names)
+        for r, a, b in zip(row[same].tolist(), at[same].tolist(), at[same + 1].tolist(), strict=True):
+            ids[r] += self.part(names[r][a:b])
+        for r in np.flatnonzero(cuts.is_valid().to_numpy(zero_copy_only=False)).tolist():
+            own = cuts[r].as_py()
+            ids[r] = b"".join([self.part(names[r][a:b]) for a, b in zip(own, own[1:], strict=False)])
+        start = 0
+        if "" in names:
+            self.units.clear()
+            start = len(names) - names[::-1].index("")
+        self.units.update(zip(names[start:], ids[start:], strict=True))
+
+    def chunk(self, chunk: str) -> bytes:
+        ids = self.known.get(chunk)
+        if ids is None:
+            ids = b"".join([self.units[u] for u in UNIT.findall(chunk)])
+            if len(self.known) < CHUNKS:
+                self.known[chunk] = ids
+        return ids
 
+    def text(self, text: str) -> bytes:
+        parts = chunks(text)
+        ids = list(map(self.units.get, parts))
+        if None in ids:
+            ids = [self.chunk(p) if i is None else i for p, i in zip(parts, ids, strict=True)]
+        return b"".join(ids)
 
-def _joiner(name: str, model: Model, sent) -> Joiner:
-    """One per Python worker and broadcast table."""
-    if name not in _joiners:
-        _joiners.clear()
-        joiner = Joiner(model)
-        for batch in pa.ipc.open_stream(pa.py_buffer(sent.value)):
-            for first in range(0, batch.num_rows, 5_000):
-                part = batch.slice(first, 5_000)
-                joiner.units.update((u, joiner.ids(p)) for u, p in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True))
-        _joiners[name] = joiner
-    return _joiners[name]
+    def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of the lattice, units and texts, to (doc_id, text, ids)."""
+        for batch in batches:
+            is_text = batch.column("unit").is_null().to_numpy(zero_copy_only=False)
+            turns = np.flatnonzero(np.diff(is_text)) + 1
+            for first, last in zip([0, *turns], [*turns, batch.num_rows], strict=True):
+                some = batch.slice(first, last - first)
+                if last > first and not is_text[first]:
+                    self.learn(some.column("unit"), some.column("mask"), some.column("cuts"))
+                elif last > first:
+                    for few in slices(iter([some]), "text", 4 << 20):
+                        ids = [self.text(t or "") for t in few.column("text").to_pylist()]
+                        yield pa.RecordBatch.from_arrays([few.column("doc_id"), few.column("text"), _id_lists(ids)], names=["doc_id", "text", "ids"])
 
 
 def _id_lists(ids: list[bytes]) -> pa.Array:
@@ -240,69 +308,42 @@ def _id_lists(ids: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
 
 
-def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", most_units: int = 400_000, longest_unit: int = 32) -> DataFrame:
+def _rows(docs: DataFrame, model: Model, id_col: str, text_col: str, remembered: int = REMEMBERED) -> DataFrame:
+    units = map_arrow(ids_and_texts(docs, id_col, text_col), lambda batches: new_units(batches, remembered), "unit string, doc_id bigint, text string")
+    return folded(docs.sparkSession, units, model)
+
+
+def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """Per row of ``docs``: doc_id, text, ids (what the library gives for the whole text).
 
-    The broadcast dictionary holds at most ``most_units`` units of at most ``longest_unit``
-    characters (some 60 MB in a worker at the default). Null and empty texts have no ids.
-    Repeated rows are encoded each, a null doc_id stays null; an empty table gives no rows;
-    further columns are ignored.
+    Null and empty texts have no ids. Repeated rows are encoded each, a null doc_id stays
+    null; an empty table gives no rows; further columns are ignored. The time a unit (a run
+    of letters or of other signs) takes grows with a power of its length beyond MASK.
     """
-    spark = docs.sparkSession
-    docs = ids_and_texts(docs, id_col, text_col)
-    coded, path = stored(spark, lattice(spark, unit_counts(docs), model), "units")
-    top = coded.where(F.length("unit") <= longest_unit).orderBy(F.desc("n"), "unit").limit(most_units).select("unit", "parts").toArrow()
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, top.schema) as writer:
-        writer.write_table(top)
-    sent, name = spark.sparkContext.broadcast(sink.getvalue().to_pybytes()), path
-
-    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        joiner = _joiner(name, model, sent)
-        for batch in slices(batches, "text"):
-            found: dict[bytes, set[str]] = {}
-            for text in batch.column(1).to_pylist():
-                lacks: set[str] = set()
-                joiner.text(text or "", {}, lacks)
-                if lacks:
-                    found[hashlib.md5(text.encode()).digest()] = lacks
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, v in found.items() for _ in v], pa.binary()), pa.array([u for v in found.values() for u in v], pa.string())], names=["key", "unit"])
-
-    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            texts = [None if t is None else t.encode() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([hashlib.md5(t or b"").digest() for t in texts], pa.binary()), pa.array([None if t is None else zlib.compress(t, 1) for t in texts], pa.binary())], names=["doc_id", "key", "packed"])
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        joiner = _joiner(name, model, sent)
-        for batch in slices(batches, "packed", 4 << 20):
-            texts, ids = [], []
-            for packed, own in zip(batch.column("packed").to_pylist(), batch.column("own").to_pylist(), strict=True):
-                text = None if packed is None else zlib.decompress(packed).decode()
-                lacks: set[str] = set()
-                texts.append(text)
-                ids.append(joiner.text(text or "", {x["unit"]: joiner.ids(x["parts"]) for x in own or ()}, lacks))
-                if lacks:
-                    raise ValueError(f"units without pieces: {sorted(lacks)[:3]}")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), _id_lists(ids)], names=["doc_id", "text", "ids"])
-
-    rare = map_arrow(docs, missing, "key binary, unit string").distinct().join(coded.select("unit", "parts"), "unit")
-    own = rare.groupBy("key").agg(F.collect_list(F.struct("unit", "parts")).alias("own"))
-    packed = map_arrow(docs, small, "doc_id bigint, key binary, packed binary").join(own, "key", "left").select("doc_id", "packed", "own")
-    return map_arrow(packed, finish, "doc_id bigint, text string, ids array<int>")
+    return map_arrow(_rows(docs, model, id_col, text_col, remembered), lambda batches: Joiner(model).run(batches), "doc_id bigint, text string, ids array<int>")
+
+
+class Decoder:
+    """Pieces end to end, byte pieces as bytes, blanks back, and the blank before the text
+    away. Other ids stand for nothing."""
+
+    def __init__(self, model: Model):
+        table = {i: p.encode() for p, _, i in model.pieces}
+        if model.first_byte >= 0:
+            table |= {model.first_byte + b: bytes([b]) for b in range(256)}
+        self.bytes_of = [table.get(i, b"") for i in range(max(table, default=-1) + 1)]
+
+    def text(self, ids: list[int]) -> str:
+        n = len(self.bytes_of)
+        if ids and not (0 <= min(ids) and max(ids) < n):
+            ids = [i for i in ids if 0 <= i < n]
+        text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+        return text.replace(BLANK, " ").removeprefix(" ")
 
 
 def decode_texts(ids: list[list[int]], model: Model) -> list[str]:
-    """The texts that ids stand for: pieces end to end, byte pieces as bytes, blanks back,
-    and the blank before the text away."""
-    table = {i: p.encode() for p, _, i in model.pieces}
-    if model.first_byte >= 0:
-        table |= {model.first_byte + b: bytes([b]) for b in range(256)}
-    out = []
-    for some in ids:
-        text = b"".join(table.get(i, b"") for i in some).decode("utf-8", "replace").replace(BLANK, " ")
-        out.append(text.removeprefix(" "))
-    return out
+    """The texts that ids stand for."""
+    return list(map(Decoder(model).text, ids))
 
 
 def decode(rows: DataFrame, model: Model, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -317,17 +358,28 @@ def decode(rows: DataFrame, model: Model, id_col: str = "doc_id", ids_col: str =
     return map_arrow(rows.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{ids_col}`").alias("ids")), run, "doc_id bigint, text string")
 
 
+def _digests(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    decoder = Decoder(model)
+    for batch in slices(batches, "text"):
+        ids, texts = batch.column("ids"), batch.column("text").to_pylist()
+        n, crcs, same = [], [], []
+        for i, text in enumerate(texts):
+            own = ids[i].values.to_numpy()
+            n.append(len(own))
+            crcs.append(zlib.crc32(own.astype("<u4").tobytes()))
+            same.append(decoder.text(own.tolist()) == (text or ""))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(crcs, pa.int64()), pa.array(same, pa.bool_())], names=["doc_id", "n_pieces", "ids_crc32", "round_trip"])
+
+
+_DIGEST = "doc_id bigint, n_pieces bigint, ids_crc32 bigint, round_trip boolean"
+
+
 def digest(encoded: DataFrame, model: Model) -> DataFrame:
     """Per row of encode(): doc_id, n_pieces, ids_crc32 (little-endian unsigned 32-bit ids),
     round_trip (decoding gives the text; a null text counts as empty)."""
+    return map_arrow(encoded, lambda batches: _digests(model, batches), _DIGEST)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            ids = batch.column("ids").to_pylist()
-            back = decode_texts(ids, model)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(np.array(x, "<u4").tobytes()) for x in ids], pa.int64()), pa.array([(t or "") == b for t, b in zip(batch.column("text").to_pylist(), back, strict=True)], pa.bool_())],
-                names=["doc_id", "n_pieces", "ids_crc32", "round_trip"],
-            )
-
-    return map_arrow(encoded, run, "doc_id bigint, n_pieces bigint, ids_crc32 bigint, round_trip boolean")
+
+def digests(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """digest(encode(docs)) with both in one Python worker."""
+    return map_arrow(_rows(docs, model, id_col, text_col), lambda batches: _digests(model, Joiner(model).run(batches)), _DIGEST)

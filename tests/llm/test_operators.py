@@ -194,14 +194,24 @@ def test_sentencepiece(docs, empty):
     path = public_tokenizers.path("piece_bpe_32k.model")
     library, model = sentencepiece.SentencePieceProcessor(model_file=path), sentencepiece_lattice.Model.load(path)
     want = sorted(docs.collect(), key=key)
-    for most in (20, 400_000):
-        encoded = sentencepiece_lattice.encode(docs, model, most_units=most)
+    for remembered in (20, 250_000):
+        encoded = sentencepiece_lattice.encode(docs, model, remembered=remembered)
         got = sorted(encoded.collect(), key=key)
         assert [(r.doc_id, r.ids) for r in got] == [(d.doc_id, library.encode(d.text or "") if d.text else []) for d in want]
     digest = sorted(sentencepiece_lattice.digest(encoded, model).collect(), key=key)
     assert all(d.round_trip and d.n_pieces == len(g.ids) for d, g in zip(digest, got, strict=True))
     assert [r.text or "" for r in sorted(sentencepiece_lattice.decode(encoded, model).collect(), key=key)] == [d.text or "" for d in want]
-    assert sentencepiece_lattice.encode(empty, model).count() == 0
+    assert sentencepiece_lattice.encode(empty, model).count() == sentencepiece_lattice.digests(empty, model).count() == 0
+    assert sorted(sentencepiece_lattice.digests(docs, model).collect(), key=key) == digest
+
+
+def test_sentencepiece_random(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library, model = sentencepiece.SentencePieceProcessor(model_file=path), sentencepiece_lattice.Model.load(path)
+    bits = ("th", "er", "tion", "ing", "é", "sch", "con", "a", "qu", "ß", " ", "  ", ".", "--", "==", "7", "漢", "😀", "S", "ES", "▁")
+    texts = ["".join(R.choice(bits) for _ in range(R.randint(0, 90))) for _ in range(1500)] + ["ab" * 40 + "=" * 70]
+    got = {r.doc_id: r.ids for r in sentencepiece_lattice.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), model).collect()}
+    assert all(got[i] == library.encode(t) for i, t in enumerate(texts))
 
 
 def test_sentencepiece_viterbi(spark):
