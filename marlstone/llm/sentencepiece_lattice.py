@@ -19,6 +19,7 @@ import json
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -76,30 +77,49 @@ def chunks(text: str) -> list[str]:
     return (BLANK + text.replace(" ", " " + BLANK)).split(" ")
 
 
-def new_units(batches: Iterator[pa.RecordBatch], remembered: int = REMEMBERED) -> Iterator[pa.RecordBatch]:
-    """(unit, doc_id, text): units not sent before, then the texts (without a unit) that
-    hold them; the empty unit says that all before it is forgotten."""
-    units: set[str] = set()
-    known: set[str] = set()
+_UNITS = "unit string, doc_id bigint, text string, numbers binary"
+
+
+def numbered(batches: Iterator[pa.RecordBatch], remembered: int = REMEMBERED) -> Iterator[pa.RecordBatch]:
+    """Units not sent before, numbered from 0 as they come, then the texts (without a unit)
+    that hold them, each with the 32-bit numbers of its units in order. The empty unit says
+    that all before it is forgotten and numbers start anew."""
+    units: dict[str, int] = {}
+    known: dict[str, list[int]] = {}
     for batch in slices(batches, "text", 4 << 20):
-        new = []
+        new: list[str] = []
         if len(units) > remembered:
             units.clear()
             known.clear()
             new.append("")
+
+        def number(unit: str) -> int:
+            if (n := units.get(unit)) is None:
+                n = units[unit] = len(units)
+                new.append(unit)  # noqa: B023
+            return n
+
+        def chunk(c: str) -> list[int]:
+            if (own := known.get(c)) is None:
+                own = [number(u) for u in UNIT.findall(c)]  # noqa: B023
+                if len(own) > 1 and len(known) < CHUNKS:
+                    known[c] = own
+            return own
+
+        sent = []
         for text in batch.column(1).to_pylist():
-            for chunk in (set(chunks(text or "")) - units) - known:
-                found = UNIT.findall(chunk)
-                for unit in found:
-                    if unit not in units:
-                        units.add(unit)
-                        new.append(unit)
-                if len(found) > 1 and len(known) < CHUNKS:
-                    known.add(chunk)
+            parts = chunks(text or "")
+            own = array("i")
+            for part, n in zip(parts, map(units.get, parts), strict=True):
+                if n is None:
+                    own.extend(chunk(part))
+                else:
+                    own.append(n)
+            sent.append(own.tobytes())
         for first in range(0, len(new), 10_000):
             part = pa.array(new[first : first + 10_000], pa.string())
-            yield pa.RecordBatch.from_arrays([part, pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.string())], names=["unit", "doc_id", "text"])
-        yield pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.string()), batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string())], names=["unit", "doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([part, *(pa.nulls(len(part), t) for t in (pa.int64(), pa.string(), pa.binary()))], names=["unit", "doc_id", "text", "numbers"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.string()), batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(sent, pa.binary())], names=["unit", "doc_id", "text", "numbers"])
 
 
 def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,16 +182,18 @@ def folded(spark: SparkSession, units: DataFrame, model: Model) -> DataFrame:
     place = {c: i for i, c in enumerate(costs)}
     least = 2 if model.merges else 1
     rows = [(p, place[-s]) for p, s, _ in model.pieces if len(p) >= least] + [("", -1)]
-    table = F.broadcast(spark.createDataFrame(rows, "piece string, place bigint"))
+    table = F.broadcast(spark.createDataFrame(rows, "own string, place bigint").withColumn("hash", F.xxhash64("own")))
     size = F.coalesce(F.length("unit"), F.lit(0))
     spots = units.withColumn("s", F.explode(F.sequence(F.lit(0), F.greatest(size - least, F.lit(0)))))
     first = F.when(F.col("s") == 0, 0).otherwise(least)
     spots = spots.withColumn("k", F.explode(F.sequence(first, F.least(F.lit(model.longest()), size - F.col("s")))))
     spots = spots.withColumn("piece", F.expr("coalesce(substring(unit, s + 1, k), '')"))
     edge = F.when(F.col("place") >= 0, F.expr("shiftleft(place, 40) + shiftleft(cast(s as bigint), 20) + s + k"))
+    # a hash as the key makes the probe cheap; strings that begin with each other are equal
+    equal = (F.xxhash64("piece") == F.col("hash")) & F.col("piece").startswith(F.col("own")) & F.col("own").startswith(F.col("piece"))
     whole = [F.when(F.col("place") < 0, F.col(c)).alias(c) for c in units.columns]
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in units.schema)
-    edges = map_arrow(spots.join(table, "piece").select(*whole, edge.alias("edge")), grouped, f"{types}, edges array<bigint>, ends array<bigint>")
+    edges = map_arrow(spots.join(table, equal).select(*whole, edge.alias("edge")), grouped, f"{types}, edges array<bigint>, ends array<bigint>")
     if model.merges:
         short, any_length = _merge_cuts()
         length = F.length("unit")
@@ -246,7 +268,7 @@ class Joiner:
 
     def __init__(self, model: Model):
         self.of_part = {p: struct.pack("<i", i) for p, _, i in model.pieces}
-        self.model, self.units, self.known = model, {}, {}
+        self.model, self.ids = model, []
 
     def part(self, p: str) -> bytes:
         """A piece, or a character outside the vocabulary: its bytes' pieces."""
@@ -267,26 +289,13 @@ class Joiner:
         for r in np.flatnonzero(cuts.is_valid().to_numpy(zero_copy_only=False)).tolist():
             own = cuts[r].as_py()
             ids[r] = b"".join([self.part(names[r][a:b]) for a, b in zip(own, own[1:], strict=False)])
-        start = 0
         if "" in names:
-            self.units.clear()
-            start = len(names) - names[::-1].index("")
-        self.units.update(zip(names[start:], ids[start:], strict=True))
-
-    def chunk(self, chunk: str) -> bytes:
-        ids = self.known.get(chunk)
-        if ids is None:
-            ids = b"".join([self.units[u] for u in UNIT.findall(chunk)])
-            if len(self.known) < CHUNKS:
-                self.known[chunk] = ids
-        return ids
+            self.ids.clear()
+            ids = ids[len(names) - names[::-1].index("") :]
+        self.ids += ids
 
-    def text(self, text: str) -> bytes:
-        parts = chunks(text)
-        ids = list(map(self.units.get, parts))
-        if None in ids:
-            ids = [self.chunk(p) if i is None else i for p, i in zip(parts, ids, strict=True)]
-        return b"".join(ids)
+    def text(self, numbers: bytes) -> bytes:
+        return b"".join(map(self.ids.__getitem__, array("i", numbers)))
 
     def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of the lattice, units and texts, to (doc_id, text, ids)."""
@@ -299,7 +308,7 @@ class Joiner:
                     self.learn(some.column("unit"), some.column("mask"), some.column("cuts"))
                 elif last > first:
                     for few in slices(iter([some]), "text", 4 << 20):
-                        ids = [self.text(t or "") for t in few.column("text").to_pylist()]
+                        ids = list(map(self.text, few.column("numbers").to_pylist()))
                         yield pa.RecordBatch.from_arrays([few.column("doc_id"), few.column("text"), _id_lists(ids)], names=["doc_id", "text", "ids"])
 
 
@@ -309,7 +318,7 @@ def _id_lists(ids: list[bytes]) -> pa.Array:
 
 
 def _rows(docs: DataFrame, model: Model, id_col: str, text_col: str, remembered: int = REMEMBERED) -> DataFrame:
-    units = map_arrow(ids_and_texts(docs, id_col, text_col), lambda batches: new_units(batches, remembered), "unit string, doc_id bigint, text string")
+    units = map_arrow(ids_and_texts(docs, id_col, text_col), lambda batches: numbered(batches, remembered), _UNITS)
     return folded(docs.sparkSession, units, model)
 
 
