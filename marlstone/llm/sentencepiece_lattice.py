@@ -82,7 +82,8 @@ _UNITS = "unit string, doc_id bigint, text string, numbers binary"
 
 def numbered(batches: Iterator[pa.RecordBatch], remembered: int = REMEMBERED) -> Iterator[pa.RecordBatch]:
     """Units not sent before, numbered from 0 as they come, then the texts (without a unit)
-    that hold them, each with the 32-bit numbers of its units in order. The empty unit says
+    that hold them, each with the count of
+    units so far and the numbers of its own in order (32 bits each). The empty unit says
     that all before it is forgotten and numbers start anew."""
     units: dict[str, int] = {}
     known: dict[str, list[int]] = {}
@@ -116,6 +117,8 @@ def numbered(batches: Iterator[pa.RecordBatch], remembered: int = REMEMBERED) ->
                 else:
                     own.append(n)
             sent.append(own.tobytes())
+        count = array("i", [len(units)]).tobytes()
+        sent = [count + own for own in sent]
         for first in range(0, len(new), 10_000):
             part = pa.array(new[first : first + 10_000], pa.string())
             yield pa.RecordBatch.from_arrays([part, *(pa.nulls(len(part), t) for t in (pa.int64(), pa.string(), pa.binary()))], names=["unit", "doc_id", "text", "numbers"])
@@ -295,7 +298,10 @@ class Joiner:
         self.ids += ids
 
     def text(self, numbers: bytes) -> bytes:
-        return b"".join(map(self.ids.__getitem__, array("i", numbers)))
+        own = array("i", numbers)
+        if own[0] != len(self.ids):
+            raise ValueError(f"{len(self.ids)} units came before a text that follows {own[0]}")
+        return b"".join(map(self.ids.__getitem__, own[1:]))
 
     def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of the lattice, units and texts, to (doc_id, text, ids)."""
