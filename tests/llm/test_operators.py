@@ -355,6 +355,20 @@ def test_quality_ratio(spark):
     assert all(rows[i].kept for i in range(120)) and not any(rows[i].kept for i in range(120, 180))
 
 
+def test_quality_recall(spark):
+    """Documents labelled 0 go, though all but 6 of their 300 words are clean ones."""
+    own = random.Random(11)
+    clean = [w + c for w in ("the", "and", "sun", "sea", "tree", "bird", "song") for c in "abcdefghij"]
+    texts = [[own.choice(clean) for _ in range(300)] for _ in range(440)]
+    for words in texts[400:]:
+        for k in own.sample(range(300), 6):
+            words[k] += own.choice(("###", "$$$", "%%%", "&&&"))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i < 400)) for i in range(440)], "doc_id bigint, quality int")
+    kept = {r.doc_id for r in quality.judge(df, labels).where("kept").collect()}
+    assert sum(i in kept for i in range(400, 440)) <= 2 and sum(i in kept for i in range(400)) >= 396
+
+
 def test_toxicity(spark, docs, empty):
     filler = ["tree", "bird", "river", "stone", "cloud", "idle", "trace"]
     rows, labels = [], []
