@@ -37,12 +37,19 @@ class Rule:
         return self.kind + "@" + hashlib.sha256(repr((self.pattern, self.group, self.least)).encode()).hexdigest()[:16]
 
 
+# A private key goes on to its END line; where another BEGIN comes first or none follows, to
+# the end of its headers and base64 lines. Possessive, so that long keys take no stack.
+PEM_END = r"(?:[^-]++|-(?!----(?:BEGIN|END)\x20))*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+PEM_HEADERS = r"(?:[\x20\t]*+\r?\n(?:Proc-Type|DEK-Info|Comment|Version):[^\r\n]*+)*+"
+PEM_BLOCKS = r"(?:(?:\s|\\[rn])*+[A-Za-z0-9+/=]{32,}+)*+"
+PEM_LINES = r"(?:(?:[\x20\t]*+\r?\n[\x20\t]*+|(?:\\r)?\\n)[A-Za-z0-9+/]++={0,2}(?=[\x20\t]*+(?:\r?\n|\z)|\\[rn]|[\"']))*+"
+
 # The base rules, then formats that issuers of credentials publish.
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, True),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20, True),
     Rule("hex", r"[0-9a-f]{24,}", 0, 24, True),
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("pem", rf"-----BEGIN [A-Z ]{{0,40}}PRIVATE KEY-----(?:{PEM_END}|{PEM_HEADERS}{PEM_BLOCKS}{PEM_LINES})"),
     Rule("github", r"\bgh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"\bxox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"\beyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),

@@ -311,6 +311,33 @@ def test_secrets(spark, docs, empty):
     assert secrets.scan(secrets.versions(empty)).count() == 0
 
 
+def test_secrets_pem(spark):
+    """A private key goes with its body and END line, and nothing beside it."""
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = [base64.b64encode(bytes(R.randrange(256) for _ in range(48))).decode() for _ in range(20)] + ["QUJD+w=="]
+    lines, long = "\n".join(body), "\n".join(body[:20] * 2000)
+    x = "[SECRET]"
+    cases = [
+        (f"a\n{begin}\n{lines}\n{end}\nb c", f"a\n{x}\nb c"),
+        (f"a {begin}\r\n" + "\r\n".join(body) + f"\r\n{end} b", f"a {x} b"),
+        (f'k = "{begin}' + "\\n" + "\\n".join(body) + "\\n" + f'{end}" b', f'k = "{x}" b'),
+        (f"{begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n{lines}\n{end}", x),
+        (f"{begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n{lines}\nnot a key.", f"{x}\nnot a key."),
+        (f"a {begin}\n{lines}\nthe key ends here. b", f"a {x}\nthe key ends here. b"),
+        (f"a {begin}\n{lines}", f"a {x}"),
+        (f'k = "{begin}' + "\\n" + "\\n".join(body) + '" b', f'k = "{x}" b'),
+        (f"{begin}\n{lines}\nsome words here, then\n{begin}\n{lines}\n{end}\nb", f"{x}\nsome words here, then\n{x}\nb"),
+        (f"{begin}\n{lines}\n{end}\nmid words\n{begin}\n{lines}\n{end}\nb", f"{x}\nmid words\n{x}\nb"),
+        (f"the line {begin} starts a key, says the manual.", f"the line {x} starts a key, says the manual."),
+        (f"{begin}\n{long}\n{end} z", f"{x} z"),
+        (f"{begin}\n{long}\nno end. z", f"{x}\nno end. z"),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id bigint, text string")
+    history = secrets.versions(df)
+    got = {r.doc_id: r.text for r in secrets.redact(df, secrets.findings(history, secrets.scan(history))).collect()}
+    assert {i for i, (_, want) in enumerate(cases) if got[i] != want} == set()
+
+
 def test_quality(spark, docs, empty):
     def measures(text):
         text = text or ""
