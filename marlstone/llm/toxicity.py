@@ -1,8 +1,8 @@
 """Toxicity: a learned weighted lexicon, matched by an Aho-Corasick automaton.
 
 Texts are folded first: lower case, homoglyphs and digit substitutions to one letter each,
-invisible characters away. Lexicon terms are beginnings of words (of the labelled rows) that
-mark toxic documents; phrases that labelled clean documents use around a term are
+invisible characters away. Lexicon terms are beginnings of words (of the labelled rows), or
+whole words too short to have one, that mark toxic documents; phrases that labelled clean documents use around a term are
 exceptions and void the hit inside them. The sum of the weights of the hits is divided by
 the logarithm of the word count and goes through a fitted logistic curve.
 """
@@ -41,6 +41,9 @@ def fold(text: str) -> str:
 
 
 def beginnings(word: str) -> Iterator[str]:
+    """A word below SHORTEST has itself alone, which as a term matches whole words only."""
+    if len(word) < SHORTEST:
+        yield word
     for n in range(SHORTEST, min(len(word), LONGEST) + 1):
         yield word[:n]
 
@@ -78,6 +81,8 @@ class Lexicon:
             start = last + 1 - n
             if start and folded[start - 1].isalnum():
                 continue
+            if weight is not None and n < SHORTEST and (WORD.match(folded, last + 1) or start and WORD.match(folded, start - 1)):
+                continue
             if weight is None:
                 spared.append((start, last + 1))
             elif start not in found or found[start][1] <= last + 1:
@@ -128,16 +133,17 @@ def _count_terms(batches: Iterator[pa.RecordBatch], exceptions: tuple[str, ...])
     yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in (counts[1], counts[0])), pa.array([contexts.get(t, 0) for t in terms], pa.int64())], names=["term", "bad", "good", "contexts"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_rows: int = 12_000, most_terms: int = 4_000, least_documents: int = 4, chance: float = 1e-5, least_odds: float = 3.0, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_rows: int = 12_000, least_documents: int = 4, chance: float = 1e-5, least_odds: float = 3.0, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """A lexicon from labelled rows whose crc32(id as text) mod 3 isn't 1.
 
     Copies of a toxic text say the same thing again, so evidence is counted in different
     words before the beginning, not in rows. A beginning is a term if it has
     ``least_documents`` of them in toxic rows, which by the share of toxic rows would happen
     with less than ``chance``, and stands far more often in toxic rows; of beginnings of each other with the
-    same rows the longest, and of the others the shortest is kept. At most ``most_rows``
-    rows are read and ``most_terms`` candidates gathered. Without labelled rows of both
-    kinds the lexicon is empty and all scores are low.
+    same rows the longest, and of the others the shortest is kept; a whole word below
+    SHORTEST stands for itself. At most ``most_rows`` rows are read, which bounds the terms
+    and exceptions too: none is left out. Without labelled rows of both kinds the lexicon is
+    empty and all scores are low.
     """
     rows = training_rows(docs, labels, id_col, text_col, most_rows).persist()
     try:
@@ -150,24 +156,22 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         odds = F.log((F.col("bad") + 0.5) / (bad_rows + 1.0)) - F.log((F.col("good") + 0.5) / (good_rows + 1.0))
         unlikely = F.col("contexts") * math.log(bad_rows / (bad_rows + good_rows)) < math.log(chance)
         strong = counted.where((F.col("contexts") >= least_documents) & ~F.col("term").contains(" ") & unlikely & (odds > least_odds)).select("term", "bad", "good", odds.alias("odds"))
-        candidates = {r["term"]: (r["bad"], r["good"], r["odds"]) for r in strong.orderBy(F.desc("bad"), "term").limit(most_terms).collect()}
+        candidates = {r["term"]: (r["bad"], r["good"], r["odds"]) for r in strong.collect()}
+        twins = {(c[:-1], *candidates[c][:2]) for c in candidates if len(c) > SHORTEST}
         weights: dict[str, float] = {}
         for term in sorted(candidates, key=lambda t: (len(t), t)):
-            longer = {c[: len(term) + 1]: candidates[c] for c in candidates if len(c) == len(term) + 1 and c.startswith(term)}
-            if any(v[:2] == candidates[term][:2] for v in longer.values()) or any(b in weights for b in beginnings(term[:-1])):
+            shorter = beginnings(term[:-1]) if len(term) > SHORTEST else ()
+            if (term, *candidates[term][:2]) in twins or any(b in weights for b in shorter):
                 continue
             weights[term] = round(candidates[term][2], 4)
-        pairs = [F.col("term").rlike(rf"(^|\s){re.escape(t)}") for t in weights]
-        learned = ()
         if not weights:
             counted.unpersist()
             return Lexicon({}, exceptions)
-        if pairs:
-            any_pair = pairs[0]
-            for p in pairs[1:]:
-                any_pair = any_pair | p
-            clean = counted.where(F.col("term").contains(" ") & (F.col("bad") == 0) & (F.col("good") >= 3) & any_pair)
-            learned = tuple(r["term"] for r in clean.orderBy(F.desc("good"), "term").limit(most_terms).select("term").collect())
+        held = F.broadcast(rows.sparkSession.createDataFrame([(t,) for t in weights], "held string"))
+        clean = counted.where(F.col("term").contains(" ") & (F.col("bad") == 0) & (F.col("good") >= 3))
+        own = F.transform(F.split("term", " "), _beginnings)
+        clean = clean.select("term", "good", F.explode(F.array_distinct(F.flatten(own))).alias("held")).join(held, "held", "left_semi").select("term", "good").distinct()
+        learned = tuple(r["term"] for r in clean.orderBy(F.desc("good"), "term").collect())
         counted.unpersist()
         lexicon = Lexicon(weights, exceptions + learned)
         x, y = _features(rows, lexicon)
@@ -177,6 +181,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         rows.unpersist()
 
 
+def _beginnings(word: Column) -> Column:
+    """beginnings() as a column."""
+    lengths = F.sequence(F.lit(SHORTEST), F.least(F.length(word), F.lit(LONGEST)))
+    return F.when(F.length(word) < SHORTEST, F.array(word)).otherwise(F.transform(lengths, lambda n: F.substring(word, F.lit(1), n)))
+
+
 def _features(rows: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

@@ -418,3 +418,26 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score(empty, lexicon).count() == 0
     assert toxicity.learn(empty, known).weights == {}
     assert toxicity.keep(df, lexicon).columns == df.columns
+
+
+def test_toxicity_keeps_all_terms(spark):
+    """Whole words below four letters are learned, and exceptions beyond 4000 too."""
+    own = random.Random(12)
+    filler = [a + b for a in ("tree", "bird", "river", "stone") for b in "abcdefghijk"]
+    phrases = [f"grumbo w{i:04d}x" for i in range(4200)]
+    texts, labels = [], []
+    for i in range(1200):
+        words = [own.choice(filler) for _ in range(20)]
+        marker = ("grumbo", "zug")[i % 2] if i % 3 == 0 else "zugreba"
+        words.insert(own.randrange(1, 20), marker)
+        texts.append((i, " ".join(words)))
+        labels.append((i, int(i % 3 == 0)))
+    known = iter(i for i in range(2000, 2100) if zlib.crc32(str(i).encode()) % 3 != 1)
+    for i in [next(known) for _ in range(3)]:
+        texts.append((i, " ".join(phrases)))
+        labels.append((i, 0))
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    lexicon = toxicity.learn(df, spark.createDataFrame(labels, "doc_id bigint, toxic int"), exceptions=())
+    assert {toxicity.fold(p) for p in phrases} <= set(lexicon.exceptions) and "zug" in lexicon.weights
+    got = {r.doc_id: r.predicted for r in toxicity.score(df, lexicon).collect()}
+    assert all(got[i] == (i % 3 == 0) for i in range(1200))
