@@ -406,11 +406,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's, with all their columns: one row
-    of each group, the first of any that repeat its id. Rows without an id stay unless they
-    copy one that has an id."""
-    found = near_duplicates(docs, id_col, text_col, **params)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.where(F.col(f"`{id_col}`").isNotNull()).join(first, F.col(f"`{id_col}`") == F.col("kept_id"), "left_semi").dropDuplicates([id_col])
+    """One row of each group of near copies, with all its columns: of the smallest id, and
+    of rows that repeat an id and its text the first. Rows that share an id but not a text
+    are told apart by a hash of both, which takes the id's place in the search: each goes
+    only if its own text or a linked one stays. Rows without an id stay."""
+    key = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    rows = docs.withColumn("__key", key)
+    named = rows.where(F.col(f"`{id_col}`").isNotNull())
+    texts = named.select("__key", F.col(f"`{text_col}`").alias("text"))
+    found = near_duplicates(texts, "__key", "text", **params).select(F.col("doc_id").alias("__key"), "component_id")
+    ids = named.select("__key", F.col(f"`{id_col}`").alias("id")).distinct()
+    first = found.distinct().join(ids, "__key").groupBy("component_id").agg(F.min(F.struct("id", "__key"))["__key"].alias("__key"))
+    kept = named.join(first.select("__key"), "__key", "left_semi").dropDuplicates(["__key"])
     unnamed = docs.where(F.col(f"`{id_col}`").isNull())
-    return named.unionByName(unnamed)
+    return kept.select(*[f"`{c}`" for c in docs.columns]).unionByName(unnamed)

@@ -161,6 +161,18 @@ def test_jaccard_join(spark, docs, empty):
     assert jaccard_join.near_duplicates(empty).count() == 0
 
 
+def test_keep_one_repeated_ids(spark):
+    """Of rows that share an id but not a text, each stays unless its own text does."""
+    own = random.Random(13)
+    text = [" ".join(f"w{own.randrange(10**6)}" for _ in range(60)) for _ in range(4)]
+    rows = [(1, text[0]), (5, text[0] + " more"), (5, text[1]), (5, text[1]), (7, text[2]), (7, text[3]), (8, text[3]), (9, None), (9, ""), (None, text[0])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n", F.lit(1))
+    got = jaccard_join.keep_one(df)
+    assert got.columns == df.columns
+    want = [(1, text[0]), (5, text[1]), (7, text[2]), (7, text[3]), (9, None), (9, ""), (None, text[0])]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, want))
+
+
 def test_count_tree_loses_nothing():
     import numpy as np
 
