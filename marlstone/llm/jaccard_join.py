@@ -408,9 +408,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """One row of each group of near copies, with all its columns: of the smallest id, and
     of rows that repeat an id and its text the first. Rows that share an id but not a text
-    are told apart by a hash of both, which takes the id's place in the search: each goes
-    only if its own text or a linked one stays. Rows without an id stay."""
-    key = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    are told apart by a hash of both, which takes the id's place in the search if there are
+    such rows: each goes only if its own text or a linked one stays. Rows without an id stay."""
+    own = docs.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("h"))
+    unique = own.groupBy("id").agg(F.min("h").alias("x"), F.max("h").alias("y")).where("x <> y").isEmpty()
+    key = F.col(f"`{id_col}`").cast("bigint") if unique else F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     rows = docs.withColumn("__key", key)
     named = rows.where(F.col(f"`{id_col}`").isNotNull())
     texts = named.select("__key", F.col(f"`{text_col}`").alias("text"))
