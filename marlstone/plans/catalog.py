@@ -370,6 +370,8 @@ first AS (SELECT doc_id, col_idx, min(column_name) AS column_name, min(material)
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # lines 1 and 2 are the catalogue by the definition in CATALOG; conditions of further
+    # lines are all there and may be without an entry, as in a document's catalogue
     rows = table(spark, sf_dir, "lineitem").where("l_linenumber <= 2").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("col_idx"), F.col("p_brand").alias("column_name"), F.concat(F.lit("m"), "p_size").alias("material"))
     return rows.groupBy("doc_id", "col_idx").agg(F.min("column_name").alias("column_name"), F.min("material").alias("material"))
