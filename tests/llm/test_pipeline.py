@@ -1,6 +1,7 @@
 """The stages on the smallest tables: each held against what it says it does."""
 
 import os
+import random
 
 import pytest
 
@@ -35,6 +36,45 @@ def test_stages(spark):
         docs = out
 
 
+def test_run_against_planted(spark, tmp_path, monkeypatch):
+    """What run() keeps at each stage, against sets worked out in plain Python."""
+    own = random.Random(14)
+    clean = [a + b for a in ("tree", "bird", "river", "stone", "cloud", "north", "paper") for b in "abcdefghij"]
+    texts = [[own.choice(clean) for _ in range(80)] for _ in range(1500)]
+    junk, toxic = set(range(0, 1500, 10)), set(range(1, 1500, 5))
+    for i in junk:
+        texts[i] = [w + own.choice(("###", "$$$", "%%%")) for w in texts[i]]
+    for i in toxic:
+        texts[i][own.randrange(1, 79)] = "grumbo"
+    for i in range(4, 1500, 50):
+        texts[i + 4] = [*texts[i][:79], "end"]
+    texts = [" ".join(w) for w in texts]
+    columns = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], columns).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i not in junk), int(i in toxic)) for i in range(1500)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    kept, stored = {}, common.stored
+
+    def spy(session, df, name):
+        out = stored(session, df, name)
+        if name in ("quality", "toxicity", "near_duplicates", "secrets"):
+            kept[name] = sorted(r.doc_id for r in out[0].select("doc_id").collect())
+        return out
+
+    monkeypatch.setattr(corpus_pipeline.common, "stored", spy)
+    pieces = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()}
+
+    shingles = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    good = [i for i in range(1500) if i not in junk]
+    assert kept["quality"] == good
+    mild = [i for i in good if i not in toxic]
+    assert kept["toxicity"] == mild
+    near = {b for k, a in enumerate(mild) for b in mild[k + 1 :] if 100 * len(shingles[a] & shingles[b]) >= 80 * len(shingles[a] | shingles[b])}
+    assert len(near) >= 20
+    single = [i for i in mild if i not in near]
+    assert kept["near_duplicates"] == kept["secrets"] == single and pieces == set(single)
+
+
 def test_empty(spark, tmp_path):
     docs = spark.read.parquet(f"{DIR}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
