@@ -2,9 +2,9 @@
 
 Texts are folded first: lower case, homoglyphs and digit substitutions to one letter each,
 invisible characters away. Lexicon terms are beginnings of words (of the labelled rows), or
-whole words too short to have one, that mark toxic documents; phrases that labelled clean documents use around a term are
-exceptions and void the hit inside them. The sum of the weights of the hits is divided by
-the logarithm of the word count and goes through a fitted logistic curve.
+whole words, that mark toxic documents; phrases that labelled clean documents use around a
+term are exceptions and void the hit inside them. The sum of the weights of the hits is
+divided by the logarithm of the word count and goes through a fitted logistic curve.
 """
 
 from __future__ import annotations
@@ -12,8 +12,10 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import map_arrow, slices
+from marlstone.llm.common import map_arrow, remove, slices, stored
 
 # Characters that pass for a letter. l, i and their doubles are one letter.
 LOOKALIKES = {
@@ -30,9 +32,10 @@ LOOKALIKES = {
 }
 INVISIBLE = "\u200b\u200c\u200d\u2060\ufeff\u00ad"
 FOLD = {ord(c): letter for letter, others in LOOKALIKES.items() for c in others} | {ord(c): None for c in INVISIBLE}
-#: Phrases with a term that insult no one; learned ones join them.
-EXCEPTIONS = ("trash can", "trash bin", "clown fish")
+#: Lengths of beginnings; a word that is shorter or longer is also a term as a whole.
 SHORTEST, LONGEST = 4, 12
+#: Counts that a task holds before it hands them on.
+HELD = 100_000
 WORD = re.compile(r"\w+")
 
 
@@ -41,11 +44,12 @@ def fold(text: str) -> str:
 
 
 def beginnings(word: str) -> Iterator[str]:
-    """A word below SHORTEST has itself alone, which as a term matches whole words only."""
-    if len(word) < SHORTEST:
-        yield word
+    """A word below SHORTEST has itself alone, which as a term matches whole words only; a
+    word beyond LONGEST has itself, too."""
     for n in range(SHORTEST, min(len(word), LONGEST) + 1):
         yield word[:n]
+    if not SHORTEST <= len(word) <= LONGEST:
+        yield word
 
 
 @dataclass
@@ -87,7 +91,9 @@ class Lexicon:
                 spared.append((start, last + 1))
             elif start not in found or found[start][1] <= last + 1:
                 found[start] = (start, last + 1, weight)
-        return [h for h in found.values() if not any(a <= h[0] and h[1] <= b for a, b in spared)]
+        spared.sort()
+        starts, reach = [a for a, _ in spared], [0, *accumulate((b for _, b in spared), max)]
+        return [h for h in found.values() if reach[bisect_right(starts, h[0])] < h[1]]
 
     def raw(self, text: str) -> float:
         """Weighted hits by the logarithm of the length."""
@@ -111,10 +117,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     return rows.join(F.broadcast(known), "id").select("text", "toxic")
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch], exceptions: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
-    """Documents, by label, that have a word beginning or (for exceptions) a pair of words,
-    known exceptions aside. contexts: of toxic documents, which of 60 hashes the word before
-    had."""
+def _counted(counts: tuple[Counter, Counter], contexts: dict[str, int]) -> pa.RecordBatch:
+    """The counts so far, which are then forgotten."""
+    terms = list(counts[1] | counts[0])
+    got = pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in (counts[1], counts[0])), pa.array([contexts.get(t, 0) for t in terms], pa.int64())], names=["term", "bad", "good", "contexts"])
+    for held in (*counts, contexts):
+        held.clear()
+    return got
+
+
+def _count_beginnings(batches: Iterator[pa.RecordBatch], exceptions: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """Documents, by label, that have a word beginning, given exceptions aside. contexts: of
+    toxic documents, which of 60 hashes the word before had. A task hands its counts on
+    before they grow large."""
     spared = [fold(e) for e in exceptions]
     counts, contexts = (Counter(), Counter()), {}
     for batch in slices(batches, "text"):
@@ -125,75 +140,87 @@ def _count_terms(batches: Iterator[pa.RecordBatch], exceptions: tuple[str, ...])
             words = WORD.findall(folded)
             before = dict(zip(reversed(words), [*reversed(words[:-1]), ""], strict=True))
             own = {b: 1 << zlib.crc32(before[w].encode()) % 60 for w in before for b in beginnings(w)}
-            counts[toxic > 0].update({*own, *(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)), ""})
+            counts[toxic > 0].update(own.keys())
             if toxic > 0:
                 for b, bit in own.items():
                     contexts[b] = contexts.get(b, 0) | bit
-    terms = list(counts[1] | counts[0])
-    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in (counts[1], counts[0])), pa.array([contexts.get(t, 0) for t in terms], pa.int64())], names=["term", "bad", "good", "contexts"])
+            if len(counts[0]) + len(counts[1]) > HELD:
+                yield _counted(counts, contexts)
+    yield _counted(counts, contexts)
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch], terms: frozenset[str]) -> Iterator[pa.RecordBatch]:
+    """Documents, by label, that have a pair of words one of which begins with a term."""
+    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    for batch in slices(batches, "text"):
+        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            words = WORD.findall(fold(text))
+            marked = {w for w in set(words) if not terms.isdisjoint(beginnings(w))}
+            counts[toxic > 0].update({f"{a} {b}" for a, b in zip(words, words[1:], strict=False) if a in marked or b in marked} if marked else ())
+            if len(counts[0]) + len(counts[1]) > HELD:
+                yield _counted(counts, {})
+    yield _counted(counts, {})
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_rows: int = 12_000, least_documents: int = 4, chance: float = 1e-5, least_odds: float = 3.0, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
+_COUNTS = "term string, bad bigint, good bigint, contexts bigint"
+
+
+def _best_terms(candidates: dict[str, tuple[int, int, float]]) -> dict[str, float]:
+    """Weights of the terms to keep: of beginnings of each other with the same rows the
+    longest, of the others the shortest."""
+    twins = {(c[:-1], *candidates[c][:2]) for c in candidates if len(c) > SHORTEST}
+    weights: dict[str, float] = {}
+    for term in sorted(candidates, key=lambda t: (len(t), t)):
+        shorter = beginnings(term[:-1]) if len(term) > SHORTEST else ()
+        if (term, *candidates[term][:2]) not in twins and not any(b in weights for b in shorter):
+            weights[term] = round(candidates[term][2], 4)
+    return weights
+
+
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_rows: int = 12_000, least_documents: int = 4, chance: float = 1e-5, least_odds: float = 3.0, exceptions: tuple[str, ...] = ()) -> Lexicon:
     """A lexicon from labelled rows whose crc32(id as text) mod 3 isn't 1.
 
     Copies of a toxic text say the same thing again, so evidence is counted in different
     words before the beginning, not in rows. A beginning is a term if it has
     ``least_documents`` of them in toxic rows, which by the share of toxic rows would happen
-    with less than ``chance``, and stands far more often in toxic rows; of beginnings of each other with the
-    same rows the longest, and of the others the shortest is kept; a whole word below
-    SHORTEST stands for itself. At most ``most_rows`` rows are read, which bounds the terms
-    and exceptions too: none is left out. Without labelled rows of both kinds the lexicon is
-    empty and all scores are low.
+    with less than ``chance``, and stands far more often in toxic rows. Pairs of words with
+    a term that three clean rows and no toxic one have are exceptions, beside those given.
+    At most ``most_rows`` rows are read, which bounds the terms and exceptions too: none is
+    left out. Without labelled rows of both kinds the lexicon is empty and all scores are low.
     """
-    rows = training_rows(docs, labels, id_col, text_col, most_rows).persist()
+    rows, path = stored(docs.sparkSession, training_rows(docs, labels, id_col, text_col, most_rows), "training")
     try:
-        counted = map_arrow(rows, lambda batches: _count_terms(batches, exceptions), "term string, bad bigint, good bigint, contexts bigint").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.bit_count(F.bit_or("contexts")).alias("contexts")).persist()
-        whole = counted.where("term = ''").collect()
-        bad_rows, good_rows = (whole[0]["bad"], whole[0]["good"]) if whole else (0, 0)
+        whole = rows.agg(F.count("*").alias("n"), F.count_if(F.col("toxic") > 0).alias("bad")).first()
+        bad_rows, good_rows = whole["bad"], whole["n"] - whole["bad"]
         if not bad_rows or not good_rows:
-            counted.unpersist()
             return Lexicon({}, exceptions)
+        counted = map_arrow(rows, lambda batches: _count_beginnings(batches, exceptions), _COUNTS).groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.bit_count(F.bit_or("contexts")).alias("contexts"))
         odds = F.log((F.col("bad") + 0.5) / (bad_rows + 1.0)) - F.log((F.col("good") + 0.5) / (good_rows + 1.0))
         unlikely = F.col("contexts") * math.log(bad_rows / (bad_rows + good_rows)) < math.log(chance)
-        strong = counted.where((F.col("contexts") >= least_documents) & ~F.col("term").contains(" ") & unlikely & (odds > least_odds)).select("term", "bad", "good", odds.alias("odds"))
-        candidates = {r["term"]: (r["bad"], r["good"], r["odds"]) for r in strong.collect()}
-        twins = {(c[:-1], *candidates[c][:2]) for c in candidates if len(c) > SHORTEST}
-        weights: dict[str, float] = {}
-        for term in sorted(candidates, key=lambda t: (len(t), t)):
-            shorter = beginnings(term[:-1]) if len(term) > SHORTEST else ()
-            if (term, *candidates[term][:2]) in twins or any(b in weights for b in shorter):
-                continue
-            weights[term] = round(candidates[term][2], 4)
+        strong = counted.where((F.col("contexts") >= least_documents) & unlikely & (odds > least_odds)).select("term", "bad", "good", odds.alias("odds"))
+        weights = _best_terms({r["term"]: (r["bad"], r["good"], r["odds"]) for r in strong.collect()})
         if not weights:
-            counted.unpersist()
             return Lexicon({}, exceptions)
-        held = F.broadcast(rows.sparkSession.createDataFrame([(t,) for t in weights], "held string"))
-        clean = counted.where(F.col("term").contains(" ") & (F.col("bad") == 0) & (F.col("good") >= 3))
-        own = F.transform(F.split("term", " "), _beginnings)
-        clean = clean.select("term", "good", F.explode(F.array_distinct(F.flatten(own))).alias("held")).join(held, "held", "left_semi").select("term", "good").distinct()
-        learned = tuple(r["term"] for r in clean.orderBy(F.desc("good"), "term").collect())
-        counted.unpersist()
+        pairs = map_arrow(rows, lambda batches: _count_pairs(batches, frozenset(weights)), _COUNTS).groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+        learned = tuple(sorted(r["term"] for r in pairs.where("bad = 0 AND good >= 3").collect()))
         lexicon = Lexicon(weights, exceptions + learned)
-        x, y = _features(rows, lexicon)
-        lexicon.slope, lexicon.intercept = _logistic(x, y)
+        lexicon.slope, lexicon.intercept = _logistic(*_features(rows, lexicon))
         return lexicon
     finally:
-        rows.unpersist()
-
-
-def _beginnings(word: Column) -> Column:
-    """beginnings() as a column."""
-    lengths = F.sequence(F.lit(SHORTEST), F.least(F.length(word), F.lit(LONGEST)))
-    return F.when(F.length(word) < SHORTEST, F.array(word)).otherwise(F.transform(lengths, lambda n: F.substring(word, F.lit(1), n)))
+        remove(docs.sparkSession, path)
 
 
 def _features(rows: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
+    """Of at most most_rows rows, in an order of their own: sums then don't depend on tasks."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays([pa.array([lexicon.raw(t) for t in batch.column(0).to_pylist()], pa.float64()), batch.column(1).cast(pa.int32())], names=["x", "y"])
 
-    got = map_arrow(rows, run, "x double, y int").orderBy("x", "y").collect()  # at most most_rows pairs of numbers
-    return np.array([r["x"] for r in got]), np.array([r["y"] for r in got], float)
+    got = map_arrow(rows, run, "x double, y int").toArrow()
+    x, y = got.column(0).to_numpy(), got.column(1).to_numpy().astype(float)
+    order = np.lexsort((y, x))
+    return x[order], y[order]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, steps: int = 60) -> tuple[float, float]:
@@ -209,7 +236,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, steps: int = 60
 
 
 def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """Per row of ``docs``: doc_id, held_out, score, predicted, n_hits.
+    """Per row of ``docs``: doc_id, held_out, score, predicted.
 
     Null and empty texts have no hits and the lowest score. Repeated rows are scored each;
     the remainder of a null doc_id is null, and so is its held_out. An empty table gives no
