@@ -44,6 +44,23 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, st
     return spark.read.schema(df.schema).parquet(path), path
 
 
+#: A key with at least HEAVY rows is joined by broadcast, MOST of them at most.
+HEAVY, MOST = 20_000, 20_000
+
+
+def join_heavy(left: DataFrame, right: DataFrame, keys: list[str], rows: str) -> DataFrame:
+    """Inner join of ``left`` to ``right``, which has one row for each value of the keys
+    and, in column ``rows``, how many rows of ``left`` have it. Values with very many rows
+    are few, so they are broadcast and their rows stay where they are; the others are
+    shuffled. Columns: those of left, then the others of right but ``rows``."""
+    others = [c for c in right.columns if c not in keys and c != rows]
+    heavy = right.where(F.col(rows) >= HEAVY).orderBy(F.desc(rows)).limit(MOST).select(*keys, F.struct(F.lit(1).alias("_"), *others).alias("__heavy"))
+    marked = left.join(F.broadcast(heavy), keys, "left")
+    spared = marked.where("__heavy IS NOT NULL").select(*left.columns, *[f"__heavy.{c}" for c in others])
+    dealt = marked.where("__heavy IS NULL").drop("__heavy").join(right.drop(rows), keys).select(*left.columns, *others)
+    return spared.union(dealt)
+
+
 def ids_and_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns an operator reads, under names of its own, so that further
     columns (of whatever names) never reach it."""

@@ -14,7 +14,9 @@
    out. Both rounds verify pairs on the texts themselves.
 
 Nothing is capped or sampled: every pair that can be a link is verified, unless its two
-ends are already connected.
+ends are already connected. A hash of very many documents is one key nowhere: its cell's
+smallest members are found by pre-aggregation and broadcast, and the tree search deals the
+cell to tasks in blocks.
 """
 
 from __future__ import annotations
@@ -23,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import ids_and_texts, map_arrow, remove, slices, stored
+from marlstone.llm.common import ids_and_texts, join_heavy, map_arrow, remove, slices, stored
 from marlstone.llm.components import components
 
 WORDS = 5
@@ -110,31 +113,67 @@ def needed_overlap(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def _frequent(docs: DataFrame, share: float, least: int) -> np.ndarray:
-    """Hashes in at least that share of the documents. Such a hash has that share in some
-    task, so tasks name only hashes which have it there; documents of mean size n have at
-    most n / share of them, however many documents there are."""
+class Frequent:
+    """Hashes in a given share of a task's documents, in bounded memory: distinct hashes and
+    their counts, of which the rarest go when they are more than ``most``. A count may then
+    be too low, which changes the order that hashes are put in and no result."""
+
+    def __init__(self, share: float, most: int = 2_000_000):
+        self.share, self.most, self.rows = share, most, 0
+        self.hashes, self.counts = np.array([], np.uint64), np.array([], np.int64)
+        self.new: list[np.ndarray] = []
+
+    def add(self, hashes: np.ndarray, rows: int) -> None:
+        self.rows += rows
+        self.new.append(hashes)
+        if sum(map(len, self.new)) > self.most:
+            self.settle()
+
+    def settle(self) -> None:
+        every = np.concatenate([self.hashes, *self.new])
+        weight = np.concatenate([self.counts, np.ones(len(every) - len(self.hashes), np.int64)])
+        order = np.argsort(every)
+        every, weight = every[order], weight[order]
+        starts = _starts(every) if len(every) else np.array([], np.int64)
+        self.hashes, self.counts, self.new = every[starts], np.add.reduceat(weight, starts) if len(starts) else weight, []
+        least = 1
+        while len(self.hashes) > self.most:
+            least += 1
+            self.hashes, self.counts = self.hashes[self.counts >= least], self.counts[self.counts >= least]
+
+    def found(self) -> tuple[np.ndarray, np.ndarray]:
+        self.settle()
+        often = self.counts >= max(2.0, self.share * self.rows)
+        return self.hashes[often], self.counts[often]
+
+
+def _frequent(spark: SparkSession, docs: DataFrame, share: float, least: int, most: int = 1_000_000) -> np.ndarray:
+    """Hashes in at least that share of the documents, sorted. Such a hash has that share in
+    some task, so tasks name only hashes which have it there; documents of mean size n have
+    at most n / share of them. Any set would do, as it only orders the hashes, so the
+    ``most`` most frequent bound what is sent to the tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, found = 0, []
+        held = Frequent(share)
         for batch in slices(batches, "text", 4 << 20):
-            rows += batch.num_rows
-            found.append(shingle_sets([t or "" for t in batch.column(1).to_pylist()])[0])
-        hashes, counts = np.unique(np.concatenate(found), return_counts=True) if found else (np.array([], np.uint64), np.array([], int))
-        often = counts >= max(2.0, share * rows)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(hashes[often].view(np.int64), 0)), pa.array(np.append(counts[often], 0).astype(np.int64)), pa.array([0] * int(often.sum()) + [rows], pa.int64())], names=["hash", "n", "rows"])
+            held.add(shingle_sets([t or "" for t in batch.column(1).to_pylist()])[0], batch.num_rows)
+        hashes, counts = held.found()
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(hashes.view(np.int64), 0)), pa.array(np.append(counts, 0).astype(np.int64)), pa.array([0] * len(hashes) + [held.rows], pa.int64())], names=["hash", "n", "rows"])
 
-    counted = map_arrow(docs, run, "hash bigint, n bigint, rows bigint").groupBy("hash").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows")).persist()
+    counted, path = stored(spark, map_arrow(docs, run, "hash bigint, n bigint, rows bigint"), "counts")
     rows = counted.agg(F.sum("rows")).first()[0] or 0
-    got = counted.where(F.col("n") >= max(least, share * rows)).select("hash").toArrow().column(0)
-    counted.unpersist()
+    often = counted.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= max(least, share * rows))
+    got = often.orderBy(F.desc("n"), "hash").limit(most).select("hash").toArrow().column(0)
+    remove(spark, path)
     return np.sort(np.asarray(got.to_numpy(), np.int64).view(np.uint64))
 
 
-def _profiles(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
-    """Per document: n, the set's 128-bit identity, its group counts and its prefix."""
+def _profiles(docs: DataFrame, sent: Broadcast, percent: int) -> DataFrame:
+    """Per document: n, the set's 128-bit identity, its group counts and its prefix, the
+    frequent hashes of that apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = sent.value
         for batch in slices(batches, "text", 4 << 20):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             hashes, at = shingle_sets(texts)
@@ -151,32 +190,43 @@ def _profiles(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
             order = np.lexsort((hashes, often, whose))
             rank = np.arange(len(hashes)) - np.repeat(at[:-1], n)
             size = np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
-            prefix = hashes[order][rank < np.repeat(size, n)].view(np.int64)
+            inside = rank < np.repeat(size, n)
+            lists = []
+            for kind in (False, True):
+                own = inside & (often[order] == kind)
+                lists.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(own)])[at], pa.int32()), pa.array(hashes[order][own].view(np.int64))))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(identity[0]), pa.array(identity[1]), pa.array([counts[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary()), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(prefix))],
-                names=["doc_id", "n", "s1", "s2", "counts", "prefix"],
+                [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(identity[0]), pa.array(identity[1]), pa.array([counts[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary()), *lists],
+                names=["doc_id", "n", "s1", "s2", "counts", "prefix", "often"],
             )
 
-    return map_arrow(docs, run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, counts binary, prefix array<bigint>")
+    return map_arrow(docs, run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, counts binary, prefix array<bigint>, often array<bigint>")
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
-    """Columns of sorted batches, cut so that no run of equal first ``keys`` columns is split."""
-    held: list | None = None
+def _runs(batches: Iterator[pa.RecordBatch], keys: int, most: int = 1 << 62) -> Iterator[list[np.ndarray]]:
+    """Columns of sorted batches, cut so that no run of equal first ``keys`` columns is split
+    unless it has more than ``most`` rows."""
+    held: list[list[np.ndarray]] = []
     for batch in batches:
         new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         if not len(new[0]):
             continue
-        held = new if held is None else [np.concatenate(p) for p in zip(held, new, strict=True)]
-        other = np.zeros(len(held[0]), bool)
+        other = np.zeros(len(new[0]), bool)
         for k in range(keys):
-            other |= held[k] != held[k][-1]
+            other |= new[k] != new[k][-1]
         cut = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+        if held and not cut and any(held[-1][k][-1] != new[k][-1] for k in range(keys)):
+            yield [np.concatenate(p) for p in zip(*held, strict=True)]
+            held = []
         if cut:
-            yield [c[:cut] for c in held]
-            held = [c[cut:] for c in held]
-    if held is not None:
-        yield held
+            yield [np.concatenate(p) for p in zip(*held, [c[:cut] for c in new], strict=True)]
+            held, new = [], [c[cut:] for c in new]
+        held.append(new)
+        if sum(len(h[0]) for h in held) > most:
+            yield [np.concatenate(p) for p in zip(*held, strict=True)]
+            held = []
+    if held:
+        yield [np.concatenate(p) for p in zip(*held, strict=True)]
 
 
 def _starts(*keys: np.ndarray) -> np.ndarray:
@@ -185,12 +235,37 @@ def _starts(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (hash, id, n) sorted by hash: the distinct cells of two or more ids. A cell's
-    name is a hash of its members; hub is the smallest member of about the row's size."""
+def _bands(n: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(n) / BAND).astype(np.int64)
+
+
+_CELLS = "cell bigint, id bigint, n bigint, hub bigint"
+
+
+def _cells(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Of rows (hash, id, n) sorted by hash and id: the distinct cells of two or more ids. A
+    cell's name is a hash of its members; hub is the smallest member of about the row's size.
+    A run of more than ``most`` rows passes in parts under a name of its hash."""
     seen: set[int] = set()
-    for token, id_, n in _runs(batches, 1):
-        starts = _starts(token)
+    long: tuple[int, dict[int, int]] | None = None
+    for token, id_, n in _runs(batches, 1, most):
+        if long is not None and token[0] != long[0]:
+            long = None
+        if long is None and len(token) > most and token[0] == token[-1]:
+            long = int(token[0]), {}
+        if long is not None:
+            lead = int(np.searchsorted(token != long[0], True))
+            if lead:
+                band = _bands(n[:lead])
+                kinds, first = np.unique(band, return_index=True)
+                for b, i in zip(kinds.tolist(), id_[first].tolist(), strict=True):
+                    long[1].setdefault(b, i)
+                hubs = np.array([long[1][b] for b in kinds.tolist()], np.int64)[np.searchsorted(kinds, band)]
+                yield pa.RecordBatch.from_arrays([pa.array(mix(token[:lead].view(np.uint64)).view(np.int64)), pa.array(id_[:lead]), pa.array(n[:lead]), pa.array(hubs)], names=["cell", "id", "n", "hub"])
+            if lead < len(token):
+                long = None
+            token, id_, n = token[lead:], id_[lead:], n[lead:]
+        starts = _starts(token) if len(token) else np.array([], np.int64)
         sizes = np.diff(np.r_[starts, len(token)])
         many = np.repeat(sizes > 1, sizes)
         token, id_, n, sizes = token[many], id_[many], n[many], sizes[sizes > 1]
@@ -202,18 +277,28 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first[np.unique(names, return_index=True)[1]] = True
         first &= np.array([x not in seen for x in names.tolist()], bool)
         seen.update(names[first].tolist())
-        if len(seen) > 2_000_000:
+        if len(seen) > 500_000:
             seen.clear()
         keep = np.repeat(first, sizes)
-        cell, size, id_, n = np.repeat(names, sizes)[keep], np.repeat(sizes, sizes)[keep], id_[keep], n[keep]
+        cell, id_, n = np.repeat(names, sizes)[keep], id_[keep], n[keep]
         if not len(cell):
             continue
-        band = np.floor(np.log(n) / BAND).astype(np.int64)
+        band = _bands(n)
         order = np.lexsort((id_, band, cell))
-        cell, size, id_, n, band = cell[order], size[order], id_[order], n[order], band[order]
+        cell, id_, n, band = cell[order], id_[order], n[order], band[order]
         starts = _starts(cell, band)
         hub = np.repeat(id_[starts], np.diff(np.r_[starts, len(cell)]))
-        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(size.astype(np.int64)), pa.array(id_), pa.array(n), pa.array(hub)], names=["cell", "size", "id", "n", "hub"])
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(id_), pa.array(n), pa.array(hub)], names=["cell", "id", "n", "hub"])
+
+
+def _frequent_cells(heads: DataFrame) -> DataFrame:
+    """The same of frequent hashes, without a shuffle of their rows: a hash is a cell, its
+    hubs are pre-aggregated and sent to the rows. A band spans a quarter in size, so there
+    are at most some hundred hubs for each of the hashes."""
+    band = F.floor(F.log(F.col("n").cast("double")) / float(BAND)).cast("int")
+    rows = heads.where(F.size("often") > 0).select(F.explode("often").alias("cell"), "id", "n", band.alias("band"))
+    hubs = rows.groupBy("cell", "band").agg(F.min("id").alias("hub"), F.count("*").alias("rows"))
+    return join_heavy(rows, hubs, ["cell", "band"], "rows").select("cell", "id", "n", "hub")
 
 
 def _bound(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -267,19 +352,29 @@ def _near(cells: dict[int, np.ndarray], n: np.ndarray, counts: np.ndarray, perce
 def _tree_pairs(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of rows (cell, i, j, id, n, component, side, counts) sorted by cell, i, j."""
+
+        def pairs(out_a: list[np.ndarray], out_b: list[np.ndarray]) -> pa.RecordBatch:
+            found = np.unique(np.c_[np.concatenate(out_a), np.concatenate(out_b)], axis=0)
+            out_a.clear(), out_b.clear()
+            return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+        out_a, out_b, held = [], [], 0
         for cell, i, j, id_, n, comp, side, counts in _runs(batches, 3):
-            out_a, out_b = [], []
             groups = groups_of(n)
             starts = _starts(cell, i, j)
             for s, e in zip(starts, np.r_[starts[1:], len(cell)], strict=True):
                 kinds = {int(g): s + np.flatnonzero(groups[s:e] == g) for g in np.unique(groups[s:e])}
                 for at, near in _near(kinds, n, counts, percent):
                     near = near[(comp[near] != comp[at]) & ((i[s] == j[s]) | (side[near] != side[at]))]
-                    out_a.append(np.minimum(id_[near], id_[at]))
-                    out_b.append(np.maximum(id_[near], id_[at]))
-            if out_a:
-                pairs = np.unique(np.c_[np.concatenate(out_a), np.concatenate(out_b)], axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+                    if len(near):
+                        out_a.append(np.minimum(id_[near], id_[at]))
+                        out_b.append(np.maximum(id_[near], id_[at]))
+                        held += len(near)
+                    if held > 200_000:
+                        yield pairs(out_a, out_b)
+                        held = 0
+        if out_a:
+            yield pairs(out_a, out_b)
 
     return run
 
@@ -302,9 +397,12 @@ def _bound_filter(percent: int):
     return run
 
 
-def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, percent: int, bits: int = 1 << 24, group: int = 256) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose texts are linked. Texts travel only if a bit table of
-    fixed size has their id; the partners of one text come in groups of about ``group``."""
+def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, percent: int, most_bits: int = 1 << 28, group: int = 256) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose texts are linked. Texts travel only if a bit table has
+    their id, of 32 bits for each pair up to ``most_bits`` (32 MB); beyond some 10^8 ids it
+    lets ever more others through, which are shuffled in vain. The partners of one text come
+    in groups of about ``group``."""
+    bits = min(most_bits, 1 << max(16, (32 * pairs.count()).bit_length()))
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
     place = F.pmod(F.xxhash64("id"), F.lit(bits))
     words = ids.select((place / 64).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64(id), {bits}), 64) as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
@@ -364,14 +462,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     docs = ids_and_texts(docs, id_col, text_col)
-    frequent = _frequent(docs, share, least)
-    profiles, _ = stored(spark, _profiles(docs, frequent, percent), "profiles")
+    sent = spark.sparkContext.broadcast(_frequent(spark, docs, share, least))
+    profiles, _ = stored(spark, _profiles(docs, sent, percent), "profiles")
     filled = profiles.where("n > 0")
-    classes, _ = stored(spark, filled.groupBy("s1", "s2").agg(F.min("doc_id").alias("id")), "classes")
+    classes, _ = stored(spark, filled.groupBy("s1", "s2").agg(F.min("doc_id").alias("id"), F.count("*").alias("rows")), "classes")
     firsts = classes.where("id IS NOT NULL").hint("shuffle_hash")
     heads = filled.withColumnRenamed("doc_id", "id").join(firsts, ["id", "s1", "s2"], "left_semi")
     tokens = heads.select(F.explode("prefix").alias("hash"), "id", "n").repartition("hash").sortWithinPartitions("hash", "id")
-    found = map_arrow(tokens, _cells, "cell bigint, size bigint, id bigint, n bigint, hub bigint").where("size > 1")
+    found = map_arrow(tokens, _cells, _CELLS)
+    if len(sent.value):
+        found = found.union(_frequent_cells(heads))
     cells, cells_path = stored(spark, found.dropDuplicates(["cell", "id"]), "cells")
 
     points = heads.select("id", "n", "counts")
@@ -381,12 +481,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links, links_path = stored(spark, _verify(spark, docs, first, percent), "links")
     labels, labels_path = components(spark, links)
 
-    known = cells.select("cell", "size", "id", "n").join(labels.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    known = cells.select("cell", "id", "n").join(labels.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     known, known_path = stored(spark, known, "known")
-    open_cells = known.groupBy("cell").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("cell")
+    open_cells = known.groupBy("cell").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("rows")).where("x <> y").select("cell", "rows", F.col("rows").alias("size"))
     parts = F.ceil(F.col("size") / block).cast("int")
-    side = F.pmod(F.xxhash64("id"), F.greatest(parts, F.lit(1))).cast("int")
-    spread = known.join(open_cells, "cell").withColumn("side", side)
+    spread = join_heavy(known, open_cells, ["cell"], "rows").withColumn("side", F.pmod(F.xxhash64("id"), parts).cast("int"))
     # a member meets every block of its cell, its own included, in the task of the two blocks
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     spread = spread.select("cell", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "id", "n", "component", "side")
@@ -399,10 +498,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for path in (cells_path, known_path, first_path, second_path, links_path, both_path):
         remove(spark, path)
 
-    of_class = classes.join(final.select(F.col("node").alias("id"), "component"), "id", "left").select("s1", "s2", F.coalesce("component", "id").alias("component"))
-    rows = profiles.select("doc_id", "n", F.when(F.col("n") > 0, F.col("s1")).alias("s1"), F.when(F.col("n") > 0, F.col("s2")).alias("s2"))
-    out = rows.join(of_class, ["s1", "s2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    of_class = classes.join(final.select(F.col("node").alias("id"), "component"), "id", "left").select("s1", "s2", F.coalesce("component", "id").alias("component"), "rows")
+    rows = profiles.select("doc_id", F.col("n").alias("n_shingles"), "s1", "s2")
+    copies = join_heavy(rows.where("n_shingles > 0"), of_class, ["s1", "s2"], "rows").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return copies.union(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
