@@ -10,11 +10,14 @@ is what the library does with such a model.
 All of it is one pass without a shuffle: a task sends the units that are new to it ahead of
 the texts that hold them, explode and the broadcast join keep that order, so the edges of a
 unit arrive side by side and its pieces before its texts. A task remembers a bounded number
-of units and starts anew beyond it.
+of units and starts anew beyond it. Units of more than MASK characters (runs of letters or
+signs) come in overlapping stretches, so that their substrings cost no more than others, and
+their edges are folded where they are grouped, in n log n.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import struct
@@ -25,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +37,9 @@ from marlstone.llm.common import ids_and_texts, map_arrow, slices
 BLANK = "▁"
 UNIT = re.compile(rf"{BLANK}*(?:[^\W\d_²³¹]+|(?:[^\w{BLANK}]|[_²³¹])+|\d)|{BLANK}+")
 _CUT = re.compile(rf"(?<=[^{BLANK}])(?={BLANK})")
-#: The fold's state is a 64-bit mask up to this unit length, beyond it an array.
-MASK = 60
+#: The fold's state is a 64-bit mask up to this unit length; longer units come in stretches
+#: of STRETCH starts each.
+MASK, STRETCH = 60, 256
 #: Set in that mask when the order of merges has to be looked at again.
 AGAIN = 1 << 62
 _PLACE = (1 << 20) - 1
@@ -43,6 +48,41 @@ REMEMBERED = 400_000
 CHUNKS = 100_000
 
 
+# Numbers of fields and of model kinds in a model file.
+TRAINER, MODEL_TYPE, UNIGRAM, MERGES = 2, 3, 1, 2
+
+
+def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """Numbers and values of a message's fields (whole numbers and byte strings)."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < len(data):
+        key = number()
+        wire = key & 7
+        if wire == 0:
+            yield key >> 3, number()
+        else:
+            size = number() if wire == 2 else 8 if wire == 1 else 4
+            yield key >> 3, data[at : at + size]
+            at += size
+
+
+def model_kind(data: bytes) -> int:
+    trainer = next((v for n, v in _fields(data) if n == TRAINER), b"")
+    return next((v for n, v in _fields(trainer) if n == MODEL_TYPE), UNIGRAM)
+
+
 @dataclass(frozen=True)
 class Model:
     """pieces: (piece, score, id) of the ordinary ones; first_byte: id of the piece of byte
@@ -54,15 +94,21 @@ class Model:
     merges: bool = True
 
     @classmethod
-    def load(cls, path: str, merges: bool = True) -> Model:
+    def load(cls, path: str) -> Model:
+        """Reads a model file of either kind; what the file says decides between them."""
         import sentencepiece
 
+        with open(path, "rb") as f:
+            kind = model_kind(f.read())
+        if kind not in (UNIGRAM, MERGES):
+            raise ValueError(f"{path} is neither a unigram nor a merge vocabulary")
+
         lib = sentencepiece.SentencePieceProcessor(model_file=path)
         ids = range(lib.get_piece_size())
         plain = tuple((lib.id_to_piece(i), lib.get_score(i), i) for i in ids if not (lib.is_byte(i) or lib.is_control(i) or lib.is_unknown(i) or lib.is_unused(i)))
         if across := [p for p, _, _ in plain if len(UNIT.findall(p)) != 1]:
             raise ValueError(f"pieces reach across units: {across[:5]}")
-        return cls(plain, next((i for i in ids if lib.is_byte(i)), -1), lib.unk_id(), merges)
+        return cls(plain, next((i for i in ids if lib.is_byte(i)), -1), lib.unk_id(), kind == MERGES)
 
     def longest(self) -> int:
         return max(len(p) for p, _, _ in self.pieces)
@@ -80,11 +126,17 @@ def chunks(text: str) -> list[str]:
 _UNITS = "unit string, doc_id bigint, text string, numbers binary"
 
 
-def numbered(batches: Iterator[pa.RecordBatch], remembered: int = REMEMBERED) -> Iterator[pa.RecordBatch]:
+def stretches(unit: str, longest: int) -> list[tuple[str, bytes]]:
+    """A long unit's stretches, each with where it starts and the unit's length; they overlap
+    by what a piece from the last start of one may need."""
+    return [(unit[i : i + STRETCH + longest], struct.pack("<qq", i, len(unit))) for i in range(0, len(unit), STRETCH)]
+
+
+def numbered(batches: Iterator[pa.RecordBatch], longest: int, remembered: int = REMEMBERED) -> Iterator[pa.RecordBatch]:
     """Units not sent before, numbered from 0 as they come, then the texts (without a unit)
-    that hold them, each with the count of
-    units so far and the numbers of its own in order (32 bits each). The empty unit says
-    that all before it is forgotten and numbers start anew."""
+    that hold them, each with the count of units so far and the numbers of its own in order
+    (32 bits each). The empty unit says that all before it is forgotten and numbers start
+    anew. Long units come as stretches."""
     units: dict[str, int] = {}
     known: dict[str, list[int]] = {}
     for batch in slices(batches, "text", 4 << 20):
@@ -119,13 +171,14 @@ def numbered(batches: Iterator[pa.RecordBatch], remembered: int = REMEMBERED) ->
             sent.append(own.tobytes())
         count = array("i", [len(units)]).tobytes()
         sent = [count + own for own in sent]
-        for first in range(0, len(new), 10_000):
-            part = pa.array(new[first : first + 10_000], pa.string())
-            yield pa.RecordBatch.from_arrays([part, *(pa.nulls(len(part), t) for t in (pa.int64(), pa.string(), pa.binary()))], names=["unit", "doc_id", "text", "numbers"])
+        parts = [x for u in new for x in ([(u, None)] if len(u) <= MASK else stretches(u, longest))]
+        for first in range(0, len(parts), 10_000):
+            part = parts[first : first + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in part], pa.string()), pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.string()), pa.array([x for _, x in part], pa.binary())], names=["unit", "doc_id", "text", "numbers"])
         yield pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.string()), batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(sent, pa.binary())], names=["unit", "doc_id", "text", "numbers"])
 
 
-def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _side_by_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups rows that stand side by side: a row without an edge begins a unit, its edges
     follow. They come out sorted, and again as masks of their two ends (for short units)."""
     rest = None
@@ -142,6 +195,93 @@ def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _group(rest, np.array([0]))
 
 
+def grouped(batches: Iterator[pa.RecordBatch], costs: list[float], merges: bool) -> Iterator[pa.RecordBatch]:
+    """Units and texts with the edges of each, side by side; the stretches of a long unit
+    become one row again, with its cuts."""
+    held: list[tuple[str, int, np.ndarray]] = []
+    for batch in _side_by_side(batches):
+        long = (pc.utf8_length(batch.column("unit")).fill_null(0).to_numpy() > MASK)
+        if "numbers" in batch.schema.names:  # stretches have them, of which the last may be short
+            long |= pc.and_(batch.column("unit").is_valid(), batch.column("numbers").is_valid()).to_numpy(zero_copy_only=False)
+        turns = np.flatnonzero(np.diff(long)) + 1
+        for first, last in zip([0, *turns], [*turns, batch.num_rows], strict=True):
+            some = batch.slice(first, last - first)
+            if last > first and not long[first]:
+                yield some.append_column("cuts", pa.nulls(some.num_rows, pa.list_(pa.int32())))
+                continue
+            for i, unit in enumerate(some.column("unit").to_pylist()):
+                at, size = struct.unpack("<qq", some.column("numbers")[i].as_py()) if "numbers" in some.schema.names else (0, 0)
+                held.append((unit if not size else unit[:STRETCH], at, some.column("edges")[i].values.to_numpy()))
+                if at + STRETCH >= size:
+                    yield _long(some.slice(i, 1), held, costs, merges)
+                    held = []
+
+
+def _long(row: pa.RecordBatch, held: list[tuple[str, int, np.ndarray]], costs: list[float], merges: bool) -> pa.RecordBatch:
+    """The last stretch's row for the whole unit, with its cuts in place of edges."""
+    unit = "".join(u for u, _, _ in held)
+    edges = np.unique(np.concatenate([np.c_[e >> 40, (e >> 20 & _PLACE) + at, (e & _PLACE) + at] for _, at, e in held]), axis=0)
+    cuts = merged(*edges.T, len(unit)) if merges else cheapest(*edges.T, len(unit), costs)
+    whole = {"unit": unit, "edges": [], "ends": []}
+    columns = [pa.array([whole[f.name]], f.type) if f.name in whole else row.column(f.name) for f in row.schema]
+    return pa.RecordBatch.from_arrays([*columns, pa.array([cuts], pa.list_(pa.int32()))], names=[*row.schema.names, "cuts"])
+
+
+def merged(place: np.ndarray, start: np.ndarray, end: np.ndarray, size: int) -> list[int]:
+    """Cuts of a unit: of the edges that join two neighbouring symbols the best is applied,
+    the first of equals, until there is none. A heap has the candidates."""
+    order = np.lexsort((end, start))
+    keys, places = (start * (size + 1) + end)[order], place[order].tolist()
+    ends, before = [*range(1, size + 1)], [*range(-1, size)]  # of the symbol that starts here
+    pairs = end - start == 2
+    heap = list(zip(place[pairs].tolist(), start[pairs].tolist(), end[pairs].tolist(), strict=True))
+    heapq.heapify(heap)
+
+    def offer(a: int, b: int) -> None:
+        key = a * (size + 1) + b
+        i = int(keys.searchsorted(key))
+        if i < len(places) and keys[i] == key:
+            heapq.heappush(heap, (places[i], a, b))
+
+    while heap:
+        _, a, b = heapq.heappop(heap)
+        middle = ends[a]
+        if middle <= a or middle >= b or ends[middle] != b:
+            continue
+        ends[a], ends[middle] = b, -1
+        if b < size:
+            before[b] = a
+            offer(a, ends[b])
+        if before[a] >= 0:
+            offer(before[a], b)
+    cuts = [0]
+    while cuts[-1] < size:
+        cuts.append(ends[cuts[-1]])
+    return cuts
+
+
+def cheapest(place: np.ndarray, start: np.ndarray, end: np.ndarray, size: int, costs: list[float]) -> list[int]:
+    """Cuts of a unit: Viterbi over the edges, as _viterbi_cuts."""
+    worst = _worst(costs)
+    ways: dict[int, list[tuple[int, float]]] = {}
+    for p, a, b in zip(place.tolist(), start.tolist(), end.tolist(), strict=True):
+        ways.setdefault(b, []).append((a, costs[p]))
+    cost, back = [0.0], [-1]
+    for e in range(1, size + 1):
+        best = min([(cost[e - 1] + worst, e - 1), *((cost[a] + c, a) for a, c in ways.get(e, ()))])
+        cost.append(best[0])
+        back.append(best[1])
+    cuts = [size]
+    while cuts[-1] > 0:
+        cuts.append(back[cuts[-1]])
+    return cuts[::-1]
+
+
+def _worst(costs: list[float]) -> float:
+    """Of a character without an edge: more than any path of pieces."""
+    return max(1e6, 1e3 * max(map(abs, costs), default=1.0))
+
+
 def _group(rows: pa.Table, heads: np.ndarray) -> pa.RecordBatch:
     n = rows.num_rows
     edge = rows.column("edge").fill_null(-1).to_numpy()
@@ -166,7 +306,8 @@ def _group(rows: pa.Table, heads: np.ndarray) -> pa.RecordBatch:
 
 def lattice(spark: SparkSession, units: DataFrame, model: Model) -> DataFrame:
     """``units`` with parts: the unit's pieces in order; characters outside the vocabulary
-    are parts of their own. Rows keep their order, a null unit has no parts."""
+    are parts of their own. Rows keep their order, a null unit has no parts. Substrings of a
+    unit far beyond MASK are cheap only as stretches, which encode() sends."""
     bits = F.filter(F.sequence(F.lit(0), F.length("unit")), lambda i: F.col("mask").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), i)) != 0)
     listed = folded(spark, units, model).withColumn("cuts", F.coalesce("cuts", bits))
     parts = F.transform(F.slice("cuts", 1, F.size("cuts") - 1), lambda a, i: F.substring(F.col("unit"), a + 1, F.get(F.col("cuts"), i + 1) - a))
@@ -196,12 +337,12 @@ def folded(spark: SparkSession, units: DataFrame, model: Model) -> DataFrame:
     equal = (F.xxhash64("piece") == F.col("hash")) & F.col("piece").startswith(F.col("own")) & F.col("own").startswith(F.col("piece"))
     whole = [F.when(F.col("place") < 0, F.col(c)).alias(c) for c in units.columns]
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in units.schema)
-    edges = map_arrow(spots.join(table, equal).select(*whole, edge.alias("edge")), grouped, f"{types}, edges array<bigint>, ends array<bigint>")
-    if model.merges:
-        short, any_length = _merge_cuts()
-        length = F.length("unit")
-        return edges.select(*units.columns, F.when((length > 0) & (length <= MASK), short).alias("mask"), F.when(length > MASK, any_length).alias("cuts"))
-    return edges.select(*units.columns, F.lit(None).cast("bigint").alias("mask"), F.when(F.length("unit") > 0, _viterbi_cuts(costs)).alias("cuts"))
+    merges = model.merges
+    edges = map_arrow(spots.join(table, equal).select(*whole, edge.alias("edge")), lambda batches: grouped(batches, costs, merges), f"{types}, edges array<bigint>, ends array<bigint>, cuts array<int>")
+    short = F.length("unit").between(1, MASK)
+    if merges:
+        return edges.select(*units.columns, F.when(short, _merge_cuts()).alias("mask"), "cuts")
+    return edges.select(*units.columns, F.lit(None).cast("bigint").alias("mask"), F.when(short, _viterbi_cuts(costs)).otherwise(F.col("cuts")).alias("cuts"))
 
 
 def _start(edge: Column) -> Column:
@@ -212,14 +353,13 @@ def _end(edge: Column) -> Column:
     return edge.bitwiseAND(F.lit(_PLACE)).cast("int")
 
 
-def _merge_cuts() -> tuple[Column, Column]:
+def _merge_cuts() -> Column:
     """Fold: of the edges (best first), the first whose ends are cuts with one cut between
     takes that cut away, until none does.
 
     One walk over the edges does it, unless it passes an edge with more than one cut between
     its ends: later merges may leave one. Then the first that fits is looked for anew, as
-    often as there are characters. The first column is a mask for units of at most MASK
-    characters, the second lists the cuts of any."""
+    often as there are characters."""
     size = F.length("unit")
     steps = F.sequence(F.lit(1), size)
     one = F.lit(1).cast("bigint")
@@ -238,13 +378,7 @@ def _merge_cuts() -> tuple[Column, Column]:
     # one-element arrays bind a value to a name, so that it is worked out once
     walked = F.transform(F.array(F.aggregate("ends", every, walk)), lambda m: F.when(m.bitwiseAND(F.lit(AGAIN)) == 0, m).otherwise(F.aggregate(steps, every, step)))
 
-    def long_step(cuts: Column, _: Column) -> Column:
-        fits = F.filter("edges", lambda x: F.array_contains(cuts, _start(x)) & F.array_contains(cuts, _end(x)) & (F.size(F.filter(cuts, lambda c: (c > _start(x)) & (c < _end(x)))) == 1))
-        best = F.get(fits, 0)
-        return F.when(best.isNull(), cuts).otherwise(F.filter(cuts, lambda c: (c <= _start(best)) | (c >= _end(best))))
-
-    many = F.aggregate(steps, F.sequence(F.lit(0), size), long_step)
-    return F.get(walked, 0), many
+    return F.get(walked, 0)
 
 
 def _viterbi_cuts(costs: list[float]) -> Column:
@@ -252,7 +386,7 @@ def _viterbi_cuts(costs: list[float]) -> Column:
     character without an edge costs more than any path of pieces."""
     size = F.length("unit")
     table = F.from_json(F.lit(json.dumps(costs)), "array<double>")
-    worst = max(1e6, 1e3 * max(map(abs, costs), default=1.0))
+    worst = _worst(costs)
     state = F.array(F.struct(F.lit(0.0).alias("cost"), F.lit(-1).alias("back")))
 
     def step(acc: Column, e: Column) -> Column:
@@ -324,7 +458,8 @@ def _id_lists(ids: list[bytes]) -> pa.Array:
 
 
 def _rows(docs: DataFrame, model: Model, id_col: str, text_col: str, remembered: int = REMEMBERED) -> DataFrame:
-    units = map_arrow(ids_and_texts(docs, id_col, text_col), lambda batches: numbered(batches, remembered), _UNITS)
+    longest = model.longest()
+    units = map_arrow(ids_and_texts(docs, id_col, text_col), lambda batches: numbered(batches, longest, remembered), _UNITS)
     return folded(docs.sparkSession, units, model)
 
 
@@ -332,8 +467,8 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """Per row of ``docs``: doc_id, text, ids (what the library gives for the whole text).
 
     Null and empty texts have no ids. Repeated rows are encoded each, a null doc_id stays
-    null; an empty table gives no rows; further columns are ignored. The time a unit (a run
-    of letters or of other signs) takes grows with a power of its length beyond MASK.
+    null; an empty table gives no rows; further columns are ignored. Long runs of letters or
+    signs take n log n of their length.
     """
     return map_arrow(_rows(docs, model, id_col, text_col, remembered), lambda batches: Joiner(model).run(batches), "doc_id bigint, text string, ids array<int>")
 

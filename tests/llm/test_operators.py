@@ -5,9 +5,11 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -174,8 +176,6 @@ def test_keep_one_repeated_ids(spark):
 
 
 def test_count_tree_loses_nothing():
-    import numpy as np
-
     r = np.random.default_rng(0)
     sets = [set(r.integers(0, 400, r.integers(20, 120)).tolist()) for _ in range(150)]
     sets += [set(list(s)[2:]) | {9999} for s in sets[:60]]
@@ -226,6 +226,20 @@ def test_sentencepiece_random(spark):
     assert all(got[i] == library.encode(t) for i, t in enumerate(texts))
 
 
+def test_sentencepiece_long_runs(spark):
+    """Runs of ten thousand letters, signs and both are the library's, within seconds."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library, model = sentencepiece.SentencePieceProcessor(model_file=path), sentencepiece_lattice.Model.load(path)
+    draw = lambda signs, n: "".join(R.choice(signs) for _ in range(n))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [draw(letters, 10_000), draw("ACGT", 10_000), "=" * 10_000, draw("=-#", 10_000), draw(letters + letters.upper() + "0123456789+/", 10_000), "é" * 3_000, "x " + draw(letters, 61) + " y", draw("漢字かな", 5_000), draw(letters, 60)]
+    texts += [draw(letters, n) + "  " + "*" * n for n in range(55, 70)] + [draw(letters, n) for n in (511, 512, 513, 525, 528, 1024)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    began = time.monotonic()
+    got = {r.doc_id: r.ids for r in sentencepiece_lattice.encode(df, model).collect()}
+    assert all(got[i] == library.encode(t) for i, t in enumerate(texts)) and time.monotonic() - began < 60
+
+
 def test_sentencepiece_viterbi(spark):
     scores = {"▁a": -1.0, "▁ab": -1.5, "b": -1.2, "bc": -0.5, "c": -2.0, "▁": -3.0, "a": -2.5}
     model = sentencepiece_lattice.Model(tuple((p, s, i) for i, (p, s) in enumerate(scores.items())), -1, 99, merges=False)
@@ -237,11 +251,21 @@ def test_sentencepiece_viterbi(spark):
             paths.append(min([*ways, (paths[e - 1][0] + 1e6, [*paths[e - 1][1], word[e - 1 : e]])], key=lambda w: w[0]))
         return paths[-1][1]
 
-    words = ["▁abc", "▁ab", "▁", "▁aabc", "▁xbc", "▁bbca"]
+    words = ["▁abc", "▁ab", "▁", "▁aabc", "▁xbc", "▁bbca", "▁" + "abcx" * 20, "▁" + "bbcaabx" * 9]
+    long = "▁" + "".join(R.choice("abcx") for _ in range(900))
+    cuts = sentencepiece_lattice.cheapest(*np.array([[p, s, e] for s in range(901) for e in range(s + 1, min(s + 4, 901) + 1) if long[s:e] in scores for p in [sorted({-c for c in scores.values()}).index(-scores[long[s:e]])]]).T, 901, sorted({-c for c in scores.values()}))
+    assert [long[a:b] for a, b in zip(cuts, cuts[1:], strict=False)] == best(long)
+    assert model_of(sentencepiece_lattice.UNIGRAM) == 1 and model_of(None) == 1 and sentencepiece_lattice.Model.load(public_tokenizers.path("piece_bpe_32k.model")).merges
     got = {r.unit: r.parts for r in sentencepiece_lattice.lattice(spark, spark.createDataFrame([(w, 1) for w in words], "unit string, n bigint"), model).collect()}
     assert got == {w: best(w) for w in words}
 
 
+def model_of(kind):
+    """The kind read from a model file's trainer part with a string and that kind."""
+    trainer = b"\x0a\x03abc" + (b"" if kind is None else bytes([3 << 3, kind]))
+    return sentencepiece_lattice.model_kind(b"\x0a\x02\x0a\x00" + b"\x12" + bytes([len(trainer)]) + trainer)
+
+
 def regex_spans(text):
     kinds = {
         "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
@@ -271,8 +295,6 @@ def test_pii(docs, empty):
 
 
 def test_pii_gradients():
-    import numpy as np
-
     tagger = pii.Tagger.new(3)
     x, y = np.random.default_rng(0).integers(0, 45, (2, 6)), np.random.default_rng(1).integers(0, 9, (2, 6))
     _, grads = tagger.gradients(x, y)
