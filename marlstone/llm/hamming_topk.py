@@ -1,26 +1,26 @@
 """Exact top-k by Hamming distance: multi-index hashing, grown radius by radius.
 
 Rows with the same code are one entry of the index, with as many of the smallest ids as a
-result can hold. The index is dealt to tasks in blocks and the queries in lots, a task for
-each pair of them. There every code is listed under the value of each of its segments, in a
-table per segment. A query probes all segment values at distance 0, then 1, 2, ... from its
-own: once radius r is done, every code within s (r + 1) - 1 (s segments) has been met, so the
-query stops when its kth verified distance is no larger. The best of all blocks are then
-merged. Nothing is approximate.
+result can hold. A code is cut into segments of about log2(entries) bits and listed under
+the value of each. In the round of radius r the queries that are still open look up the
+values at distance r from their own segments, an equi-join on (segment, value), so only the
+buckets of that radius are read (radii 0 and 1 are one round). A code is met at the radius of
+its nearest segment and through the first such segment, so no pair is met twice. After radius
+r every code within s (r + 1) - 1 (s segments) has been met; a query whose kth verified
+distance is no larger is done. Nothing is approximate, and all of it is DataFrame operations.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 from itertools import combinations
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SEGMENT_BITS = 8
+from marlstone.llm.common import remove, stored
 
 
 def sign_code(vector: Column) -> Column:
@@ -28,118 +28,85 @@ def sign_code(vector: Column) -> Column:
     return F.array_join(F.transform(vector, lambda x: F.when(x > 0, "1").otherwise("0")), "")
 
 
-def masks(radius: int) -> np.ndarray:
-    """Values that differ from 0 in exactly ``radius`` bits of a segment."""
-    return np.array([sum(1 << b for b in c) for c in combinations(range(SEGMENT_BITS), radius)], np.int64)
-
-
-def bits_of(codes: list[str], width: int) -> np.ndarray:
-    """(codes, segments) bytes; the last segment is filled with zeros."""
-    flat = np.frombuffer("".join(codes).encode(), np.uint8).reshape(len(codes), width) - 48
-    return np.packbits(flat, axis=1)
-
-
-class MultiIndex:
-    """One block's codes, under every segment's value."""
-
-    def __init__(self, codes: np.ndarray, weights: np.ndarray):
-        self.codes, self.weights, self.segments = codes, weights, codes.shape[1]
-        self.order = np.argsort(codes, axis=0, kind="stable")
-        self.bounds = [np.searchsorted(codes[self.order[:, s], s], np.arange((1 << SEGMENT_BITS) + 1)) for s in range(self.segments)]
-
-    def search(self, code: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and distances of the codes nearest to ``code``: all within the distance at
-        which their ids number k or more."""
-        met = np.zeros(len(self.codes), bool)
-        places, distances = [], []
-        for radius in range(SEGMENT_BITS + 1):
-            probe = masks(radius)
-            new = []
-            for s in range(self.segments):
-                for value in (probe ^ int(code[s])).tolist():
-                    a, b = self.bounds[s][value], self.bounds[s][value + 1]
-                    if a < b:
-                        new.append(self.order[a:b, s])
-            if new:
-                at = np.unique(np.concatenate(new))
-                at = at[~met[at]]
-                met[at] = True
-                places.append(at)
-                distances.append(np.bitwise_count(self.codes[at] ^ code).sum(1))
-            covered = self.segments * (radius + 1) - 1
-            if places:
-                d = np.concatenate(distances)
-                within = d <= covered
-                if self.weights[np.concatenate(places)][within].sum() >= k or met.all():
-                    break
-        if not places:
-            return np.array([], int), np.array([], int)
-        at, d = np.concatenate(places), np.concatenate(distances)
-        order = np.argsort(d, kind="stable")
-        at, d = at[order], d[order]
-        reach = np.searchsorted(np.cumsum(self.weights[at]), k)
-        last = d[min(reach, len(d) - 1)]
-        return at[d <= last], d[d <= last]
-
-
-def top_k(rows: DataFrame, code: Column, queries: Column, id_col: str = "vec_id", k: int = 10, block: int = 16_384, lot: int = 4_096) -> DataFrame:
+def segments_of(bits: int, entries: int, segment_bits: int | None = None) -> list[tuple[int, int]]:
+    """(start, width) of the segments: as many of about log2(entries) bits (or of
+    ``segment_bits``) as make up the code, of even widths."""
+    wanted = segment_bits or min(31, max(1, math.ceil(math.log2(max(entries, 2)))))
+    n = max(1, round(bits / wanted), math.ceil(bits / 31))
+    cuts = [bits * i // n for i in range(n + 1)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def masks(spark: SparkSession, widths: set[int], radii: list[int]) -> DataFrame:
+    """(width, radius, mask): the values of a segment that differ from 0 in ``radius`` bits."""
+    found = [(w, r, sum(1 << b for b in c)) for w in sorted(widths) for r in radii for c in combinations(range(w), r)]
+    return spark.createDataFrame(pa.table({"width": pa.array([w for w, _, _ in found], pa.int32()), "radius": pa.array([r for _, r, _ in found], pa.int32()), "mask": pa.array([m for _, _, m in found], pa.int64())}))
+
+
+def top_k(rows: DataFrame, code: Column, queries: Column, id_col: str = "vec_id", k: int = 10, segment_bits: int | None = None, most_broadcast: int = 1_000_000) -> DataFrame:
     """(query_id, rank, neighbor_id, distance): for each row for which ``queries`` holds,
     its k nearest other rows by the Hamming distance of ``code`` (a string of 0 and 1, of one
     width), ties by id; fewer where there are fewer rows.
 
     Rows without an id or a code are neither queries nor found. A repeated id is one row if
     its code is the same; with several codes it counts once per code and never finds itself.
-    An empty table gives no rows; further columns are ignored.
+    An empty table gives no rows; further columns are ignored. The look-ups of a round are
+    broadcast up to ``most_broadcast`` of them, and beyond that shuffled like the index.
     """
+    spark = rows.sparkSession
     clean = rows.select(F.col(f"`{id_col}`").alias("id"), code.alias("code"), F.coalesce(queries, F.lit(False)).alias("asks")).where("id IS NOT NULL AND code IS NOT NULL AND code <> ''")
     # k + 1 ids per code: a query may be one of them. The limit applies before the shuffle, too.
     ranked = clean.select("id", "code").distinct().withColumn("r", F.row_number().over(W.partitionBy("code").orderBy("id"))).where(F.col("r") <= k + 1)
-    index = ranked.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    asked = clean.where("asks").select("code").distinct()
-    sizes = index.agg(F.count("*").alias("n"), F.min(F.length("code")).alias("low"), F.max(F.length("code")).alias("high")).first()
-    if sizes["n"] and sizes["low"] != sizes["high"]:
+    index, index_path = stored(spark, ranked.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "codes")
+    asked, asked_path = stored(spark, clean.where("asks").select("code").distinct(), "asked")
+    size = index.agg(F.count("*").alias("n"), F.min(F.length("code")).alias("low"), F.max(F.length("code")).alias("high")).first()
+    if size["n"] and size["low"] != size["high"]:
         raise ValueError("codes have different widths")
-    width = sizes["high"] or 1
-    blocks, lots = max(1, -(-sizes["n"] // block)), max(1, -(-asked.count() // lot))
-    spread = lambda df, part, n, other, m: df.withColumn(part, F.pmod(F.xxhash64("code"), F.lit(n)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
-    left = spread(index, "block", blocks, "lot", lots).select("block", "lot", F.lit(0).alias("role"), "code", "ids")
-    right = spread(asked, "lot", lots, "block", blocks).select("block", "lot", F.lit(1).alias("role"), "code", F.lit(None).cast("array<bigint>").alias("ids"))
-    dealt = left.union(right).repartition(max(1, blocks * lots), "block", "lot").sortWithinPartitions("block", "lot", "role")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, codes, ids, index_ = None, [], [], None
-
-        def search(found: list[str]) -> pa.RecordBatch:
-            out: tuple[list, list, list] = ([], [], [])
-            for text, bits in zip(found, bits_of(found, width), strict=True):
-                for at, d in zip(*(x.tolist() for x in index_.search(bits, k + 1)), strict=True):
-                    out[0].append(text)
-                    out[1].append(d)
-                    out[2].append(ids[at])
-            return pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.list_(pa.int64()))], names=["code", "distance", "ids"])
-
-        for batch in batches:
-            asked_here: list[str] = []
-            for b, l, role, text, some in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (b, l) != cell:
-                    if asked_here and index_ is not None:
-                        yield search(asked_here)
-                    asked_here, cell, codes, ids, index_ = [], (b, l), [], [], None
-                if role == 0:
-                    codes.append(text)
-                    ids.append(some)
-                elif codes:
-                    if index_ is None:
-                        index_ = MultiIndex(bits_of(codes, width), np.array([len(x) for x in ids]))
-                    asked_here.append(text)
-            if asked_here:
-                yield search(asked_here)
-
-    best = dealt.mapInArrow(run, "code string, distance int, ids array<bigint>")
-    near = best.select("code", "distance", F.explode("ids").alias("neighbor_id"))
-    # of each code asked for, the k + 1 nearest of all blocks; then each query drops itself
-    order = W.partitionBy("code").orderBy("distance", "neighbor_id")
-    near = near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1).groupBy("code").agg(F.sort_array(F.collect_list(F.struct("distance", "neighbor_id"))).alias("near"))
+    parts = segments_of(size["high"] or 1, size["n"], segment_bits)
+    values = [F.conv(F.substring("code", a + 1, w), 2, 10).cast("bigint") for a, w in parts]
+    width = F.element_at(F.array(*[F.lit(w) for _, w in parts]), F.col("segment") + 1)
+    listed = index.select("ids", *[v.alias(f"c{i}") for i, v in enumerate(values)])
+    listed = listed.select("*", F.posexplode(F.array(*[f"c{i}" for i in range(len(parts))])).alias("segment", "value"))
+    apart = [F.bit_count(F.col(f"c{i}").bitwiseXOR(F.col(f"q{i}"))) for i in range(len(parts))]
+
+    best, best_path = spark.createDataFrame([], "code string, distance int, neighbor_id bigint"), None
+    still = asked.withColumn("bound", F.lit(size["high"] or 1))  # no row further away can still count
+    for radii in ([0, 1], *([r] for r in range(2, max(w for _, w in parts) + 1))):
+        probes = still.select("code", "bound", *[v.alias(f"q{i}") for i, v in enumerate(values)])
+        probes = probes.select("*", F.posexplode(F.array(*[f"q{i}" for i in range(len(parts))])).alias("segment", "own"))
+        probes = probes.withColumn("width", width).join(F.broadcast(masks(spark, {w for _, w in parts}, radii)), "width")
+        probes = probes.select("code", "bound", "radius", *[f"q{i}" for i in range(len(parts))], "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
+        n_probes = still.count() * sum(math.comb(w, r) for _, w in parts for r in radii)
+        if not n_probes:
+            break
+        met = listed.join(F.broadcast(probes) if n_probes <= most_broadcast else probes, ["segment", "value"])
+        first = F.lit(False)  # whether this segment is the first of the nearest ones
+        for i in range(len(parts)):
+            others = [apart[j] > F.col("radius") for j in range(i)] + [apart[j] >= F.col("radius") for j in range(i + 1, len(parts))]
+            first = F.when(F.col("segment") == i, F.expr("true") if not others else _all(others)).otherwise(first)
+        distance = sum(apart[1:], apart[0]).cast("int")
+        met = met.where((distance <= F.col("bound")) & first).select("code", distance.alias("distance"), F.explode("ids").alias("neighbor_id"))
+        order = W.partitionBy("code").orderBy("distance", "neighbor_id")
+        found, found_path = stored(spark, best.union(met).withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1).drop("r"), "best")
+        if best_path:
+            remove(spark, best_path)
+        best, best_path = found, found_path
+        covered = len(parts) * (radii[-1] + 1) - 1
+        known = best.groupBy("code").agg(F.count("*").alias("n"), F.max("distance").alias("furthest"))
+        still = asked.join(known, "code", "left").select("code", F.when(F.col("n") > k, F.col("furthest")).otherwise(F.lit(size["high"])).alias("bound"))
+        still = still.where(F.col("bound") > covered)
+
+    near = best.groupBy("code").agg(F.sort_array(F.collect_list(F.struct("distance", "neighbor_id"))).alias("near"))
     out = clean.where("asks").select(F.col("id").alias("query_id"), "code").distinct().join(near, "code")
     others = F.slice(F.filter("near", lambda x: x["neighbor_id"] != F.col("query_id")), 1, k)
-    return out.select("query_id", F.posexplode(others).alias("p", "x")).select("query_id", (F.col("p") + 1).alias("rank"), F.col("x.neighbor_id").alias("neighbor_id"), F.col("x.distance").alias("distance"))
+    out = out.select("query_id", F.posexplode(others).alias("p", "x")).select("query_id", (F.col("p") + 1).alias("rank"), F.col("x.neighbor_id").alias("neighbor_id"), F.col("x.distance").alias("distance"))
+    remove(spark, index_path)
+    remove(spark, asked_path)
+    return out
+
+
+def _all(conditions: list[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out & c
+    return out

@@ -368,8 +368,8 @@ def _merge_cuts() -> Column:
     every = bit(size + 1) - one
 
     def walk(m: Column, x: Column) -> Column:
-        between = F.bit_count(m.bitwiseAND(inside(x)))
-        return F.when(m.bitwiseAND(x) != x, m).when(between == 1, m.bitwiseAND(F.bitwise_not(inside(x)))).when(between == 0, m).otherwise(m.bitwiseOR(F.lit(AGAIN)))
+        between = m.bitwiseAND(inside(x))
+        return F.when(m.bitwiseAND(x) != x, m).when(F.bit_count(between) <= 1, m.bitwiseXOR(between)).otherwise(m.bitwiseOR(F.lit(AGAIN)))
 
     def step(m: Column, _: Column) -> Column:
         fits = F.filter("ends", lambda x: (m.bitwiseAND(x) == x) & (F.bit_count(m.bitwiseAND(inside(x))) == 1))

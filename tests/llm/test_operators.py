@@ -192,14 +192,30 @@ def test_hamming_topk(spark):
     rows = [(i, [1.0 if c == "1" else -1.0 for c in code]) for i, code in enumerate(codes)] + [(7, [1.0 if c == "1" else -1.0 for c in codes[7]]), (None, [1.0] * 12), (900, None)]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("code", F.lit(0))
     code, asks = hamming_topk.sign_code(F.col("embedding")), F.col("vec_id") % 20 == 0
-    for block, lot in ((16_384, 4_096), (30, 3)):
+    for width, most in ((None, 1_000_000), (3, 0), (12, 1_000_000)):
         got = {}
-        for r in hamming_topk.top_k(df, code, asks, k=5, block=block, lot=lot).collect():
+        for r in hamming_topk.top_k(df, code, asks, k=5, segment_bits=width, most_broadcast=most).collect():
             got.setdefault(r.query_id, {})[r.rank] = (r.distance, r.neighbor_id)
         for q in range(0, len(codes), 20):
             want = sorted((sum(a != b for a, b in zip(codes[q], c, strict=True)), i) for i, c in enumerate(codes) if i != q)[:5]
             assert [got[q][k] for k in range(1, 6)] == want
     assert hamming_topk.top_k(df.limit(0), code, asks).count() == 0
+    few = df.where("vec_id < 3")
+    assert sorted((r.query_id, r.rank) for r in hamming_topk.top_k(few, code, asks, k=5).collect()) == [(0, 1), (0, 2)]
+
+
+def test_hamming_topk_long_codes(spark):
+    """Codes of more bits than a number holds, clustered, against brute force."""
+    own = random.Random(15)
+    centres = [own.getrandbits(150) for _ in range(6)]
+    codes = [own.choice(centres) ^ sum({1 << own.randrange(150) for _ in range(own.randrange(25))}) for _ in range(500)]
+    df = spark.createDataFrame([(i, format(c, "0150b")) for i, c in enumerate(codes)], "vec_id bigint, code string")
+    got = {}
+    for r in hamming_topk.top_k(df, F.col("code"), F.col("vec_id") % 50 == 0, k=10).collect():
+        got.setdefault(r.query_id, {})[r.rank] = (r.distance, r.neighbor_id)
+    for q in range(0, 500, 50):
+        want = sorted(((codes[q] ^ c).bit_count(), i) for i, c in enumerate(codes) if i != q)[:10]
+        assert [got[q][k] for k in range(1, 11)] == want
 
 
 def test_sentencepiece(docs, empty):
