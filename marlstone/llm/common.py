@@ -14,27 +14,41 @@ _own_dir: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: spark.checkpoint.dir, or (where it is unset, as in
-    tests) a fresh local folder that is remembered for the application."""
+    """The folder all executors see: spark.checkpoint.dir. Where that is unset and driver and
+    executors are one machine, as in tests, a fresh local folder that is remembered for the
+    application; on a cluster an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _own_dir:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="marlstone-")
         spark.sparkContext.setCheckpointDir(_own_dir[app])
     return _own_dir[app]
 
 
+def _hadoop(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path for an intermediate table. What a result still reads can't be removed earlier,
+    so it goes when the driver ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    system, where = _hadoop(spark, path)
+    system.mkdirs(where.getParent())
+    system.deleteOnExit(where)
+    return path
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes an intermediate table through the Hadoop file system that holds it."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    system, where = _hadoop(spark, path)
+    system.delete(where, True)
+    system.cancelDeleteOnExit(where)
 
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -48,8 +62,8 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, st
 HEAVY, MOST = 20_000, 20_000
 
 
-def join_heavy(left: DataFrame, right: DataFrame, keys: list[str], rows: str) -> DataFrame:
-    """Inner join of ``left`` to ``right``, which has one row for each value of the keys
+def join_heavy(left: DataFrame, right: DataFrame, keys: list[str], rows: str, how: str = "inner") -> DataFrame:
+    """Join (inner or left) of ``left`` to ``right``, which has one row for each value of the keys
     and, in column ``rows``, how many rows of ``left`` have it. Values with very many rows
     are few, so they are broadcast and their rows stay where they are; the others are
     shuffled. Columns: those of left, then the others of right but ``rows``."""
@@ -57,7 +71,7 @@ def join_heavy(left: DataFrame, right: DataFrame, keys: list[str], rows: str) ->
     heavy = right.where(F.col(rows) >= HEAVY).orderBy(F.desc(rows)).limit(MOST).select(*keys, F.struct(F.lit(1).alias("_"), *others).alias("__heavy"))
     marked = left.join(F.broadcast(heavy), keys, "left")
     spared = marked.where("__heavy IS NOT NULL").select(*left.columns, *[f"__heavy.{c}" for c in others])
-    dealt = marked.where("__heavy IS NULL").drop("__heavy").join(right.drop(rows), keys).select(*left.columns, *others)
+    dealt = marked.where("__heavy IS NULL").drop("__heavy").join(right.drop(rows), keys, how).select(*left.columns, *others)
     return spared.union(dealt)
 
 

@@ -15,10 +15,14 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marlstone.llm.common import join_heavy
+
 SPANS = "array<struct<start:int,end:int,rule:string>>"
+#: Matches per step of the outer fold: appending to an array copies it.
+BLOCK = 256
 LEDGER_SCHEMA = f"blob string, rules array<string>, spans {SPANS}"
 
 
@@ -67,7 +71,6 @@ def spans_of(text: Column, rule: Rule) -> Column:
     told = F.regexp_extract_all(text, pattern, F.lit(rule.group))
     parts = F.split(text, rule.pattern, -1)
     rows = F.arrays_zip(F.transform(found, F.length).alias("size"), F.transform(told, F.length).alias("told"), F.transform(parts, F.length).alias("gap"))
-    state = F.struct(F.lit(0).alias("at"), no_spans().alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
@@ -75,7 +78,16 @@ def spans_of(text: Column, rule: Rule) -> Column:
         kept = F.when(x["told"] >= rule.least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
         return F.struct((start + F.coalesce(x["size"], F.lit(0))).alias("at"), kept.alias("out"))
 
-    return F.when(text.rlike(rule.pattern), F.aggregate(rows, state, step)["out"]).otherwise(no_spans())
+    def block(acc: Column, part: Column) -> Column:
+        own = F.aggregate(part, F.struct(acc["at"].alias("at"), no_spans().alias("out")), step)
+        # one-element arrays bind a value to a name, so that it is worked out once
+        return F.get(F.transform(F.array(own), lambda o: F.struct(o["at"].alias("at"), F.concat(acc["out"], F.array(o["out"])).alias("out"))), 0)
+
+    def folded(every: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(every) - 1) / BLOCK).cast("int")), lambda i: F.slice(every, i * BLOCK + 1, BLOCK))
+        return F.flatten(F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("out")), block)["out"])
+
+    return F.when(text.rlike(rule.pattern), F.get(F.transform(F.array(rows), folded), 0)).otherwise(no_spans())
 
 
 def versions(docs: DataFrame, path_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -99,6 +111,16 @@ def scan(history: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule,
     return todo.select("blob", F.col("todo").alias("rules"), F.concat(*spans).alias("spans"))
 
 
+def update(spark: SparkSession, history: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Scans what the ledger at a kept path lacks, appends that and returns the ledger. A
+    first call begins it; a call with nothing new appends no rows."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger_path)
+    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    known = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path) if there else None
+    scan(history, known, rules).write.mode("append").parquet(ledger_path)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
+
+
 def findings(history: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(path, blob, spans) for every row of ``history``: what the ledger has of its blob
     from the present versions of ``rules``, as (start, rank, end, kind) ordered by start
@@ -108,7 +130,8 @@ def findings(history: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RU
     spans = F.filter(F.flatten(F.collect_list("spans")), lambda s: s["rule"].isin([r.version for r in rules]))
     spans = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.element_at(rank, s["rule"]).alias("rank"), s["end"].alias("end"), F.element_at(kind, s["rule"]).alias("kind")))
     of_blob = ledger.where(F.size("spans") > 0).groupBy("blob").agg(F.sort_array(F.array_distinct(spans)).alias("spans"))
-    rows = history.select("path", "blob").join(of_blob, "blob", "left")
+    counts = history.groupBy("blob").agg(F.count("*").alias("rows"))
+    rows = join_heavy(history.select("path", "blob"), of_blob.join(counts, "blob"), ["blob"], "rows", "left")
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     return rows.select("path", "blob", F.coalesce("spans", none).alias("spans"))
 
@@ -120,7 +143,8 @@ def joined(spans: Column) -> Column:
 def digest(found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Per path: counts of the base kinds, SHA-256 of the base spans, all spans as text."""
     base = F.filter("spans", lambda s: s["rank"].isin([i for i, r in enumerate(rules) if r.base]))
-    counts = [F.size(F.filter("spans", lambda s, i=i: s["rank"] == i)).cast("bigint").alias(f"n_{r.kind}") for i, r in enumerate(rules) if r.base]
+    number = lambda rank: F.size(F.filter("spans", lambda s: s["rank"] == rank))
+    counts = [number(i).cast("bigint").alias(f"n_{r.kind}") for i, r in enumerate(rules) if r.base]
     return found.select(F.col("path").alias("doc_id"), *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
@@ -138,10 +162,9 @@ def redact(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col:
     held = found.where(F.size("spans") > 0).select(F.col("path").alias("__path"), F.col("blob").alias("__blob"), merged.alias("__spans")).dropDuplicates(["__path", "__blob"])
     rows = docs.withColumn("__sha", F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256))
     rows = rows.join(held, F.col(f"`{id_col}`").eqNullSafe(F.col("__path")) & (F.col("__sha") == F.col("__blob")), "left")
-    cut = F.aggregate(
-        "__spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(F.col(f"`{text_col}`"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("out")),
-        lambda acc: F.concat(acc["out"], F.substring(F.col(f"`{text_col}`"), acc["at"] + 1, F.length(F.col(f"`{text_col}`")))),
-    )
+    text = F.col(f"`{text_col}`")
+    end = lambda i: F.when(i > 0, F.get(F.col("__spans"), i - 1)["end"]).otherwise(F.lit(0))
+    gaps = F.transform("__spans", lambda s, i: F.substring(text, end(i) + 1, s["start"] - end(i)))
+    tail = F.substring(text, F.element_at("__spans", -1)["end"] + 1, F.length(text))
+    cut = F.array_join(F.concat(gaps, F.array(tail)), mark)
     return rows.withColumn(text_col, F.when(F.size("__spans") > 0, cut).otherwise(F.col(f"`{text_col}`"))).select(*[f"`{c}`" for c in docs.columns])

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from typing import BinaryIO
@@ -24,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marlstone.llm.common import join_heavy
+
 MAGIC, VERSION, CRLF = b"\x1f\x8b\x08", b"WARC/1.1", b"\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_SCHEMA = "path string, position bigint, record_type string, record_id string, target_uri string, refers_to_id string, payload_bytes bigint, payload_digest string, payload binary"
@@ -63,9 +66,10 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", uri_col: str = "
     """
     rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{uri_col}`").alias("uri"), F.coalesce(F.col(f"`{payload_col}`"), F.lit("")).alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload"))
-    # a row per digest and task leaves a task, so a payload that many rows share is no burden
-    first = rows.where(F.octet_length("payload") >= least_revisit_bytes).groupBy("sha").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("sha", "first")
-    rows = rows.join(first, "sha", "left")
+    # a row per digest and task leaves a task, and the rows of a payload that very many share
+    # stay where they are, so such a payload is no burden
+    first = rows.where(F.octet_length("payload") >= least_revisit_bytes).groupBy("sha").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    rows = join_heavy(rows, first, ["sha"], "n", "left")
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,13 +84,15 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", uri_col: str = "
 
 
 def _opener(path: str) -> BinaryIO:
+    """A file that can be read from any place: local, or of a store that pyarrow knows (s3,
+    gs, abfss, hdfs and viewfs where libhdfs is installed)."""
     if path.startswith("file:"):
         from urllib.parse import unquote
 
         return open("/" + unquote(path[5:]).lstrip("/"), "rb")
     from pyarrow import fs
 
-    system, inner = fs.FileSystem.from_uri(path)
+    system, inner = fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
     return system.open_input_file(inner)
 
 
@@ -119,12 +125,16 @@ def _parse(data: bytes) -> dict | None:
     lines = head.split(CRLF)
     if not mark or not lines[0].startswith(b"WARC/"):
         return None
-    fields = {}
+    fields: dict[bytes, bytes] = {}
+    last = b""
     for line in lines[1:]:
+        if line[:1] in (b" ", b"\t") and last:  # goes on from the line before
+            fields[last] += b" " + line.strip()
+            continue
         name, colon, value = line.partition(b":")
-        if not colon:
-            return None
-        fields[name.strip().lower()] = value.strip()
+        if colon:  # other lines say nothing
+            last = name.strip().lower()
+            fields[last] = value.strip()
     length = fields.get(b"content-length", b"")
     if not length.isdigit() or b"warc-type" not in fields or int(length) > len(body):
         return None
@@ -163,9 +173,10 @@ def _strip(value: bytes | None) -> str | None:
 
 def read(spark: SparkSession, path: str, range_bytes: int = 8 << 20, keep_payload: bool = True, most_tasks: int = 100_000) -> DataFrame:
     """One row per record of the archives below ``path`` (see RECORD_SCHEMA): its file and
-    position, type, ids, target, and its payload's size and bare base32 SHA-1. Both are
-    computed from a response's payload; for a revisit they are what its head says of the
-    full payload, which itself is null. Bytes between members are skipped. Files are only
+    position, type, ids, target, and its payload's size and bare base32 SHA-1. The payload
+    is what follows the HTTP head, of records without one the whole block. Both are
+    computed from it; for a revisit they are what its head says of the full payload, which
+    itself is null. Header lines without a colon are passed over. Bytes between members are skipped. Files are only
     listed, never read whole; an empty folder gives no rows.
     """
     files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "length")
@@ -188,7 +199,9 @@ def read(spark: SparkSession, path: str, range_bytes: int = 8 << 20, keep_payloa
                 with _opener(file) as stream:
                     for at, fields in scan_range(stream, start, end):
                         kind = fields[b"warc-type"].decode()
-                        http, _, payload = fields[b"block"].partition(CRLF * 2)
+                        http, payload = b"", fields[b"block"]
+                        if fields.get(b"content-type", b"").lower().startswith(b"application/http") or kind == "revisit":
+                            http, _, payload = payload.partition(CRLF * 2)
                         if kind == "revisit":
                             size = next((int(x.split(b":")[1]) for x in http.split(CRLF) if x.lower().startswith(b"content-length:")), None)
                             digest, payload = fields.get(b"warc-payload-digest", b"").decode().removeprefix("sha1:"), None

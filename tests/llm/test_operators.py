@@ -78,6 +78,19 @@ def test_warc_scan_skips_false_magic():
         assert both == [len(noise), 2 * len(noise) + len(good) + 1]
 
 
+def test_warc_other_records():
+    """Records without an HTTP head, folded header lines and lines without a colon."""
+    def member(head, block):
+        deflate = zlib.compressobj(4, zlib.DEFLATED, 31)
+        return deflate.compress(b"WARC/1.0\r\n" + head + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n") + deflate.flush()
+
+    import io
+
+    data = member(b"WARC-Type: metadata\r\nno colon here\r\nWARC-Target-URI: a\r\n b\r\n", b"one\r\n\r\ntwo")
+    (at, fields), = warc.scan_range(io.BytesIO(data), 0, len(data))
+    assert at == 0 and fields[b"block"] == b"one\r\n\r\ntwo" and fields[b"warc-target-uri"] == b"a b"
+
+
 def test_packing(docs, empty):
     library = Tokenizer.from_file(BPE)
     rows = packing.pack(docs, RANKS, PATTERN, capacity=256, least=16, with_ids=True).collect()
@@ -346,7 +359,9 @@ def test_secrets(spark, docs, empty):
     history = secrets.versions(df)
     ledger = secrets.scan(history).persist()
     for r in secrets.digest(secrets.findings(history, ledger)).collect():
-        assert r.base_sha256 == hashlib.sha256(secret_spans(texts[r.doc_id]).encode()).hexdigest(), texts[r.doc_id]
+        want = secret_spans(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest(), texts[r.doc_id]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(want.count(k + ":") for k in ("assign", "access", "hex"))
     assert secrets.scan(history, ledger).count() == 0
     more = history.union(spark.createDataFrame([(1000, "token=abcdefgh")], "path bigint, text string").withColumn("blob", F.sha2("text", 256)))
     assert secrets.scan(more, ledger).count() == 1
@@ -361,6 +376,36 @@ def test_secrets(spark, docs, empty):
     assert secrets.scan(secrets.versions(empty)).count() == 0
 
 
+def test_secrets_kept_ledger(spark):
+    """A ledger at a kept path: an increment scans its new contents alone, findings reach
+    every path that ever held a blob, a changed rule scans all again."""
+    path = common.new_path(spark, "ledger")
+    rows = lambda *r: secrets.versions(spark.createDataFrame(list(r), "doc_id bigint, text string"))
+    first, second = rows((1, "token=abcdefgh"), (2, "plain")), rows((1, "token=abcdefgh"), (1, "token=zzzzzzzz"), (3, "plain"), (4, "token=abcdefgh"))
+    assert secrets.update(spark, first, path).count() == 2
+    assert secrets.update(spark, second, path).count() == 3
+    assert secrets.update(spark, second, path).count() == 3
+    found = secrets.findings(first.union(second), secrets.update(spark, second, path))
+    assert sorted((r.path, len(r.spans)) for r in found.collect()) == [(1, 1), (1, 1), (1, 1), (2, 0), (3, 0), (4, 1)]
+    changed = (secrets.Rule("assign", "token=([a-z]+)", 1, 6, True), *secrets.RULES[1:])
+    again = secrets.update(spark, second, path, changed)
+    assert again.count() == 6 and {len(r.rules) for r in again.collect()} == {1, len(secrets.RULES)}
+
+
+def test_secrets_all_rules(spark):
+    """Spans of every rule where its secrets stand, and a long text full of matches."""
+    cases = {"github": "ghp_" + "A1b2" * 9, "slack": "xoxb-12345-abcdef", "jwt": "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3.c2lnbmF0dXJlLWhlcmU"}
+    texts = [(i, f"é {value} end") for i, value in enumerate(cases.values())]
+    many = " ".join(f"token=abc{i:05d}" for i in range(3000))
+    df = spark.createDataFrame([*texts, (9, many)], "doc_id bigint, text string")
+    history = secrets.versions(df)
+    got = {r.doc_id: r for r in secrets.digest(secrets.findings(history, secrets.scan(history))).collect()}
+    for i, (kind, value) in enumerate(cases.items()):
+        assert f"{kind}:2:{2 + len(value)}" in got[i].spans.split(","), kind
+    assert got[9].spans == secret_spans(many) and got[9].n_assign == 3000
+    assert secrets.redact(df, secrets.findings(history, secrets.scan(history))).where("doc_id = 9").first().text == " ".join(["[SECRET]"] * 3000)
+
+
 def test_secrets_pem(spark):
     """A private key goes with its body and END line, and nothing beside it."""
     begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
@@ -470,6 +515,31 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.keep(df, lexicon).columns == df.columns
 
 
+def test_toxicity_hits_by_hand():
+    """hits and raw against a search of every word for every term and phrase."""
+    own = random.Random(16)
+    weights = {"grum": 2.0, "grumbo": 3.0, "zug": 1.5, "snarkl": 1.0, "idle": 0.5, "abcdefghijklmnop": 4.0}
+    weights = {toxicity.fold(t): w for t, w in weights.items()}
+    phrases = ("grumbo fish", "idle zug")
+    lexicon = toxicity.Lexicon(weights, phrases)
+    words = ["grumbo", "GRUMB0", "grum", "zug", "zugs", "fish", "idle", "sn4rkle", "tree", "a", "zu\u200bg", "abcdefghijklmnopq", "_zug"]
+    for _ in range(3000):
+        text = "".join(own.choice(words) + own.choice((" ", " ", ", ", "-", "  ")) for _ in range(own.randint(0, 12)))
+        folded = toxicity.fold(text)
+        spared = [(m.start(), m.end()) for p in phrases for m in re.finditer(f"(?={re.escape(toxicity.fold(p))})", folded) for m in [re.compile(re.escape(toxicity.fold(p))).match(folded, m.start())] if not (m.start() and folded[m.start() - 1].isalnum())]
+        want = []
+        for at in range(len(folded)):
+            if at and folded[at - 1].isalnum():
+                continue
+            fits = [t for t in weights if folded.startswith(t, at) and (len(t) >= toxicity.SHORTEST or not (re.match(r"\w", folded[at + len(t) :]) or at and re.match(r"\w", folded[at - 1])))]
+            if fits:
+                best = max(fits, key=len)
+                if not any(a <= at and at + len(best) <= b for a, b in spared):
+                    want.append((at, at + len(best), weights[best]))
+        assert sorted(lexicon.hits(folded)) == want, text
+        assert abs(lexicon.raw(text) - sum(w for _, _, w in want) / np.log2(2 + len(text.split()))) < 1e-9
+
+
 def test_toxicity_keeps_all_terms(spark):
     """Whole words below four letters are learned, and exceptions beyond 4000 too."""
     own = random.Random(12)
