@@ -1,11 +1,14 @@
 """Personal data: exact patterns, and a character BiLSTM-CRF for other spellings.
 
 The patterns give the base spans, which always stay. The tagger (a bidirectional LSTM over
-characters, a CRF over its scores; trained here in numpy from labelled spans) adds spans
-that the patterns miss. Every kind holds a digit or an @, so only windows around those
-characters are tagged: no span can lie elsewhere. Windows overlap; each is decoded by
-Viterbi, and a document's spans are then reconciled: the set of spans that don't overlap
-with the highest total confidence is kept.
+characters, a CRF over its scores; trained here in numpy from labelled spans) adds what the
+patterns miss: values in other spellings, and those that a failed match swallowed. It learns
+from a bounded sample of the documents, in whose texts the base spans are the labels and
+half of them are respelled. Every spelling has a digit (of any script), an @ or the word
+"dot", so the surroundings of those are tagged. Windows overlap; each is decoded by Viterbi,
+tags of neighbouring windows are also put end to end, so that a span may be of any length,
+and a document's spans are then reconciled: the set of spans that don't overlap with the
+highest total confidence is kept.
 """
 
 from __future__ import annotations
@@ -13,18 +16,22 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from bisect import bisect_right
+import unicodedata
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from marlstone.llm.common import ids_and_texts, map_arrow, slices
 
 KINDS = ("email", "ip", "card", "phone")
-TRIGGER = re.compile(r"[0-9@]")
+DIGIT_OR_AT = re.compile(r"[0-9@]")
+TRIGGER = re.compile(r"\d|[@＠]|\bdot\b", re.IGNORECASE)
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -62,7 +69,7 @@ def _digits(text: str) -> str:
 
 def base_spans(text: str) -> list[Span]:
     """Ordered by kind, then start."""
-    if not TRIGGER.search(text):
+    if not DIGIT_OR_AT.search(text):
         return []
     found = [(0, a, b) for a, b in _emails(text)]
     found += [(1, *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split(".") if len(p.lstrip("0")) <= 3) and all(len(p.lstrip("0")) <= 3 for p in m[0].split("."))]
@@ -74,13 +81,30 @@ def base_spans(text: str) -> list[Span]:
 # ---- the tagger
 
 TAGS = 1 + 2 * len(KINDS)  # O, then B and I of each kind
-_CLASSES = {c: i + 2 for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")} | {c: i + 28 for i, c in enumerate(".-+@()_% \n:/,\"'=")} | {str(d): 44 for d in range(10)}
-PAD, OTHER, N_CLASSES = 0, 1, 45
+_CLASSES = {c: i + 2 for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")} | {c: i + 28 for i, c in enumerate(".-+@()_% \n:/,\"'=[]")} | {str(d): 46 for d in range(10)}
+PAD, OTHER, N_CLASSES = 0, 1, 47
 WINDOW, STRIDE, REACH = 96, 48, 32
 
 
+def _class(c: str) -> int:
+    """Of a character: that of its plain form; digits are one class."""
+    if c in _CLASSES:
+        return _CLASSES[c]
+    plain = unicodedata.normalize("NFKC", c).lower()
+    return _CLASSES["0"] if c.isdecimal() else _CLASSES.get(plain, _CLASSES.get(c.lower(), OTHER))
+
+
+class _Codes(dict):
+    def __missing__(self, c: str) -> int:
+        code = self[c] = _class(c)
+        return code
+
+
+_codes = _Codes()
+
+
 def encode(text: str) -> list[int]:
-    return [_CLASSES.get(c, OTHER) for c in text.lower()] if len(text.lower()) == len(text) else [_CLASSES.get(c.lower(), OTHER) for c in text]
+    return list(map(_codes.__getitem__, text))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -203,7 +227,7 @@ class Tagger:
 Example = tuple[str, list[Span]]
 
 
-def train(examples: list[Example], steps: int = 260, batch: int = 48, rate: float = 0.02, seed: int = 7) -> Tagger:
+def train(examples: list[Example], steps: int = 360, batch: int = 48, rate: float = 0.02, seed: int = 7) -> Tagger:
     """Adam on labelled spans; texts are cut or padded to one window each."""
     tagger, r = Tagger.new(seed=seed), np.random.default_rng(seed)
     x, y = np.zeros((len(examples), WINDOW), int), np.zeros((len(examples), WINDOW), int)
@@ -272,37 +296,108 @@ def labelled_examples(n: int = 2400, seed: int = 11) -> list[Example]:
     return out
 
 
-def windows_of(text: str) -> list[tuple[int, int]]:
-    """Overlapping windows that cover the surroundings of every digit and @."""
+def respelled(kind: int, value: str, r: random.Random) -> str:
+    """The same value in a spelling that the patterns don't match."""
+    if kind == 0:
+        user, _, domain = value.partition("@")
+        at, dot = r.choice(((" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" @ ", "."), ("[@]", "."), ("＠", "."), (" AT ", " DOT ")))
+        return user.replace(".", dot if "dot" in dot.lower() else ".") + at + domain.replace(".", dot)
+    digits = _digits(value)
+    if kind == 1:
+        spelling = r.choice(("[.]", " . ", "(.)", "[dot]", " dot "))
+        return spelling.join(value.split("."))
+    if kind == 2:
+        cut = r.choice(((4, "."), (4, "  "), (4, " - "), (4, "_"), (8, "/"), (4, "wide")))
+        wide = "".join(chr(ord(d) + 0xFEE0) for d in digits)
+        return wide if cut[1] == "wide" else cut[1].join(digits[i : i + cut[0]] for i in range(0, len(digits), cut[0]))
+    own, last = digits[:-10], (digits[-10:-7], digits[-7:-4], digits[-4:])
+    if len(last[0]) < 3:
+        return "(" + digits[:2] + ") " + digits[2:5] + "-" + digits[5:]
+    return r.choice(("({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "00" + own + " {} {} {}", own + "-{}-{}-{}", "({}){}.{}")).format(*last)
+
+
+def corpus_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_rows: int = 2_000, most_chars: int = 20_000) -> list[str]:
+    """Texts to learn from: of documents of up to ``most_chars`` characters with a digit or
+    an @ those of ``most_rows`` ids at most, by smallest hash."""
+    rows = ids_and_texts(docs, id_col, text_col).where(f"doc_id IS NOT NULL AND text RLIKE '[0-9@]' AND length(text) <= {most_chars}")
+    ids = rows.select("doc_id", F.xxhash64("doc_id", F.lit("personal data")).alias("h")).orderBy("h", "doc_id").limit(most_rows).distinct()
+    return [r.text for r in rows.join(F.broadcast(ids), "doc_id").groupBy("h", "doc_id").agg(F.min("text").alias("text")).orderBy("h", "doc_id").collect()]
+
+
+def corpus_examples(texts: list[str], share: float = 0.6, seed: int = 13) -> list[Example]:
+    """A window around each base span of the texts, with its base spans as labels; a
+    ``share`` of them respelled."""
+    r, out = random.Random(seed), []
+    for text in texts:
+        spans = sorted({(a, b, k) for k, a, b in base_spans(text)})
+        spans = [s for i, s in enumerate(spans) if i == 0 or s[0] >= spans[i - 1][1]]
+        for i, (start, end, _) in enumerate(spans):
+            first = max(0, start - r.randint(5, 45))
+            if any(a < first < b for a, b, _ in spans):
+                first = start
+            made, labels, at = "", [], first
+            for a, b, kind in spans[i:] if first >= (spans[i - 1][1] if i else 0) else []:
+                if len(made) + a - at > WINDOW - 8:
+                    break
+                value = respelled(kind, text[a:b], r) if r.random() < share else text[a:b]
+                made += text[at:a]
+                labels.append((kind, len(made), len(made) + len(value)))
+                made, at = made + value, b
+            made += text[at : at + 60]
+            labels = [s for s in labels if s[1] < WINDOW]
+            if labels:
+                out.append((made, labels))
+    return out
+
+
+def windows_of(text: str) -> list[list[tuple[int, int]]]:
+    """Regions around every trigger (and what no blank parts from it), each cut into
+    overlapping windows."""
     regions: list[list[int]] = []
     for m in TRIGGER.finditer(text):
+        low = regions[-1][1] if regions else 0
+        if regions and m.end() + REACH <= low:
+            continue
         a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
-        if regions and a <= regions[-1][1]:
+        while a > low and not text[a - 1].isspace():
+            a -= 1
+        while b < len(text) and not text[b].isspace():
+            b += 1
+        a, b = max(low, a - 1), min(len(text), b + 1)  # the blank shows that a span isn't cut
+        if regions and a <= low:
             regions[-1][1] = b
         else:
             regions.append([a, b])
-    return [(s, min(s + WINDOW, b)) for a, b in regions for s in range(a, max(a + 1, b - WINDOW + STRIDE), STRIDE)]
+    return [[(s, min(s + WINDOW, b)) for s in range(a, max(a + 1, b - WINDOW + STRIDE), STRIDE)] for a, b in regions]
+
+
+_AT = re.compile(r"\s*[\[({<]?\s*(?:@|\bat\b)\s*[\])}>]?\s*", re.IGNORECASE)
+_DOT = re.compile(r"\s*[\[({<]?\s*(?:\.|\bdot\b)\s*[\])}>]?\s*", re.IGNORECASE)
+_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 
 
 def plausible(kind: int, value: str) -> bool:
-    """What a span of the tagger has to hold to be one of its kind."""
+    """What a span of the tagger has to hold, in plain spelling, to be one of its kind."""
+    value = unicodedata.normalize("NFKC", value)
+    value = "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in value)
     n = len(_digits(value))
     if kind == 0:
-        return value.count("@") == 1 and "." in value.split("@")[1] and not value.startswith("@")
+        return bool(_EMAIL.fullmatch(_DOT.sub(".", _AT.sub("@", value))))
     if kind == 1:
-        parts = re.findall(r"[0-9]+", value)
-        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+        return bool(re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", plain := _DOT.sub(".", value))) and all(int(p) <= 255 for p in plain.split("."))
     if kind == 2:
-        return 13 <= n <= 19 and luhn(_digits(value))
+        return 16 <= n <= 19 and bool(re.fullmatch(r"[0-9][0-9 ._/-]*[0-9]", value)) and luhn(_digits(value))
     return 9 <= n <= 15 and bool(re.fullmatch(r"[+0-9(][0-9 ().-]+[0-9]", value)) and len(re.findall(r"[0-9]+", value)) >= 3
 
 
 def reconcile(spans: list[tuple[int, int, int, float]], taken: list[Span]) -> list[Span]:
     """Of (kind, start, end, confidence) of all windows of a text, the set without overlaps
     (also with ``taken``) of the highest total confidence."""
+    held = sorted((a, b) for _, a, b in taken)
+    starts, reach = [a for a, _ in held], [-1, *accumulate((b for _, b in held), max)]
     best: dict[Span, float] = {}
     for kind, start, end, sure in spans:
-        if not any(a < end and start < b for _, a, b in taken):
+        if reach[bisect_left(starts, end)] <= start:
             best[kind, start, end] = max(sure, best.get((kind, start, end), 0.0))
     order = sorted(best, key=lambda s: (s[2], s[1], s[0]))
     ends, total, last = [], [0.0], [-1]  # last: the span that the best set of the first i ends with
@@ -319,26 +414,48 @@ def reconcile(spans: list[tuple[int, int, int, float]], taken: list[Span]) -> li
     return chosen[::-1]
 
 
+def _tagged(tags: np.ndarray, sure: np.ndarray, at: int) -> Iterator[tuple[int, int, int, float]]:
+    """(kind, start, end, confidence) of the spans in a row of tags that begins at ``at``."""
+    for s in np.flatnonzero(tags % 2 == 1).tolist():
+        e = s + 1
+        while e < len(tags) and tags[e] == tags[s] + 1:
+            e += 1
+        yield int(tags[s]) // 2, at + s, at + e, float(sure[s:e].mean())
+
+
 def added_spans(tagger: Tagger, texts: list[str], base: list[list[Span]], least: float = 0.6, lot: int = 512) -> list[list[Span]]:
-    """Spans beyond ``base`` for each text."""
-    at = [(k, a, b) for k, t in enumerate(texts) for a, b in windows_of(t)]
+    """Spans beyond ``base`` for each text. A window names the spans that lie inside it;
+    those that its edges cut come from the tags of a whole region, each character's from the
+    window that has it nearest to its middle."""
+    regions = [(k, windows) for k, t in enumerate(texts) for windows in windows_of(t)]
+    at = [(r, a, b) for r, (_, windows) in enumerate(regions) for a, b in windows]
     found: list[list] = [[] for _ in texts]
+    edge = (WINDOW - STRIDE) // 2
+    parts: list[tuple[np.ndarray, np.ndarray]] = []  # of the region that is being read
+
+    def take(k: int, spans: Iterator[tuple[int, int, int, float]], first: int, last: int) -> None:
+        for kind, s, e, sure in spans:
+            cut = (s == first and first > 0) or (e == last and last < len(texts[k]))
+            if not cut and sure >= least and plausible(kind, texts[k][s:e]):
+                found[k].append((kind, s, e, sure))
+
     for first in range(0, len(at), lot):
-        part = at[first : first + lot]
-        x = np.zeros((len(part), WINDOW), int)
-        for row, (k, a, b) in enumerate(part):
-            x[row, : b - a] = encode(texts[k][a:b])
+        some = at[first : first + lot]
+        x = np.zeros((len(some), WINDOW), int)
+        for row, (r, a, b) in enumerate(some):
+            x[row, : b - a] = encode(texts[regions[r][0]][a:b])
         path, sure = tagger.decode(x)
-        for row, (k, a, b) in enumerate(part):
-            tags = path[row, : b - a]
-            for s in np.flatnonzero(tags % 2 == 1).tolist():
-                kind, e = int(tags[s]) // 2, s + 1
-                while e < b - a and tags[e] == tags[s] + 1:
-                    e += 1
-                cut = (s == 0 and a > 0) or (e == b - a and b < len(texts[k]))
-                confidence = float(sure[row, s:e].mean())
-                if not cut and confidence >= least and plausible(kind, texts[k][a + s : a + e]):
-                    found[k].append((kind, a + s, a + e, confidence))
+        for row, (r, a, b) in enumerate(some):
+            k, windows = regions[r]
+            tags, own = path[row, : b - a], sure[row, : b - a]
+            take(k, _tagged(tags, own, a), a, b)
+            if len(windows) > 1:
+                low, high = 0 if a == windows[0][0] else edge, b - a if (a, b) == windows[-1] else edge + STRIDE
+                parts.append((tags[low:high], own[low:high]))
+                if (a, b) == windows[-1]:
+                    start = windows[0][0]
+                    take(k, _tagged(np.concatenate([t for t, _ in parts]), np.concatenate([c for _, c in parts]), start), start, b)
+                    parts = []
     return [reconcile(f, b) if f else [] for f, b in zip(found, base, strict=True)]
 
 

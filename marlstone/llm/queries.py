@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -42,14 +41,14 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_lattice.digests(table(spark, sf_dir, "documents"), model)
 
 
-@functools.cache
-def pii_tagger() -> pii.Tagger:
-    """Trained once per driver process; the same from the same seeds."""
-    return pii.train(pii.labelled_examples())
+_taggers: dict[str, pii.Tagger] = {}
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.find(table(spark, sf_dir, "documents"), pii_tagger())
+    docs = table(spark, sf_dir, "documents")
+    if sf_dir not in _taggers:  # trained once for a table; the same from the same rows and seeds
+        _taggers[sf_dir] = pii.train(pii.labelled_examples() + pii.corpus_examples(pii.corpus_texts(docs)))
+    return pii.find(docs, _taggers[sf_dir])
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -323,9 +323,73 @@ def test_pii(docs, empty):
     assert pii.find(empty, tagger).count() == 0
 
 
+def test_pii_respelled(spark):
+    """Values in other spellings, in texts that were not learned from."""
+    own = random.Random(17)
+    made = {0: lambda: f"{own.choice(('the', 'bob', 'ana'))}.{own.randint(1, 99)}@mail{own.randint(1, 9)}.example.com", 1: lambda: ".".join(str(own.randint(1, 255)) for _ in range(4)), 3: lambda: f"+1 ({own.randint(100, 999)}) 555-{own.randint(1000, 9999)}"}
+
+    def card():
+        body = "".join(own.choice("0123456789") for _ in range(15))
+        return body + next(d for d in "0123456789" if pii.luhn(body + d))
+
+    made[2] = card
+    words = ["thon", "er", "que", "ein", "lich", "the", "and", "of"]
+    texts = [" ".join([*own.choices(words, k=own.randint(3, 20)), made[i % 4](), *own.choices(words, k=own.randint(3, 20))]) for i in range(900)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    learned = pii.corpus_texts(df, most_rows=600)
+    assert len(learned) == 600
+    tagger = pii.train(pii.labelled_examples() + pii.corpus_examples(learned), steps=260)
+    hit = total = said = 0
+    for text in sorted(set(texts) - set(learned)):
+        (kind, a, b), *_ = pii.base_spans(text)
+        value = pii.respelled(kind, text[a:b], own)
+        text = text[:a] + value + text[b:]
+        base = pii.base_spans(text)
+        found = pii.added_spans(tagger, [text], [base])[0]
+        if not any(x < a + len(value) and a < y for _, x, y in base):
+            total, hit = total + 1, hit + ((kind, a, a + len(value)) in found)
+        said += len(found)
+    assert total > 200 and hit > 0.75 * total and hit > 0.93 * said
+
+
+def test_pii_decode():
+    """Best path and marginals against all paths."""
+    from itertools import product
+
+    tagger = pii.Tagger.new(3)
+    x = np.random.default_rng(2).integers(0, pii.N_CLASSES, (3, 4))
+    s, a = tagger.emissions(x), tagger.p["A"]
+    path, sure = tagger.decode(x)
+    for row in range(3):
+        scores = {p: sum(s[t, row, p[t]] for t in range(4)) + sum(a[p[t - 1], p[t]] for t in range(1, 4)) for p in product(range(pii.TAGS), repeat=4)}
+        best = max(scores, key=scores.get)
+        assert tuple(path[row]) == best
+        weight = {p: np.exp(v) for p, v in scores.items()}
+        total = sum(weight.values())
+        for t in range(4):
+            assert abs(sure[row, t] - sum(w for p, w in weight.items() if p[t] == best[t]) / total) < 1e-9
+
+
+def test_pii_long_spans():
+    """A span longer than a window, and one that an edge of a window cuts, are whole."""
+
+    class Words:  # every run without a blank is an address
+        def decode(self, x):
+            blank = (x == pii.encode(" ")[0]) | (x == pii.PAD)
+            first = ~blank & np.concatenate([np.ones((len(x), 1), bool), blank[:, :-1]], axis=1)
+            return np.where(blank, 0, np.where(first, 1, 2)), np.ones(x.shape)
+
+    for n, before in ((150, 0), (150, 33), (400, 70), (20, 90), (60, 60)):
+        value = "x" * (n // 2) + "@" + "y" * (n // 2) + ".com"
+        text = "w " * before + value + " end" * 30
+        assert pii.added_spans(Words(), [text], [[]]) == [[(0, 2 * before, 2 * before + len(value))]]
+    text = " ".join(f"a{i}@b.com" for i in range(4000))
+    assert len(pii.added_spans(Words(), [text], [[]])[0]) == 4000 and pii.added_spans(Words(), [text], [pii.base_spans(text)]) == [[]]
+
+
 def test_pii_gradients():
     tagger = pii.Tagger.new(3)
-    x, y = np.random.default_rng(0).integers(0, 45, (2, 6)), np.random.default_rng(1).integers(0, 9, (2, 6))
+    x, y = np.random.default_rng(0).integers(0, pii.N_CLASSES, (2, 6)), np.random.default_rng(1).integers(0, 9, (2, 6))
     _, grads = tagger.gradients(x, y)
     for name, g in grads.items():
         at = tuple(np.unravel_index(np.abs(g).argmax(), g.shape))
