@@ -26,33 +26,43 @@ def keyed_merge(conditions: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
 
     One aggregation with partial sums: no record list is gathered but the snippets.
     """
-    rows = complete_columns(conditions)
+    rows, given = conditions, [f for f in FIELDS if f in conditions.columns]  # the others are null
     if "context_snippet" not in rows.columns:
         rows = rows.withColumn("context_snippet", F.lit(None).cast("string"))
     names = [f"__k{i}" for i in range(len(key))]
-    rows = rows.withColumns({n: T.norm_key(F.col(k)) for n, k in zip(names, key, strict=True)})
+    # one pass over an array, exploded as one element: worked out once, and no code of many rules
+    norms = F.transform(F.array(*[F.col(k) if k in given else F.lit(None).cast("string") for k in key], F.col("context_snippet")), T.norm_key)
+    rows = rows.withColumn("__norms", F.explode(F.array(norms)))
+    rows = rows.withColumns({n: F.get("__norms", i) for i, n in enumerate(names)})
     bare = F.concat(*names[1:]) == ""
-    rows = rows.withColumn("__snippet", F.when(bare, T.norm_key(F.col("context_snippet"))).otherwise(""))
-    rows = rows.withColumn("__ratio", T.ratio_range(F.col("ratio"))).withColumns({f"__{f}": T.value_range(F.nullif(F.col(f), F.lit(""))) for f in RANGED})
+    rows = rows.withColumn("__snippet", F.when(bare, F.get("__norms", len(key))).otherwise("")).drop("__norms")
+    ranged = [f for f in (*RANGED, "ratio") if f in given]
+    if ranged:
+        spans = F.struct(*[(T.ratio_range(F.col(f)) if f == "ratio" else T.value_range(F.nullif(F.col(f), F.lit("")))).alias(f) for f in ranged])
+        rows = rows.withColumn("__spans", F.explode(F.array(spans))).withColumns({f"__{f}": F.col(f"__spans.{f}") for f in ranged}).drop("__spans")
     out = [F.min("ord").alias("first_ord")]
-    for f in FIELDS:
-        if f not in (*RANGED, "ratio", "ratio_units"):
+    for f in given:
+        if f not in (*ranged, "ratio_units"):
             out.append(_first(f).alias(f))
-    for f in (*RANGED, "ratio"):
+    for f in ranged:
         parsed = f"__{f}"
         out += [_first(f).alias(f), F.expr(f"min_by(`{parsed}`, ord) FILTER (WHERE `{f}` IS NOT NULL AND `{f}` <> '')").alias(f"{parsed}0"), F.min(f"{parsed}.lo").alias(f"{parsed}lo"), F.max(f"{parsed}.hi").alias(f"{parsed}hi")]
-        out.append(F.expr(f"count(DISTINCT `{f}`) FILTER (WHERE `{parsed}` IS NOT NULL)").alias(f"{parsed}n"))
+        told = f"FILTER (WHERE `{parsed}` IS NOT NULL)"  # different ones: cheaper than counting them
+        out.append(F.expr(f"min(`{f}`) {told} <> max(`{f}`) {told}").alias(f"{parsed}n"))
         if f != "ratio":
             out.append(F.expr(f"min_by(`{parsed}`.unit, ord) FILTER (WHERE `{parsed}`.unit <> '')").alias(f"{parsed}unit"))
-    out += [_first("ratio_units").alias("ratio_units"), F.expr("max_by(ratio_units, ord) FILTER (WHERE lower(ratio_units) LIKE '%wt\\%%')").alias("__weight")]
+    if "ratio_units" in given:
+        out += [_first("ratio_units").alias("ratio_units"), F.expr("max_by(ratio_units, ord) FILTER (WHERE lower(ratio_units) LIKE '%wt\\%%')").alias("__weight")]
     out.append(F.transform(F.sort_array(F.expr("collect_list(struct(ord, context_snippet)) FILTER (WHERE context_snippet <> '')")), lambda x: x["context_snippet"]).alias("context_snippets"))
     merged = rows.groupBy("doc_id", *names, "__snippet").agg(*out)
-    spans = {}
-    for f in (*RANGED, "ratio"):
+    spans: dict[str, Column] = {}
+    for f in ranged:
         p = f"__{f}"
         span = T.span_text(F.col(f"{p}lo"), F.col(f"{p}hi"), None if f == "ratio" else F.col(f"{p}unit"))
-        spans[f] = F.when(F.col(f"{p}0").isNotNull() & (F.col(f"{p}n") > 1), span).otherwise(F.col(f))
-    merged = merged.withColumns(spans | {"ratio_units": F.coalesce("__weight", "ratio_units")})
+        spans[f] = F.when(F.col(f"{p}0").isNotNull() & F.col(f"{p}n"), span).otherwise(F.col(f))
+    if "ratio_units" in given:
+        spans["ratio_units"] = F.coalesce("__weight", "ratio_units")
+    merged = complete_columns(merged.withColumns(spans))
     return merged.select("doc_id", F.col("first_ord").alias("ord"), *FIELDS, "context_snippets")
 
 
@@ -108,7 +118,8 @@ def linked(conditions: DataFrame, compat: bool = True, widen: bool = True, stric
     """Merge by key, repair, merge what is nearly the same. With ``strict_key`` ratio,
     temperature and system also keep conditions apart."""
     key = (*KEY, "polymer_system", "ratio", "temperature") if strict_key else KEY
-    rows = keyed_merge(with_ratio_of_solvent(complete_columns(conditions)), key)
+    needed = {f: F.lit(None).cast("string") for f in SOLVENT if f not in conditions.columns}
+    rows = keyed_merge(with_ratio_of_solvent(conditions.withColumns(needed)), key)
     rows = repaired(rows, compat, widen)
     if compat and not strict_key:
         rows = rows.withColumn("polymer_system", F.lit(None).cast("string"))

@@ -44,6 +44,17 @@ def needs_refinement(conditions: DataFrame, most: int = 6) -> DataFrame:
     return ranked.where(filled(inner) < len(inner))
 
 
+def problems(rows: DataFrame, column: str = "record") -> DataFrame:
+    """Of records as JSON text those that lack the structure of one, with what is wrong (the
+    first group that is missing); no rows if all are sound."""
+    record = F.col(column)
+    keys = F.json_object_keys(record)
+    wrong = F.when(keys.isNull(), F.lit("not an object"))
+    for group in ("SP_FIELDS", "SOL_FIELDS", "TECH_FIELDS"):
+        wrong = wrong.when(~F.array_contains(keys, group), F.lit(f"no {group}"))
+    return rows.withColumn("problem", wrong).where("problem IS NOT NULL")
+
+
 def nested(conditions: DataFrame) -> DataFrame:
     """The record with one struct per group."""
     groups = [F.struct(*[F.col(f) for f in fields]).alias(name) for name, fields in GROUPS.items()]

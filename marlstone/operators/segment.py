@@ -29,7 +29,11 @@ def relevant(para: Column, vocabulary: Vocabulary) -> Column:
 
 def score(para: Column, v: Vocabulary) -> Column:
     """0 to 13: what a paragraph says about conditions."""
-    t = F.lower(T.normalize(para))
+    # a one-element array binds the normalised text to a name, so that it is worked out once
+    return F.get(F.transform(F.array(F.lower(T.normalize(para))), lambda t: _points(t, v)), 0)
+
+
+def _points(t: Column, v: Vocabulary) -> Column:
     number = r"\b\d+(?:\.\d+)?\s*"
     worth = (
         (has_any(t, v.sections), 1),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions import text as T
 from marlstone.functions.lexicon import Vocabulary
-from marlstone.operators import consensus, evidence, link, mentions, records, report, response, rules, segment, validate
+from marlstone.operators import consensus, evidence, mentions, records, report, response, rules, segment, validate
 from marlstone.plans.derived import CONDITIONS, conditions, table
 from marlstone.sources import files
 
@@ -114,19 +114,13 @@ scored AS (SELECT doc_id, para_idx, para, CAST(
 
 @query(f"WITH {PARAS}, {SCORED} SELECT doc_id, para_idx, score FROM scored")
 def paragraph_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paras = segment.paragraphs(table(spark, sf_dir, "documents"))
-    t = F.lower(T.normalize(F.col("para")))
+    paras = segment.paragraphs(table(spark, sf_dir, "documents")).withColumn("t", F.explode(F.array(F.lower(T.normalize(F.col("para"))))))
+    t = F.col("t")  # worked out once, as an exploded element
     words = F.when(segment.has_any(t, WORDS.sections), 1).otherwise(0) + F.when(segment.has_any(t, WORDS.critical), 3).otherwise(0)
     words = words + F.when(segment.has_any(t, WORDS.solvents), 2).otherwise(0) + F.when(F.contains(t, F.lit(WORDS.column)), 2).otherwise(0)
     return paras.select("doc_id", "para_idx", words.alias("score"))
 
 
-@query()
-def paragraph_scores_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paras = segment.paragraphs(table(spark, sf_dir, "documents"))
-    return paras.select("doc_id", "para_idx", segment.score(F.col("para"), WORDS).alias("score"))
-
-
 HIT = sql_any("lower(para)", WORDS.relevant)
 
 
@@ -143,27 +137,6 @@ def relevance_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.windows(segment.paragraphs(table(spark, sf_dir, "documents")), WORDS)
 
 
-@query()
-def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment.chunks(segment.paragraphs(table(spark, sf_dir, "documents")), WORDS, max_chars=1600)
-
-
-@query(
-    f"""
-WITH {PARAS}, {SCORED},
-u AS (SELECT *, bool_or(score > 0) OVER (PARTITION BY doc_id) AS found FROM scored),
-k AS (SELECT doc_id, para_idx, score, coalesce(sum(length(para) + 2) OVER (PARTITION BY doc_id ORDER BY score DESC, para_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS taken FROM u WHERE score > 0 OR (NOT found AND para_idx < 6))
-SELECT doc_id, para_idx, score FROM k WHERE taken < 1200"""
-)
-def global_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = segment.paragraphs(table(spark, sf_dir, "documents")).join(paragraph_scores(spark, sf_dir), ["doc_id", "para_idx"])
-    from pyspark.sql import Window as W
-
-    some = F.max(F.col("score") > 0).over(W.partitionBy("doc_id"))
-    usable = scored.withColumn("some", some).where((F.col("score") > 0) | (~F.col("some") & (F.col("para_idx") < 6)))
-    return evidence.within_budget(usable, 1200).select("doc_id", "para_idx", "score")
-
-
 @query(
     f"""
 WITH {PARAS}, h AS (SELECT doc_id, para_idx, para, regexp_matches(lower(para), 'thing|heit') AS hit, contains(lower(para), 'que') AS named FROM paras),
@@ -194,11 +167,6 @@ def column_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.column_evidence(segment.paragraphs(docs), columns, WORDS)
 
 
-@query()
-def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", T.normalize(F.col("text")).alias("normalized"))
-
-
 @query(f"SELECT doc_id, {FOLD.format(c='coalesce(text, chr(32))')} AS folded FROM documents")
 def fold_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     glyphs = F.translate(F.coalesce("text", F.lit("")), "".join(T.GLYPHS) + T.DROPPED_GLYPHS, "".join(T.GLYPHS.values()))
@@ -317,32 +285,6 @@ def consensus_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consensus.agreed(conditions(spark, sf_dir), 2, KEYS).select("doc_id", "ord", "model")
 
 
-@query()
-def dedup_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consensus.null_tolerant_merge(conditions(spark, sf_dir))
-
-
-@query()
-def fuzzy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consensus.fuzzy_merge(conditions(spark, sf_dir), ("critical_polymer_unit", "column_name", "manufacturer", "solvent", "ratio", "temperature"))
-
-
-@query(
-    f"""
-WITH {BASE}, v AS (SELECT *, coalesce(lower(critical_polymer_unit), '') AS k1, coalesce(lower(column_name), '') AS k2, coalesce(lower(manufacturer), '') AS k3, coalesce(solvent, '') AS k4 FROM c)
-SELECT doc_id, min(ord) AS ord, arg_min(critical_polymer_unit, ord) FILTER (WHERE critical_polymer_unit IS NOT NULL) AS critical_polymer_unit,
-  arg_min(column_name, ord) FILTER (WHERE column_name IS NOT NULL) AS column_name, arg_min(manufacturer, ord) FILTER (WHERE manufacturer IS NOT NULL) AS manufacturer,
-  arg_min(solvent, ord) FILTER (WHERE solvent IS NOT NULL) AS solvent FROM v GROUP BY doc_id, k1, k2, k3, k4"""
-)
-def keyed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link.keyed_merge(conditions(spark, sf_dir)).select("doc_id", "ord", "critical_polymer_unit", "column_name", "manufacturer", "solvent")
-
-
-@query()
-def linked_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link.linked(conditions(spark, sf_dir)).select("doc_id", "kept_idx", "ord", "critical_polymer_unit", "column_name", "manufacturer", "solvent", "ratio", "ratio_units", "temperature")
-
-
 @query(
     f"""
 WITH {BASE}, s AS (SELECT *, CASE WHEN ord % 4 = 0 THEN 'THF' ELSE {SOLVENT_SQL} END AS sol, CASE WHEN ord % 5 = 0 THEN 'used for sec only' WHEN ord % 7 = 0 THEN 'at the critical point' ELSE '' END AS purpose FROM c)
@@ -408,20 +350,6 @@ def field_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "ord", T.value_in_text(F.col("manufacturer"), F.col("source")).alias("in_text"), validate.checked("ratio", F.col("ratio"), F.col("source")).alias("ratio"))
 
 
-REPORT = ("polymer_group", "column_name", "manufacturer", "solvent", "ratio", "temperature")
-
-
-@query(
-    f"""
-WITH {BASE}, r AS (SELECT doc_id, ord, coalesce(critical_polymer_unit, 'unknown') AS polymer_group, coalesce(critical_polymer_unit, '') AS u, coalesce(column_name, '') AS column_name, coalesce(manufacturer, '') AS manufacturer,
-  coalesce(solvent, '') AS solvent, coalesce(ratio, '') AS ratio, coalesce(temperature, '') AS temperature FROM c)
-SELECT doc_id, min(ord) AS ord, polymer_group, column_name, manufacturer, solvent, ratio, coalesce(arg_min(temperature, ord) FILTER (WHERE temperature <> ''), '') AS temperature
-FROM r GROUP BY doc_id, polymer_group, u, column_name, manufacturer, solvent, ratio"""
-)
-def conditions_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.conditions_table(report.table_rows(conditions(spark, sf_dir))).select("doc_id", "ord", *REPORT)
-
-
 @query(f'WITH {BASE} SELECT \'ratio\' AS "column", least(greatest(coalesce(max(length(ratio)), 0), 5) + 2, 50) AS width FROM c UNION ALL SELECT \'column_name\', least(greatest(coalesce(max(length(column_name)), 0), 11) + 2, 50) FROM c')
 def sheet_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.sheet_widths(conditions(spark, sf_dir), ("ratio", "column_name"))

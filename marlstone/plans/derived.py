@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Runs unchanged on Spark and DuckDB.
@@ -27,7 +29,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def view(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
+    """SQL over tables; they are arguments of the statement, so no view of the session is
+    replaced."""
+    sql = sql.replace("{", "{{").replace("}", "}}")
+    for name in names:
+        sql = re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 {{{name}}}", sql)
+    return spark.sql(sql, **{name: table(spark, sf_dir, name) for name in names})
+
+
 def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    for name in ("lineitem", "part"):
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
-    return spark.sql(CONDITIONS)
+    return view(spark, sf_dir, CONDITIONS, "lineitem", "part")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,25 +25,32 @@ def tei_text(xml: Column) -> Column:
     return F.array_join(F.filter(F.transform(nodes, lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")), lambda x: x != ""), "\n")
 
 
-def tei_tables(docs: DataFrame, xml: str = "xml", most: int = 200) -> DataFrame:
-    """(doc_id, table_idx from 1, row_idx, cells): rows of all tables, padded with '' to the
-    table's width. ``most`` bounds the numbers of tables and rows that are asked for by
-    place; a document with more raises."""
-    tables = F.xpath_int(F.col(xml), F.lit("count(//table)"))
-    numbered = docs.select("doc_id", xml, F.when(tables > 0, F.sequence(F.lit(1), tables)).alias("__t"))
-    numbered = numbered.select("doc_id", xml, F.explode("__t").alias("table_idx"))
-    # xpath wants a constant expression, so tables and rows are cut out of the markup by place
-    tag = lambda name: rf"(?s)<{name}(?:\s[^>]*)?(?:/>|>.*?</{name}>)"
-    table = F.get(F.regexp_extract_all(F.col(xml), F.lit(tag("table")), F.lit(0)), F.col("table_idx") - 1)
-    rows = numbered.select("doc_id", "table_idx", F.posexplode(F.regexp_extract_all(table, F.lit(tag("row")), F.lit(0))).alias("row_idx", "__row"))
-    clean = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, r"(?s)<[^>]*>", " "), r"\s+", " "))
-    plain = lambda c: F.replace(F.replace(F.replace(c, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&"))
-    cells = F.transform(F.regexp_extract_all("__row", F.lit(tag("cell")), F.lit(0)), lambda c: plain(clean(c)))
-    rows = rows.select("doc_id", "table_idx", "row_idx", cells.alias("cells"))
-    from pyspark.sql import Window as W
-
-    width = F.max(F.size("cells")).over(W.partitionBy("doc_id", "table_idx"))
-    return rows.withColumn("cells", F.concat("cells", F.array_repeat(F.lit(""), width - F.size("cells"))))
+def _tables_of(xml: str) -> Iterator[tuple[int, int, list[str]]]:
+    """(table from 1, row from 0, cells) of a document; a table without rows has one empty
+    row, so that its number isn't lost. Names count without their prefix."""
+    from xml.etree import ElementTree
+
+    local = lambda e: e.tag.rsplit("}", 1)[-1]
+    inside = lambda e, name: [x for x in e.iter() if isinstance(x.tag, str) and local(x) == name]
+    for n, found in enumerate(inside(ElementTree.fromstring(xml.encode()), "table"), 1):
+        rows = [[" ".join(t for t in map(str.strip, cell.itertext()) if t) for cell in inside(row, "cell")] for row in inside(found, "row")]
+        width = max(map(len, rows), default=0)
+        for i, cells in enumerate(rows or [[]]):
+            yield n, i, cells + [""] * (width - len(cells))
+
+
+def tei_tables(docs: DataFrame, xml: str = "xml") -> DataFrame:
+    """(doc_id, table_idx from 1, row_idx, cells): rows of all tables, nested ones too, padded
+    with '' to their table's width. A parser reads each document, so prefixes and entities of
+    any kind are right; a document that is null gives no rows, one that is no XML raises."""
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, table_idx int, row_idx int, cells array<string>"
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = [(d, *r) for d, x in zip(part["doc_id"], part["xml"], strict=True) if x is not None for r in _tables_of(x)]
+            yield pd.DataFrame(rows, columns=["doc_id", "table_idx", "row_idx", "cells"])
+
+    return docs.select("doc_id", F.col(f"`{xml}`").alias("xml")).mapInPandas(run, schema)
 
 
 def page_text(html: Column) -> Column:
