@@ -68,6 +68,7 @@ def blank_to_null(value: Column) -> Column:
 def sanitized(text: Column) -> Column:
     """Text for a prompt: normalised, without citation marks and figure or table references."""
     t = normalize(text)
+    # fixed values: citation marks, references to figures and tables
     t = F.regexp_replace(t, r"\[(?:\d+|[,\-\s]){1,20}\]", "")
     t = F.regexp_replace(t, r"(?i)\b(fig(ure)?|table)\s*\d+[a-z]?\b", "")
     return F.trim(F.regexp_replace(t, r"\s+", " "))
@@ -76,6 +77,7 @@ def sanitized(text: Column) -> Column:
 def paragraphs(text: Column, least: int = 20) -> Column:
     """Paragraphs longer than ``least`` characters, in order: without [n] marks, cut at blank
     lines and at line ends between a sentence's end and a capital."""
+    # fixed values: citation marks, and where a text is cut
     t = replaced(F.coalesce(text, F.lit("")), r"\[\d+\]", "")
     t = F.regexp_replace(t, r"\r\n?", "\n")
     t = F.regexp_replace(F.regexp_replace(t, r"[ \t]+", " "), r"\n{3,}", "\n\n")
@@ -86,7 +88,12 @@ def paragraphs(text: Column, least: int = 20) -> Column:
 def value_in_text(value: Column, text: Column) -> Column:
     """Whether the normalised value stands in the normalised text, also with / and :
     exchanged or without blanks; a substring test."""
-    v, t = norm_key(value), norm_key(text)
+    return value_in_normal(value, normalize(text))
+
+
+def value_in_normal(value: Column, normal: Column) -> Column:
+    """The same for a text that is normalised already."""
+    v, t = norm_key(value), F.lower(normal)
     bare = lambda c: F.replace(c, F.lit(" "), F.lit(""))
     slash = F.replace(v, F.lit("/"), F.lit(":"))
     colon = F.replace(v, F.lit(":"), F.lit("/"))
@@ -100,7 +107,12 @@ def numbers_of(text: Column) -> Column:
 def numbers_present(value: Column, text: Column) -> Column:
     """Whether every number of the value stands in the text (a substring test); false
     without numbers."""
-    n, t = numbers_of(value), normalize(text)
+    return numbers_in_normal(value, normalize(text))
+
+
+def numbers_in_normal(value: Column, normal: Column) -> Column:
+    """The same for a text that is normalised already."""
+    n, t = numbers_of(value), normal
     return (F.size(n) > 0) & F.forall(n, lambda x: F.contains(t, x))
 
 

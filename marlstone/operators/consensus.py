@@ -108,7 +108,8 @@ def fuzzy_merge(conditions: DataFrame, value_fields: tuple[str, ...], tolerance:
 
 def column_consensus(columns: DataFrame, least: int, key: Column, value_fields: tuple[str, ...]) -> DataFrame:
     """Of (doc_id, model, model_idx, ord, fields): with one model or ``least`` <= 1 the first
-    model's columns; else per key that enough models give the fullest candidate."""
+    model's columns; else per key that enough models give the fullest candidate. place
+    orders them: by their own, or their key's first, model and order."""
     keyed = columns.withColumn("__key", key)
     by_doc, by_key = W.partitionBy("doc_id"), W.partitionBy("doc_id", "__key")
     keyed = keyed.withColumn("__models", F.size(F.collect_set("model").over(by_doc))).withColumn("__first", F.min("model_idx").over(by_doc))
@@ -117,5 +118,6 @@ def column_consensus(columns: DataFrame, least: int, key: Column, value_fields:
     best = F.row_number().over(by_key.orderBy(F.desc("__score"), "model_idx", "ord"))
     keyed = keyed.withColumn("__score", score).withColumn("__best", best)
     alone = (F.col("__models") == 1) | F.lit(least <= 1)
+    keyed = keyed.withColumn("place", F.when(alone, F.struct("model_idx", "ord")).otherwise(F.min(F.struct("model_idx", "ord")).over(by_key)))
     kept = keyed.where((alone & (F.col("model_idx") == F.col("__first"))) | (~alone & (F.col("__support") >= least) & (F.col("__best") == 1)))
     return kept.drop("__key", "__models", "__first", "__support", "__score", "__best")

@@ -37,6 +37,16 @@ def mentions(docs: DataFrame, abbreviations: DataFrame, recognizer: Callable[[Co
     return found.withColumn("name", canonical_name(F.col("name"))).where("name <> ''")
 
 
+# Endings of systematic names of compounds.
+ENDINGS = ("ylene", "ylate", "amide", "imide", "ether", "ester", "oxide", "lactone", "lactide", "siloxane", "styrene", "acetate", "glycol", "carbonate", "chloride", "nitrile")
+
+
+def by_endings(text: Column, endings: tuple[str, ...] = ENDINGS) -> Column:
+    """A recogniser without a model: words, or two of them, that end like a compound's name."""
+    word = r"[A-Za-z][A-Za-z0-9\-]*"
+    return F.regexp_extract_all(text, F.lit(rf"(?i)\b(?:{word}yl\s+)?(?:{word})?(?:{'|'.join(endings)})\b"), F.lit(0))
+
+
 def mention_counts(found: DataFrame, excluded: str = EXCLUDED) -> DataFrame:
     """(doc_id, name, count, first): counts per document and name; first orders ties."""
     return found.groupBy("doc_id", "name").agg(F.count("*").alias("count"), F.min(F.struct("pass", "pos")).alias("first")).where(~F.col("name").rlike("^" + excluded))

@@ -32,28 +32,41 @@ def json_part(text: Column) -> Column:
     return F.get(F.sort_array(parses), 0)["c"]
 
 
-def records(responses: DataFrame) -> DataFrame:
+def lists(responses: DataFrame, keys: tuple[str, ...], whole: bool = True) -> DataFrame:
+    """``responses`` (.., response) with items: the list of an answer under the first of the
+    keys that has one, or (with ``whole``) the answer if it is a list; else null."""
+    v = F.try_parse_json(json_part(F.col("response")))
+    found = [F.try_variant_get(v, f"$.{k}", "array<variant>") for k in keys]
+    return responses.withColumn("items", F.coalesce(*found, *([F.try_variant_get(v, "$", "array<variant>")] if whole else [])))
+
+
+def records(responses: DataFrame, keys: tuple[str, ...] = LIST_KEYS) -> DataFrame:
     """``responses`` (.., response) with item_seq and the record as JSON text; answers
     without a list of records give none."""
-    v = F.try_parse_json(json_part(F.col("response")))
-    lists = [F.try_variant_get(v, f"$.{k}", "array<variant>") for k in LIST_KEYS]
-    items = F.coalesce(*lists, F.try_variant_get(v, "$", "array<variant>"))
-    rows = responses.withColumn("__items", items)
-    out = rows.select(*responses.columns, F.posexplode("__items").alias("item_seq", "__v"))
+    out = lists(responses, keys).select(*responses.columns, F.posexplode("items").alias("item_seq", "__v"))
     return out.withColumn("record", F.to_json("__v")).where(F.col("record").startswith("{")).drop("__v")
 
 
+def columns(responses: DataFrame) -> DataFrame:
+    """The separation columns of answers: item_seq and the stationary fields."""
+    found = records(responses, ("columns",))
+    return found.withColumns({f: _scalar(_leaf(F.col("record"), f)) for f in GROUPS["SP_FIELDS"]}).drop("record", "response")
+
+
 def parse_failures(responses: DataFrame) -> DataFrame:
     """One row: answers, and answers that hold no list of records."""
-    v = F.try_parse_json(json_part(F.col("response")))
-    lists = F.coalesce(*[F.try_variant_get(v, f"$.{k}", "array<variant>") for k in LIST_KEYS], F.try_variant_get(v, "$", "array<variant>"))
-    return responses.agg(F.count("*").alias("llm_calls"), F.count_if(lists.isNull()).alias("parse_failures"))
+    return lists(responses, LIST_KEYS).agg(F.count("*").alias("llm_calls"), F.count_if(F.col("items").isNull()).alias("parse_failures"))
 
 
 def _leaf(group: Column, field: str) -> Column:
     return F.nullif(F.trim(F.get_json_object(group, f"$.{field}")), F.lit(""))
 
 
+def _scalar(leaf: Column) -> Column:
+    """Null for what is no scalar; whole numbers without a fraction."""
+    return F.when(~leaf.rlike(r"^[\[{]"), F.regexp_replace(leaf, r"^(-?\d+)\.0+$", "$1"))
+
+
 def flat(found: DataFrame) -> DataFrame:
     """The record's fields as columns: groups under either key, a list stands for its first
     element, an object as a unit for its first key; values that are no scalars are null."""
@@ -70,6 +83,5 @@ def flat(found: DataFrame) -> DataFrame:
         columns[name] = F.nullif(F.trim(F.when(value.startswith("{"), first_key).otherwise(value)), F.lit(""))
     for name, fields in GROUPS.items():
         for f in fields:
-            leaf = _leaf(F.col(f"__{name}"), f)
-            columns[f] = F.when(~leaf.rlike(r"^[\[{]"), F.regexp_replace(leaf, r"^(-?\d+)\.0+$", "$1"))
+            columns[f] = _scalar(_leaf(F.col(f"__{name}"), f))
     return out.withColumns(columns).drop("record", *groups)

@@ -95,7 +95,11 @@ def chunks(paras: DataFrame, vocabulary: Vocabulary, max_chars: int = 6000, arou
     return kept.select("doc_id", F.row_number().over(W.partitionBy("doc_id").orderBy("window", "k")).alias("chunk_id"), "para_start", "para_end", "raw_text", "llm_text")
 
 
-def column_paragraphs(paras: DataFrame, most_chars: int = 5000, pattern: str = r"following columns?|columns? (?:was|were) used", term: str = "column") -> DataFrame:
+#: How paragraphs announce columns.
+ANNOUNCED = r"\bfollowing\s+columns?\b|\bcolumns?\s+were\s+used\b"
+
+
+def column_paragraphs(paras: DataFrame, most_chars: int = 5000, pattern: str = ANNOUNCED, term: str = "column") -> DataFrame:
     """(doc_id, text): paragraphs that announce columns and the one after each; without any,
     all that mention one; joined and cut at ``most_chars``."""
     low = F.lower("para")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marlstone.functions import text as T
@@ -16,8 +15,10 @@ UNITS = ("wt%", "w/w", "v/v", "vol%", "%")
 MATCHED = ("column_name", "phase", "modification", "material")
 
 
-def checked(field: str, value: Column, source: Column) -> Column:
-    """The value if its field's rule accepts it for the source text, else null."""
+def checked(field: str, value: Column, source: Column | None = None, normal: Column | None = None) -> Column:
+    """The value if its field's rule accepts it for the source text, else null. ``normal`` is
+    that text normalised, where it is at hand."""
+    normal = T.normalize(source) if normal is None else normal
     v = F.nullif(F.trim(value), F.lit(""))
     if field == "temperature":
         return T.single_temperature(v)
@@ -28,20 +29,22 @@ def checked(field: str, value: Column, source: Column) -> Column:
         return F.when((words >= 5) & (F.length(v) <= 500), v)
     if field in SOFT:
         return F.when(F.length(v) <= 300, v)
-    good = T.value_in_text(v, source)
+    good = T.value_in_normal(v, normal)
     if field in NUMERIC:
-        good = good | T.numbers_present(v, source)
+        good = good | T.numbers_in_normal(v, normal)
     if field == "ratio_units":
-        t = F.lower(T.normalize(source))
+        t = F.lower(normal)
         for unit in UNITS:
             good = good | F.contains(t, F.lit(unit))
     return F.when(F.coalesce(good, F.lit(False)), v)
 
 
-def validated(conditions: DataFrame, source: str) -> DataFrame:
-    """Every field of the groups, checked against the text in column ``source``."""
+def validated(conditions: DataFrame, source: str | None = None, normal: str | None = None) -> DataFrame:
+    """Every field of the groups, checked against the text in column ``source``, or against
+    the normalised one in column ``normal``."""
     fields = (*STATIONARY, *SOLVENT, *TECHNICAL, *BEHAVIOR)
-    return conditions.withColumns({f: checked(f, F.col(f), F.col(source)) for f in fields if f in conditions.columns})
+    texts = {"normal": F.col(normal)} if normal else {"source": F.col(source)}
+    return conditions.withColumns({f: checked(f, F.col(f), **texts) for f in fields if f in conditions.columns})
 
 
 def matches(left: dict[str, Column], right: dict[str, Column]) -> Column:
@@ -83,7 +86,3 @@ def with_hint(conditions: DataFrame, hints: DataFrame, fields: tuple[str, ...] =
 def by_name(names: DataFrame, catalog: DataFrame) -> DataFrame:
     """(doc_id, ord, col_idx): the first column whose name holds the given one or is held."""
     return catalog_match(names, catalog, ("column_name",))
-
-
-def first_in_order(rows: DataFrame, keys: tuple[str, ...], order: str) -> DataFrame:
-    return rows.withColumn("__r", F.row_number().over(W.partitionBy(*keys).orderBy(order))).where("__r = 1").drop("__r")

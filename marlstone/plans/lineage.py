@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder that spark.checkpoint.dir names; where it is unset, as in
-    tests, in a local folder of this application. Long chains of rules plan slowly in one
-    piece, and a lost executor would repeat them all."""
+    """A checkpoint in the folder that spark.checkpoint.dir names; where it is unset and driver
+    and executors are one machine, as in tests, in a local folder of this application; on a
+    cluster an error. Long chains of rules plan slowly in one piece, and a lost executor
+    would repeat them all."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="marlstone-"))
     return df.checkpoint()

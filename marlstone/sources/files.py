@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -9,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.operators.report import COLUMNS
+from marlstone.sources.workbook import sheet
 
 
 def text_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -81,20 +84,38 @@ def sheet_widths(table: DataFrame, columns: tuple[str, ...] = COLUMNS) -> DataFr
     return widest.select(pairs.alias("x")).select("x.*")
 
 
-def save_sheet(table: DataFrame, path: str, columns: tuple[str, ...] = COLUMNS, most_rows: int = 100_000) -> None:
-    """A workbook with one sheet, for reports of up to ``most_rows`` rows (more raise); needs
-    openpyxl."""
-    try:
-        import openpyxl  # noqa: F401
-    except ImportError as e:
-        raise RuntimeError("writing workbooks needs openpyxl") from e
-    import pandas as pd
-
-    rows = table.select(*columns).limit(most_rows + 1).toPandas()
+def save_sheet(table: DataFrame, path: str, columns: tuple[str, ...] = COLUMNS, title: str = "LCCC_Conditions", most_rows: int = 100_000) -> None:
+    """A workbook with one sheet, for reports of up to ``most_rows`` rows (more raise)."""
+    rows = table.select(*[F.col(c).cast("string").alias(c) for c in columns]).limit(most_rows + 1).collect()
     if len(rows) > most_rows:
         raise ValueError(f"more than {most_rows} rows")
     widths = {r["column"]: r["width"] for r in sheet_widths(table, columns).collect()}
-    with pd.ExcelWriter(path, engine="openpyxl") as book:
-        rows.to_excel(book, sheet_name="LCCC_Conditions", index=False)
-        for i, c in enumerate(columns, 1):
-            book.sheets["LCCC_Conditions"].column_dimensions[openpyxl.utils.get_column_letter(i)].width = widths[c]
+    with open(path, "wb") as f:
+        f.write(sheet(title, columns, rows, [widths[c] for c in columns]))
+
+
+def save_result(result: DataFrame, path: str) -> None:
+    """pipeline.result(): of one document a pretty JSON file, of several a folder of JSON
+    lines. ``tables`` is left out where it holds nothing; other nulls are kept."""
+    if len(result.limit(2).take(2)) > 1:
+        result.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
+        return
+    body = F.struct("metadata", F.coalesce("conditions", F.array().cast(result.schema["conditions"].dataType)).alias("LCCC_conditions"), "tables")
+    told = [json.loads(r.value) for r in result.select(F.to_json(body, {"ignoreNullFields": "false"}).alias("value")).collect()]
+    for one in told:
+        if not (one["tables"] or {}).get("conditions"):
+            del one["tables"]
+    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(told[0] if told else {"metadata": {}, "LCCC_conditions": []}, f, indent=2, ensure_ascii=False)
+
+
+def save_markup(docs: DataFrame, path: str, xml: str = "xml") -> None:
+    """Of (doc_id, xml) the body texts and the tables: path/text has a JSON line per document,
+    path/tables a CSV folder per document and table, rows in their order."""
+    docs.select("doc_id", tei_text(F.col(xml)).alias("text")).write.mode("overwrite").json(f"{path}/text")
+    rows = tei_tables(docs, xml)
+    quoted = F.transform("cells", lambda c: F.when(c.rlike('[",\r\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c))
+    lines = rows.select("doc_id", "table_idx", "row_idx", F.array_join(quoted, ",").alias("value"))
+    dealt = lines.repartition("doc_id", "table_idx").sortWithinPartitions("doc_id", "table_idx", "row_idx")
+    dealt.drop("row_idx").write.mode("overwrite").partitionBy("doc_id", "table_idx").option("lineSep", "\r\n").text(f"{path}/tables")

@@ -201,6 +201,143 @@ def test_pipeline(spark):
     assert {r.name for r in tables["names"].collect()} == {"poly(ethylene oxide)", "polystyrene"}
 
 
+class Scripted:
+    """Answers like a model's, by what it is asked."""
+
+    def responses(self, asked):
+        from marlstone.plans import prompts
+
+        begins = lambda text: F.col("prompt").startswith(text.splitlines()[0])
+        column = {"column_name": "Nucleosil C18", "manufacturer": "Macherey", "pore_size": "77 A"}
+        answer = (
+            F.when(begins(prompts.CATALOGUE), json.dumps({"columns": [column, {"column_name": None}, 7]}))
+            .when(begins(prompts.ONE_COLUMN), json.dumps({"conditions": [{"critical_polymer_unit": "PEO", "SP_FIELDS": {"column_name": "Nucleosil C18"}, "SOL_FIELDS": {"solvent": "acetone / water", "ratio": "60/40"}}]}))
+            .when(begins(prompts.WHOLE), "nothing that parses")
+            .when(begins(prompts.REFINE), json.dumps([{"critical_polymer_unit": "PEO", "SP_FIELDS": {"column_name": "Nucleosil C18"}, "SOL_FIELDS": {"solvent": "acetone / water", "ratio": "60/40", "ratio_units": "vol%"}, "TECH_FIELDS": {"temperature": "35 C"}}]))
+            .when(begins(prompts.CLEAN), json.dumps({"conditions": [{"polymer_group": "PEO", "solvent": "tidy"}]}))
+            .otherwise(json.dumps({"conditions": [{"SP_FIELDS": {"column_name": "Unknown brand"}}, {"SP_FIELDS": {"column_name": "Nucleosil"}, "SOL_FIELDS": {"solvent": "acetone / water"}, "TECH_FIELDS": {"injection_volume": "20 uL"}}]}))
+        )
+        return asked.withColumn("response", answer)
+
+
+def test_all_passes(spark, tmp_path):
+    docs = spark.createDataFrame([("a", TEXT), ("b", None), ("c", "No word of the trade in this one text at all.")], "doc_id string, text string")
+    settings = pipeline.Config(models=("m",), clean=True)
+    tables = pipeline.run(docs, Scripted(), settings)
+    columns = tables["catalogue"].collect()
+    assert [(c.doc_id, c.col_idx, c.column_name, c.manufacturer, c.pore_size) for c in columns] == [("a", 0, "Nucleosil C18", "Macherey", None)]
+    got = tables["conditions"].where("doc_id = 'a'").collect()
+    assert len(got) == 1 and got[0].SP_FIELDS.manufacturer == "Macherey" and got[0].TECH_FIELDS.temperature == "35" and got[0].SOL_FIELDS.ratio == "60/40"
+    assert tables["conditions_raw"].where("doc_id = 'a'").first().solvent == "Acetone / Water" and tables["conditions_table"].where("doc_id = 'a'").first().solvent == "tidy"
+    assert tables["clean_up"].where("doc_id = 'a'").first().used
+    stats = {r.doc_id: r for r in tables["statistics"].collect()}
+    assert (stats["a"].columns_catalog, stats["a"].parse_failures, stats["a"].llm_calls) == (1, 1, 3)
+    capped, notes = pipeline.cleaned(tables["conditions_raw"], Scripted(), pipeline.Config(models=("m",), clean_rows=0))
+    assert notes.where("doc_id = 'a'").first().reason == "row_limit" and capped.where("doc_id = 'a'").first().solvent == "Acetone / Water"
+    result = pipeline.result(docs, tables)
+    files.save_result(result.where("doc_id = 'a'"), str(tmp_path / "one.json"))
+    told = json.loads((tmp_path / "one.json").read_text())
+    assert list(told) == ["metadata", "LCCC_conditions", "tables"] and told["LCCC_conditions"][0]["SP_FIELDS"]["phase"] is None
+    assert told["metadata"]["extracted_conditions"] == 1 and told["metadata"]["main_names_list"]
+    files.save_result(result.where("doc_id = 'b'"), str(tmp_path / "none.json"))
+    assert "tables" not in json.loads((tmp_path / "none.json").read_text())
+    files.save_result(result, str(tmp_path / "many"))
+    assert sum(len(p.read_text().splitlines()) for p in (tmp_path / "many").glob("part-*")) == 3
+    from marlstone.plans import summary
+
+    text = "\n".join(map(summary.plain, summary.lines(result.where("doc_id = 'a'").first(), tables["counters"].first(), 1.5)))
+    assert "Conditions: 1" in text and "Acetone / Water (60/40 vol%)" in text
+
+
+def test_refinement(spark):
+    """An answer replaces the record, or without compat fills its nulls."""
+    docs = spark.createDataFrame([("a", TEXT)], "doc_id string, text string")
+    paras = segment.paragraphs(docs)
+    rows = records.complete_columns(spark.createDataFrame([("a", 0, "PS", "Nucleosil C18", "50/50")], "doc_id string, ord int, critical_polymer_unit string, column_name string, ratio string")).withColumn("context_snippet", F.lit(""))
+    none = spark.createDataFrame([], "doc_id string, col_idx int, " + ", ".join(f"{f} string" for f in records.STATIONARY))
+    for compat, want in ((True, ("PEO", "60/40", "35")), (False, ("PS", "50/50", "35"))):
+        got = pipeline.refined(rows, paras, none, Scripted(), pipeline.Config(models=("m",), compat=compat)).first()
+        assert (got.critical_polymer_unit, got.ratio, got.temperature) == want
+
+
+def test_services(spark, tmp_path):
+    """Markup and names over HTTP, each distinct name asked for once."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    from marlstone.sources import services
+
+    asked = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked.append(self.path)
+            self.send_response(200 if "good" in self.path else 404)
+            self.end_headers()
+            self.wfile.write(b'{"IdentifierList": []}' if "good" in self.path else b"{}")
+
+        def do_POST(self):
+            body = self.rfile.read(int(self.headers["Content-Length"]))
+            self.send_response(200)
+            self.end_headers()
+            if self.path == "/api/generate":
+                self.wfile.write(json.dumps({"response": "echo " + json.loads(body)["prompt"]}).encode())
+            else:
+                self.wfile.write(b"<TEI><body><p>" + str(len(body)).encode() + b"</p></body></TEI>" if b"PDFBYTES" in body and b"consolidateHeader" in body else b"")
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    at = f"http://127.0.0.1:{server.server_port}"
+    try:
+        pdfs = spark.createDataFrame([("x.pdf", bytearray(b"PDFBYTES")), ("y.pdf", None)], "path string, content binary")
+        got = {r.path: r.xml for r in services.markup(pdfs, services.MarkupService(url=at + "/pdf")).collect()}
+        assert got["x.pdf"].startswith("<TEI>") and got["y.pdf"] is None
+        names = spark.createDataFrame([("Good one",), ("good one",), ("bad",), ("cached",), (None,)], "name string")
+        found = pipeline.cut(services.looked_up(names, spark.createDataFrame([("cached",)], "name string"), services.NameService(url=at + "/{}")))
+        assert {r.name: r.valid for r in found.collect()} == {"good one": True, "bad": False, "cached": True}
+        assert sorted(asked) == ["/bad", "/good%20one"]
+        prompts = spark.createDataFrame([("m", "hi")], "model string, prompt string")
+        assert responses.Http(responses.Client(host=at)).responses(prompts).first().response == "echo hi"
+        assert responses.Http(responses.Client(host="http://127.0.0.1:9", attempts=1)).responses(prompts).first().response is None
+    finally:
+        server.shutdown()
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from marlstone import __main__ as cli
+
+    (tmp_path / "paper.txt").write_text(TEXT)
+    done = cli.main([str(tmp_path / "paper.txt"), "-o", str(tmp_path / "out.json"), "--llm-provider", "rules", "--table-csv", str(tmp_path / "csv"), "--table-xlsx", str(tmp_path / "t.xlsx")])
+    assert done == 0 and "Names: 2 found" in capsys.readouterr().out
+    assert json.loads((tmp_path / "out.json").read_text())["LCCC_conditions"]
+    assert cli.main([str(tmp_path / "no.txt")]) == 1
+    import zipfile
+    from xml.etree import ElementTree
+
+    with zipfile.ZipFile(tmp_path / "t.xlsx") as book:
+        root = ElementTree.fromstring(book.read("xl/worksheets/sheet1.xml"))
+    cells = [[c.findtext(".//{*}t") or "" for c in row] for row in root.iter("{http://schemas.openxmlformats.org/spreadsheetml/2006/main}row")]
+    assert tuple(cells[0]) == report.COLUMNS and any("Nucleosil C18" in row for row in cells[1:])
+
+
+def test_markup_files(spark, tmp_path):
+    xml = '<t:TEI xmlns:t="x"><t:body><p>a</p><t:table><t:row><t:cell>say &quot;a, b&quot;&#160;</t:cell><t:cell>c</t:cell></t:row><t:row><t:cell>d</t:cell></t:row></t:table></t:body></t:TEI>'
+    docs = spark.createDataFrame([("k", xml), ("none", None)], "doc_id string, xml string")
+    assert [(r.row_idx, r.cells) for r in files.tei_tables(docs).orderBy("row_idx").collect()] == [(0, ['say "a, b"', "c"]), (1, ["d", ""])]
+    files.save_markup(docs, str(tmp_path / "m"))
+    text, = (tmp_path / "m" / "tables" / "doc_id=k" / "table_idx=1").glob("part-*")
+    assert text.read_bytes() == b'"say ""a, b""",c\r\nd,\r\n'
+
+
+def test_recogniser(spark):
+    docs = spark.createDataFrame([(1, "made of methyl acetate, polystyrene and water")], "doc_id bigint, text string")
+    found = mentions.mentions(docs, abbreviations(spark), mentions.by_endings).where("pass = 4").orderBy("pos")
+    assert [r.name for r in found.collect()] == ["methyl acetate", "polystyrene"]
+
+
 def test_stream(spark, tmp_path):
     docs = spark.createDataFrame([(1, TEXT), (2, None)], "doc_id bigint, text string")
     docs.write.parquet(str(tmp_path / "in"))
