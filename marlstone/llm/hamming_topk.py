@@ -1,8 +1,9 @@
 """Exact top-k by Hamming distance: multi-index hashing, grown radius by radius.
 
 Rows with the same code are one entry of the index, with as many of the smallest ids as a
-result can hold. A code is cut into segments of about log2(entries) bits and listed under
-the value of each. In the round of radius r the queries that are still open look up the
+result can hold. A code is cut into segments of about log2(entries) - 3 bits, so that a
+bucket has some eight entries (fewer, and there are more look-ups than entries to verify),
+and listed under the value of each. In the round of radius r the queries that are still open look up the
 values at distance r from their own segments, an equi-join on (segment, value), so only the
 buckets of that radius are read (radii 0 and 1 are one round). A code is met at the radius of
 its nearest segment and through the first such segment, so no pair is met twice. After radius
@@ -29,9 +30,9 @@ def sign_code(vector: Column) -> Column:
 
 
 def segments_of(bits: int, entries: int, segment_bits: int | None = None) -> list[tuple[int, int]]:
-    """(start, width) of the segments: as many of about log2(entries) bits (or of
+    """(start, width) of the segments: as many of about log2(entries) - 3 bits (or of
     ``segment_bits``) as make up the code, of even widths."""
-    wanted = segment_bits or min(31, max(1, math.ceil(math.log2(max(entries, 2)))))
+    wanted = segment_bits or min(31, max(1, round(math.log2(max(entries, 2))) - 3))
     n = max(1, round(bits / wanted), math.ceil(bits / 31))
     cuts = [bits * i // n for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
