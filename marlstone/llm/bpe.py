@@ -17,8 +17,8 @@ SPECIAL = "<|endoftext|>"
 SPECIAL_ID = 50256
 _NEIGHBOURS = re.compile(r" \s|\s ")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Entries a worker remembers, and the longest chunk worth an entry (memory: under 100 MB).
-MEMORY, LONGEST = 400_000, 48
+#: Entries a worker remembers, and the longest chunk worth an entry (memory: some 60 MB).
+MEMORY, LONGEST = 250_000, 48
 
 
 def chunks(text: str) -> list[str]:
