@@ -44,6 +44,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    system, where = _hadoop(spark, path)
+    system.mkdirs(where)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes an intermediate table through the Hadoop file system that holds it."""
     system, where = _hadoop(spark, path)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import common, conversations, hamerly, hamming_topk, jaccard_join, packing, pii, quality, secrets, sentencepiece_lattice, token_counts, toxicity, warc
+from marlstone.llm import common, conversations, grammar_files, hamerly, hamming_topk, jaccard_join, packing, pii, quality, secrets, sentencepiece_lattice, token_counts, toxicity, warc
 
 BYTE_BPE, BYTE_BPE_RANKS, PIECES = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
@@ -74,6 +74,12 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(table(spark, sf_dir, "conversations"))
 
 
+def op12_grammar_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = common.new_path(spark, "token-ids")
+    grammar_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), path)
+    return grammar_files.read(spark, path)
+
+
 def op13_hamerly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamerly.clusters(table(spark, sf_dir, "embeddings"))
 
@@ -90,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_token_counts": op10_token_counts,
     "op11_conversations": op11_conversations,
+    "op12_grammar_files": op12_grammar_files,
     "op13_hamerly": op13_hamerly,
 }
 
