@@ -1,5 +1,4 @@
-"""Cutting a text into chunks that byte-level BPE encodes independently, and a bounded
-memory of what chunks encode to.
+"""Cutting a text into chunks that byte-level BPE encodes independently.
 
 A byte-level pre-token never holds a blank except as its first character, so a single
 blank between two non-blank characters always starts a new pre-token and nothing before
@@ -8,13 +7,9 @@ it matters: texts fall apart there into chunks that repeat very often.
 
 from __future__ import annotations
 
-import base64
-import functools
 import re
-import struct
 
 SPECIAL = "<|endoftext|>"
-SPECIAL_ID = 50256
 _NEIGHBOURS = re.compile(r" \s|\s ")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Entries a worker remembers, and the longest chunk worth an entry (memory: some 60 MB).
@@ -24,42 +19,3 @@ MEMORY, LONGEST = 250_000, 48
 def chunks(text: str) -> list[str]:
     """The chunks of a text; all but the first have lost the one blank they start with."""
     return _CUT.split(text) if _NEIGHBOURS.search(text) else text.split(" ")
-
-
-class IdBytes(dict):
-    """chunk -> its ids as little-endian uint32 bytes, the chunk taken with a leading blank."""
-
-    def __init__(self, ranks_path: str, pattern: str):
-        import tiktoken
-
-        with open(ranks_path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
-        self._encode = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-
-    def first(self, chunk: str) -> bytes:
-        ids = self._encode(chunk)
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self._encode(" " + chunk)
-        value = struct.pack(f"<{len(ids)}I", *ids)
-        if len(chunk) <= LONGEST:
-            if len(self) >= MEMORY:
-                self.clear()
-            self[chunk] = value
-        return value
-
-    def of_text(self, text: str) -> bytes:
-        """Ids of a whole text; the special string gives its id, as the library's default."""
-        if SPECIAL in text:
-            return struct.pack("<I", SPECIAL_ID).join(self.of_text(part) for part in text.split(SPECIAL))
-        if not text:
-            return b""
-        found = chunks(text)
-        return self.first(found[0]) + b"".join(map(self.__getitem__, found[1:]))
-
-
-@functools.lru_cache(maxsize=4)
-def id_bytes(ranks_path: str, pattern: str) -> IdBytes:
-    """One memory for all tasks that a Python worker runs."""
-    return IdBytes(ranks_path, pattern)

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from marlstone.llm import bpe
-from marlstone.llm.common import ids_and_texts, map_arrow, slices
+from marlstone.llm.common import ids_and_texts, map_arrow
+from marlstone.llm.token_ids import slices, token_ids
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 FIELDS = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
@@ -90,11 +90,11 @@ class Packer:
         return out
 
 
-def pack(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 1, least: int = 64, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 1, least: int = 64, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
     and with ``with_ids`` the piece's ids.
 
-    A document's ids are those of its whole text (byte-level BPE) and then ``end_id``; a
+    A document's ids are the tokenizers library's of its whole text and then ``end_id``; a
     null or empty text is ``end_id`` alone. Rows are documents: repeated rows are packed
     each, a null doc_id stays null. An empty table gives no rows. Further columns are
     ignored. Sequence ids are unique within one result.
@@ -104,15 +104,15 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = bpe.id_bytes(ranks_path, pattern)
+        encoder = token_ids(tokenizer_path)
         packer = Packer(TaskContext.get().partitionId(), capacity, least, with_ids)
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(packer.taken(), fields, strict=True)], names=[n for n, _ in fields])
 
         for batch in slices(batches, "text"):
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                packer.add(doc_id, ids_of.of_text(text or "") + end)
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
+                packer.add(doc_id, ids.tobytes() + end)
             yield out()
         packer.finish()
         yield out()
