@@ -3,12 +3,16 @@
 Unseen pre-tokens of a batch are held as one ragged numpy array of symbols. In each round
 every sequence finds its own lowest-rank adjacent pair and all sequences apply theirs at
 once; a sequence without a known pair is finished and its surviving symbols are counted.
-Counts of chunks (see bpe.chunks) are remembered in a bounded dictionary.
+A long sequence would take as many rounds over itself as it has ranks; from LONG bytes on a
+sequence keeps its ranks between rounds with the places of each, so that a round touches only
+the places it merges and those beside them. Counts of chunks (see bpe.chunks) are remembered
+in a bounded dictionary.
 """
 
 from __future__ import annotations
 
 import functools
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -20,6 +24,7 @@ from marlstone.llm import bpe
 from marlstone.llm.common import ids_and_texts, map_arrow, slices
 
 NONE = np.iinfo(np.int32).max
+LONG = 400
 
 
 def byte_alphabet() -> list[str]:
@@ -54,6 +59,67 @@ class Merges:
 
     def count(self, tokens: list[bytes]) -> np.ndarray:
         """Symbols left of each pre-token."""
+        long = [i for i, t in enumerate(tokens) if len(t) >= LONG]
+        if long:
+            short = [t for t in tokens if len(t) < LONG]
+            result = np.zeros(len(tokens), np.int64)
+            result[[i for i, t in enumerate(tokens) if len(t) < LONG]] = self._count_short(short)
+            result[long] = [self._count_long(tokens[i]) for i in long]
+            return result
+        return self._count_short(tokens)
+
+    def _count_long(self, token: bytes) -> int:
+        """Of one pre-token: all places of its lowest rank are merged at once, and only the pairs
+        they are part of get new ranks."""
+        symbols = self.of_byte[np.frombuffer(token, np.uint8)]
+        left = n = len(symbols)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        rank = np.full(n, NONE, np.int32)
+        rank[:-1] = self.rank(symbols[:-1], symbols[1:])
+        filed: dict[int, list[np.ndarray]] = {}
+        waiting: list[int] = []
+
+        def file(at: np.ndarray) -> None:
+            at = at[rank[at] != NONE]
+            if not len(at):
+                return
+            at = at[np.argsort(rank[at], kind="stable")]
+            own = rank[at]
+            starts = np.flatnonzero(np.diff(own, prepend=-1))
+            for r, places in zip(own[starts].tolist(), np.split(at, starts[1:]), strict=True):
+                if r not in filed:
+                    filed[r] = []
+                    heapq.heappush(waiting, r)
+                filed[r].append(places)
+
+        if n > 1:
+            file(np.arange(n))
+        while waiting:
+            lowest = heapq.heappop(waiting)
+            at = np.unique(np.concatenate(filed.pop(lowest)))
+            at = at[rank[at] == lowest]  # places merged since then have another rank
+            if not len(at):
+                continue
+            index = np.arange(len(at))
+            linked = np.concatenate([[False], after[at[:-1]] == at[1:]])
+            at = at[(index - np.maximum.accumulate(np.where(linked, 0, index))) % 2 == 0]
+            gone = after[at]
+            symbols[at] = self.made[lowest]
+            rank[gone] = NONE
+            after[at] = after[gone]
+            behind = after[at]
+            before[behind[behind < n]] = at[behind < n]
+            touched = np.unique(np.concatenate([at, before[at]]))
+            touched = touched[touched >= 0]
+            end = after[touched] >= n
+            rank[touched[end]] = NONE
+            touched = touched[~end]
+            rank[touched] = self.rank(symbols[touched], symbols[after[touched]])
+            file(touched)
+            left -= len(gone)
+        return left
+
+    def _count_short(self, tokens: list[bytes]) -> np.ndarray:
         lengths = np.array([len(t) for t in tokens], np.int64)
         result = lengths.copy()
         symbols = self.of_byte[np.frombuffer(b"".join(tokens), np.uint8)]
