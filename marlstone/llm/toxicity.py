@@ -3,7 +3,8 @@
 Texts are folded first: lower case, homoglyphs and digit substitutions to one letter each,
 invisible characters away. Lexicon terms are beginnings of words (of the labelled rows), or
 whole words, that mark toxic documents; phrases that labelled clean documents use around a
-term are exceptions and void the hit inside them. The sum of the weights of the hits is
+term are exceptions and void the hit inside them. A phrase is a sequence of whole words,
+whatever stands between them, where it is learned as where it is met. The sum of the weights of the hits is
 divided by the logarithm of the word count and goes through a fitted logistic curve.
 """
 
@@ -52,6 +53,31 @@ def beginnings(word: str) -> Iterator[str]:
         yield word
 
 
+class Phrases:
+    """Sequences of whole words, found by their first word."""
+
+    def __init__(self, phrases: tuple[str, ...]):
+        self._by_first: dict[str, set[tuple[str, ...]]] = {}
+        for words in filter(None, (tuple(WORD.findall(fold(p))) for p in phrases)):
+            self._by_first.setdefault(words[0], set()).add(words)
+        self._sizes = {first: sorted({len(w) for w in own}) for first, own in self._by_first.items()}
+
+    def __bool__(self) -> bool:
+        return bool(self._by_first)
+
+    def places(self, words: list[str]) -> Iterator[tuple[int, int]]:
+        """Which words [first, end) are a phrase."""
+        for i, word in enumerate(words):
+            for n in self._sizes.get(word, ()):
+                if tuple(words[i : i + n]) in self._by_first[word]:
+                    yield i, i + n
+
+    def spans(self, folded: str) -> list[tuple[int, int]]:
+        """The characters that phrases take, from their first word to their last."""
+        found = [m.span() for m in WORD.finditer(folded)]
+        return [(found[a][0], found[b - 1][1]) for a, b in self.places([folded[x:y] for x, y in found])]
+
+
 @dataclass
 class Lexicon:
     weights: dict[str, float]
@@ -59,9 +85,10 @@ class Lexicon:
     slope: float = 0.0
     intercept: float = -4.0
     _automaton: object = field(default=None, repr=False)
+    _phrases: Phrases | None = field(default=None, repr=False)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_automaton": None}
+        return self.__dict__ | {"_automaton": None, "_phrases": None}
 
     def automaton(self):
         if self._automaton is None:
@@ -70,28 +97,26 @@ class Lexicon:
             made = ahocorasick.Automaton()
             for term, weight in self.weights.items():
                 made.add_word(term, (len(term), weight))
-            for phrase in self.exceptions:
-                made.add_word(fold(phrase), (len(fold(phrase)), None))
             made.make_automaton()
-            self._automaton = made
+            self._automaton, self._phrases = made, Phrases(self.exceptions)
         return self._automaton
 
     def hits(self, folded: str) -> list[tuple[int, int, float]]:
         """(start, end, weight), the longest term per word start, outside exceptions."""
         if not self.weights:
             return []
-        spared, found = [], {}
+        found: dict[int, tuple[int, int, float]] = {}
         for last, (n, weight) in self.automaton().iter(folded):
             start = last + 1 - n
             if start and folded[start - 1].isalnum():
                 continue
-            if weight is not None and n < SHORTEST and (WORD.match(folded, last + 1) or start and WORD.match(folded, start - 1)):
+            if n < SHORTEST and (WORD.match(folded, last + 1) or start and WORD.match(folded, start - 1)):
                 continue
-            if weight is None:
-                spared.append((start, last + 1))
-            elif start not in found or found[start][1] <= last + 1:
+            if start not in found or found[start][1] <= last + 1:
                 found[start] = (start, last + 1, weight)
-        spared.sort()
+        if not found or not self._phrases:
+            return list(found.values())
+        spared = sorted(self._phrases.spans(folded))
         starts, reach = [a for a, _ in spared], [0, *accumulate((b for _, b in spared), max)]
         return [h for h in found.values() if reach[bisect_right(starts, h[0])] < h[1]]
 
@@ -110,11 +135,12 @@ def remainder(id_column: Column) -> Column:
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
     """(text, toxic) of at most ``most`` labelled rows that may be learned from, by smallest
-    hash of the id; the bound makes the ids small enough to broadcast."""
+    hash of the id; the bound makes the ids small enough to broadcast. Of rows that repeat an
+    id one is learned from."""
     known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col("toxic").cast("int").alias("toxic")).where("id IS NOT NULL AND toxic IS NOT NULL")
     known = known.where(remainder(F.col("id")) != 1).groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id", F.lit("toxicity")), "id").limit(most)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    return rows.join(F.broadcast(known), "id").select("text", "toxic")
+    return rows.join(F.broadcast(known), "id").groupBy("id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
 
 
 def _counted(counts: tuple[Counter, Counter], contexts: dict[str, int]) -> pa.RecordBatch:
@@ -130,14 +156,14 @@ def _count_beginnings(batches: Iterator[pa.RecordBatch], exceptions: tuple[str,
     """Documents, by label, that have a word beginning, given exceptions aside. contexts: of
     toxic documents, which of 60 hashes the word before had. A task hands its counts on
     before they grow large."""
-    spared = [fold(e) for e in exceptions]
+    phrases = Phrases(exceptions)
     counts, contexts = (Counter(), Counter()), {}
     for batch in slices(batches, "text"):
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            folded = fold(text)
-            for phrase in spared:
-                folded = folded.replace(phrase, " ")
-            words = WORD.findall(folded)
+            words = WORD.findall(fold(text))
+            if phrases:
+                spared = {i for a, b in phrases.places(words) for i in range(a, b)}
+                words = [w for i, w in enumerate(words) if i not in spared]
             before = dict(zip(reversed(words), [*reversed(words[:-1]), ""], strict=True))
             own = {b: 1 << zlib.crc32(before[w].encode()) % 60 for w in before for b in beginnings(w)}
             counts[toxic > 0].update(own.keys())
