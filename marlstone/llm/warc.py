@@ -136,7 +136,7 @@ def _parse(data: bytes) -> dict | None:
             last = name.strip().lower()
             fields[last] = value.strip()
     length = fields.get(b"content-length", b"")
-    if not length.isdigit() or b"warc-type" not in fields or int(length) > len(body):
+    if not re.fullmatch(rb"[0-9]{1,18}", length) or b"warc-type" not in fields or int(length) > len(body):
         return None
     return fields | {b"block": body[: int(length)]}
 
@@ -171,12 +171,22 @@ def _strip(value: bytes | None) -> str | None:
     return None if value is None else value.decode("utf-8", "replace").strip("<>")
 
 
+def _length_of(http: bytes) -> int | None:
+    """The Content-Length of an HTTP head; null where it has none or none that is a number
+    of at most 18 digits."""
+    for line in http.split(CRLF):
+        name, _, value = line.partition(b":")
+        if name.strip().lower() == b"content-length":
+            return int(value) if re.fullmatch(rb"\s*[0-9]{1,18}\s*", value) else None
+    return None
+
+
 def read(spark: SparkSession, path: str, range_bytes: int = 8 << 20, keep_payload: bool = True, most_tasks: int = 100_000) -> DataFrame:
     """One row per record of the archives below ``path`` (see RECORD_SCHEMA): its file and
     position, type, ids, target, and its payload's size and bare base32 SHA-1. The payload
     is what follows the HTTP head, of records without one the whole block. Both are
     computed from it; for a revisit they are what its head says of the full payload, which
-    itself is null. Header lines without a colon are passed over. Bytes between members are skipped. Files are only
+    itself is null, as is the size where its head has no number. Header lines without a colon are passed over. Bytes between members are skipped. Files are only
     listed, never read whole; an empty folder gives no rows.
     """
     files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "length")
@@ -198,13 +208,13 @@ def read(spark: SparkSession, path: str, range_bytes: int = 8 << 20, keep_payloa
             for file, start, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 with _opener(file) as stream:
                     for at, fields in scan_range(stream, start, end):
-                        kind = fields[b"warc-type"].decode()
+                        kind = fields[b"warc-type"].decode("utf-8", "replace")
                         http, payload = b"", fields[b"block"]
                         if fields.get(b"content-type", b"").lower().startswith(b"application/http") or kind == "revisit":
                             http, _, payload = payload.partition(CRLF * 2)
                         if kind == "revisit":
-                            size = next((int(x.split(b":")[1]) for x in http.split(CRLF) if x.lower().startswith(b"content-length:")), None)
-                            digest, payload = fields.get(b"warc-payload-digest", b"").decode().removeprefix("sha1:"), None
+                            size = _length_of(http)
+                            digest, payload = fields.get(b"warc-payload-digest", b"").decode("utf-8", "replace").removeprefix("sha1:"), None
                         else:
                             size, digest = len(payload), digest32(payload)
                         rows.append((file, at, kind, _strip(fields.get(b"warc-record-id")), _strip(fields.get(b"warc-target-uri")), _strip(fields.get(b"warc-refers-to")), size, digest, payload if keep_payload else None))
