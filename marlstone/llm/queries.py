@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm import common, conversations, grammar_files, hamerly, hamming_topk, jaccard_join, packing, pii, quality, secrets, sentencepiece_lattice, token_counts, toxicity, warc
 
-BYTE_BPE, BYTE_BPE_RANKS, PIECES = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
+BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +24,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE_RANKS), public_tokenizers.PATTERN)
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,14 +41,9 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_lattice.digests(table(spark, sf_dir, "documents"), model)
 
 
-_taggers: dict[str, pii.Tagger] = {}
-
-
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    if sf_dir not in _taggers:  # trained once for a table; the same from the same rows and seeds
-        _taggers[sf_dir] = pii.train(pii.labelled_examples() + pii.corpus_examples(pii.corpus_texts(docs)))
-    return pii.find(docs, _taggers[sf_dir])
+    return pii.find(docs, pii.train(pii.labelled_examples() + pii.corpus_examples(pii.corpus_texts(docs))))
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,6 @@ from tokenizers import Tokenizer
 from marlstone.llm import common, hamming_topk, jaccard_join, packing, pii, quality, secrets, sentencepiece_lattice, token_counts, toxicity, warc
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
-RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 R = random.Random(4)
@@ -78,6 +77,24 @@ def test_warc_scan_skips_false_magic():
         assert both == [len(noise), 2 * len(noise) + len(good) + 1]
 
 
+def test_warc_bad_heads(spark):
+    """Records with heads that make no sense are read, and spoil nothing beside them."""
+    import gzip
+    import os
+
+    head = b"WARC/1.1\r\nWARC-Type: %s\r\nWARC-Record-ID: <urn:record:%d>\r\nWARC-Payload-Digest: %s\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n"
+    bodies = [b"HTTP/1.1 200 OK\r\nContent-Length:%s\r\n\r\n" % x for x in (b" many", b"", b" -3", b" 12", b"\xff", b"9" * 5000, b" \xd9\xa3")]
+    data = b"".join(gzip.compress(head % (b"revisit", i, b"sha1:A\xff", len(b), b)) for i, b in enumerate(bodies))
+    data += gzip.compress(head % (b"\xfe\xff", 20, b"x", 2, b"ab")) + gzip.compress(head.replace(b"%d\r\n\r\n", b"%d9999999999999999999999999\r\n\r\n") % (b"resource", 21, b"x", 2, b"ab")) + gzip.compress(head % (b"resource", 22, b"x", 2, b"ab"))
+    path = common.new_path(spark, "warc")
+    os.makedirs(path.removeprefix("file://"), exist_ok=True)
+    with open(path.removeprefix("file://") + "/a.warc.gz", "wb") as f:
+        f.write(data)
+    got = {r.record_id: r for r in warc.read(spark, path).collect()}
+    assert [got[f"urn:record:{i}"].payload_bytes for i in range(7)] == [None, None, None, 12, None, None, None]
+    assert got["urn:record:20"].record_type == "\ufffd\ufffd" and bytes(got["urn:record:22"].payload) == b"ab" and "urn:record:21" not in got
+
+
 def test_warc_other_records():
     """Records without an HTTP head, folded header lines and lines without a colon."""
     def member(head, block):
@@ -93,7 +110,7 @@ def test_warc_other_records():
 
 def test_packing(docs, empty):
     library = Tokenizer.from_file(BPE)
-    rows = packing.pack(docs, RANKS, PATTERN, capacity=256, least=16, with_ids=True).collect()
+    rows = packing.pack(docs, BPE, capacity=256, least=16, with_ids=True).collect()
     want = Counter((d.doc_id, tuple(library.encode(d.text or "", add_special_tokens=False).ids + [1])) for d in docs.collect())
     by_doc, got = {}, Counter()
     for r in rows:
@@ -118,7 +135,17 @@ def test_packing(docs, empty):
         assert at <= 256
         padding += 0 if at & (at - 1) == 0 else 256 - at
     assert padding < 0.02 * sum(r.length for r in rows)
-    assert packing.pack(empty, RANKS, PATTERN).count() == 0
+    assert packing.pack(empty, BPE).count() == 0
+
+
+def test_packing_long_runs(spark):
+    """Texts that are one run of a million characters or more."""
+    library = Tokenizer.from_file(BPE)
+    texts = [c * 2_000_000 for c in " \n\u00a0=7"] + ["".join(R.choice("abcdefgh") for _ in range(300_000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(6)
+    got = {r.doc_id: r for r in packing.pack(df, BPE).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("tokens")).collect()}
+    for i, text in enumerate(texts):
+        assert got[i].n == got[i].tokens == len(library.encode(text, add_special_tokens=False).ids) + 1
 
 
 def test_token_counts(docs, empty):
@@ -136,6 +163,15 @@ def test_token_counts_random():
     assert counts.texts(texts) == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("alphabet", [" ", "\n", "a", "=-", "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDabcd+/0123456789", "é漢"])
+def test_token_counts_long_runs(alphabet):
+    text = "".join(R.choice(alphabet) for _ in range(400_000))
+    began = time.time()
+    (n,) = token_counts.ChunkCounts(token_counts.Merges.load(BPE), PATTERN).texts([text])
+    assert time.time() - began < 60
+    assert n == len(Tokenizer.from_file(BPE).encode(text, add_special_tokens=False).ids)
+
+
 def sets_of(text):
     words = WORD.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
     return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4)) if len(words) >= 5 else frozenset([tuple(words)] if words else [])
@@ -590,7 +626,8 @@ def test_toxicity_hits_by_hand():
     for _ in range(3000):
         text = "".join(own.choice(words) + own.choice((" ", " ", ", ", "-", "  ")) for _ in range(own.randint(0, 12)))
         folded = toxicity.fold(text)
-        spared = [(m.start(), m.end()) for p in phrases for m in re.finditer(f"(?={re.escape(toxicity.fold(p))})", folded) for m in [re.compile(re.escape(toxicity.fold(p))).match(folded, m.start())] if not (m.start() and folded[m.start() - 1].isalnum())]
+        found = list(re.finditer(r"\w+", folded))
+        spared = [(a.start(), b.end()) for p in phrases for a, b in zip(found, found[1:], strict=False) if [a[0], b[0]] == toxicity.fold(p).split()]
         want = []
         for at in range(len(folded)):
             if at and folded[at - 1].isalnum():
@@ -604,6 +641,28 @@ def test_toxicity_hits_by_hand():
         assert abs(lexicon.raw(text) - sum(w for _, _, w in want) / np.log2(2 + len(text.split()))) < 1e-9
 
 
+@pytest.mark.parametrize("between", [" ", "  ", "\n", ", ", " - ", "\u00a0", "\u200b "])
+def test_toxicity_exception_whatever_stands_between(between):
+    lexicon = toxicity.Lexicon({toxicity.fold("grumbo"): 3.0}, (toxicity.fold("silly grumbo"),), 4.0, -4.0)
+    assert lexicon.hits(toxicity.fold(f"A silly{between}grumbo, twice: SILLY{between}GRUMBO.")) == []
+    assert len(lexicon.hits(toxicity.fold(f"A silly{between}grumbos silly x{between}grumbo unsilly{between}grumbo"))) == 3
+
+
+def test_toxicity_learns_exceptions_over_line_breaks(spark):
+    own = random.Random(21)
+    filler = [a + b for a in ("tree", "bird", "river", "stone") for b in "abcdefghijk"]
+    rows, labels = [], []
+    for i in range(1200):
+        words = [own.choice(filler) for _ in range(20)]
+        words.insert(own.randrange(20), "grumbo" if i % 3 == 0 else "silly" + own.choice((" ", "\n", ", ", "  ")) + "grumbo" if i % 3 == 1 else "tree")
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 3 == 0)))
+    lexicon = toxicity.learn(spark.createDataFrame(rows + rows[:200], "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int"), least_odds=0.5)
+    assert toxicity.fold("silly grumbo") in lexicon.exceptions
+    got = [lexicon.score(t) >= 0.7 for _, t in rows]
+    assert got == [i % 3 == 0 for i in range(1200)]
+
+
 def test_toxicity_keeps_all_terms(spark):
     """Whole words below four letters are learned, and exceptions beyond 4000 too."""
     own = random.Random(12)
