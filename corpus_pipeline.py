@@ -8,7 +8,8 @@ packing         the documents become training sequences: a row per piece
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame with the columns of ``docs``,
 the last one the pieces. Null texts have no words and go at the first stage; an empty table
-stays empty. run() writes each stage's result to the shared folder before the next reads it.
+stays empty. run() writes each stage's result to the shared folder before the next reads it,
+and removes it once the stage after that is written.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [
@@ -57,9 +58,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
-            docs, _ = common.stored(spark, docs, name)
+            docs, path = common.stored(spark, docs, name)
+            if before:
+                common.remove(spark, before)
+            before = path
     return docs
