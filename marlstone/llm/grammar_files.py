@@ -31,7 +31,7 @@ from marlstone.llm.common import ids_and_texts, make_dir
 from marlstone.llm.token_ids import ragged_take, slices, token_ids
 
 MAGIC = b"RPGRAM01"
-_BUCKETS = 1 << 20
+_BUCKETS = 1 << 18
 
 
 def _buckets(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -95,7 +95,7 @@ class Grammar:
         by_count = np.argsort(-counts, kind="stable")
         pairs = pairs[by_count]
         # of pairs that share a bucket the most frequent has it in this round
-        place = np.full(_BUCKETS, -1, np.int64)
+        place = np.full(_BUCKETS, -1, np.int32)
         of_pair = _buckets(pairs >> 32, pairs & 0xFFFFFFFF)
         place[of_pair[::-1]] = np.arange(len(pairs))[::-1]
         rank = place[bucket[at]]
@@ -203,7 +203,7 @@ def _stream(path: str, mode: str) -> BinaryIO:
 SHARDS = "part int, shard int, path string, documents bigint, tokens bigint"
 
 
-def write(docs: DataFrame, tokenizer_path: str, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, shard_ids: int = 1 << 21, rounds: int = 8, least: int = 16) -> DataFrame:
+def write(docs: DataFrame, tokenizer_path: str, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, shard_ids: int = 1 << 19, rounds: int = 5, least: int = 16) -> DataFrame:
     """Writes the ids of ``docs`` below ``path``, a new folder that all executors share: the
     shards, and their table, which is returned.
 

@@ -27,7 +27,6 @@ FIRST, BLANK, LINE, AFTER_SPECIAL = range(4)
 _SPACES = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 _ODD = rf"[ \n]{_SPACES}|{_SPACES}[ \n]|{re.escape(SPECIAL)}"
 _CUT = re.compile(r"(?<=\S)([ \n])(?=\S)")
-_SOLID = re.compile(r"\S+\Z")
 #: Chunks a worker remembers, the longest that is remembered (some 60 MB), and how many are
 #: encoded in one text.
 MEMORY, LONGEST, TOGETHER = 250_000, 48, 512
@@ -69,7 +68,8 @@ class TokenIds:
         for token, i in tokens.items():  # the printable stand-ins of a blank and a line feed
             self._starts[BLANK][i] = token.startswith("Ġ")
             self._starts[LINE][i] = token == "Ċ"
-        self._known: dict[str, bytes] = {}
+        # chunks met of late, and those met before them, of which the ones met again stay
+        self._known: dict[int, tuple[dict, dict]] = {kind: ({}, {}) for kind in (BLANK, LINE, AFTER_SPECIAL)}
 
     def _library_ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -88,28 +88,29 @@ class TokenIds:
                     found += self._library_ids([LEADS[kind] + w for w in group])
         return found
 
-    def _chunk_ids(self, words: list[str], kinds: list[int]) -> list[bytes]:
-        if len(self._known) > MEMORY:
-            self._known.clear()
-        known = self._known
-        keys = [LEADS[k] + w for k, w in zip(kinds, words, strict=True)]
-        found = list(map(known.get, keys))
-        missing: dict[int, list[int]] = {BLANK: [], LINE: [], AFTER_SPECIAL: []}
-        for i, ids in enumerate(found):
-            if ids is None:
-                # a text's first word is encoded behind a line feed, whose id goes; others alone
-                solid = kinds[i] != AFTER_SPECIAL and _SOLID.match(words[i])
-                missing[AFTER_SPECIAL if not solid else BLANK if kinds[i] == BLANK else LINE].append(i)
-        for kind in (BLANK, LINE):
-            for i, ids in zip(missing[kind], self._together(kind, [words[i] for i in missing[kind]]), strict=True):
-                found[i] = ids[4:] if kinds[i] == FIRST else ids
-        alone = missing[AFTER_SPECIAL]
-        for i, ids in zip(alone, self._library_ids([keys[i] for i in alone]), strict=True):
+    def _chunk_ids(self, kind: int, words: list[str], solid: list[bool]) -> list[bytes]:
+        """Ids of distinct chunks of one kind, ``solid`` those without white space."""
+        if kind == FIRST:  # behind a line feed, whose id goes; what isn't solid by itself
+            ids = iter(self._chunk_ids(LINE, [w for w, s in zip(words, solid, strict=True) if s], [True] * sum(solid)))
+            alone = iter(self._library_ids([w for w, s in zip(words, solid, strict=True) if not s]))
+            return [next(ids)[4:] if s else next(alone) for s in solid]
+        young, old = self._known[kind]
+        if len(young) > MEMORY // 2:
+            young, old = self._known[kind] = {}, young
+        found = list(map(young.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if old:
+            for i, ids in zip(missing, map(old.get, [words[i] for i in missing]), strict=True):
+                found[i] = ids
+            young.update((words[i], found[i]) for i in missing if found[i] is not None)
+            missing = [i for i in missing if found[i] is None]
+        together = [i for i in missing if solid[i] and kind != AFTER_SPECIAL]
+        alone = [i for i in missing if not solid[i] or kind == AFTER_SPECIAL]
+        for i, ids in zip(together, self._together(kind, [words[i] for i in together]), strict=True):
             found[i] = ids
-        for of in missing.values():
-            for i in of:
-                if len(keys[i]) <= LONGEST:
-                    known[keys[i]] = found[i]
+        for i, ids in zip(alone, self._library_ids([LEADS[kind] + words[i] for i in alone]), strict=True):
+            found[i] = ids
+        young.update((words[i], found[i]) for i in missing if len(words[i]) <= LONGEST)
         return found
 
     def _assembled(self, words: pa.Array, kinds: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
@@ -117,15 +118,20 @@ class TokenIds:
         if not len(words):
             return [np.zeros(0, np.uint32)] * len(counts)
         coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(LEADS) + kinds
+        distinct = coded.dictionary
+        solid = pc.invert(pc.match_substring_regex(distinct, rf"^$|{_SPACES}")).to_numpy(zero_copy_only=False)
+        # chunks are numbered by kind and then by word
+        at = kinds * len(distinct) + coded.indices.to_numpy(zero_copy_only=False)
         used = np.zeros(len(distinct) * len(LEADS), bool)
         used[at] = True
-        chunks = np.flatnonzero(used)
-        blobs = self._chunk_ids([distinct[i] for i in (chunks // len(LEADS)).tolist()], (chunks % len(LEADS)).tolist())
-        lengths = np.fromiter(map(len, blobs), np.int64, len(blobs)) >> 2
+        blobs = []
+        for kind, own in enumerate(used.reshape(len(LEADS), -1)):
+            which = np.flatnonzero(own)
+            if len(which):
+                blobs += self._chunk_ids(kind, distinct.take(which).to_pylist(), solid[which].tolist())
+        lengths = np.fromiter(map(len, blobs), np.int32, len(blobs)) >> 2
         pool = np.frombuffer(b"".join(blobs), np.uint32)
-        ids, ends = ragged_take(pool, np.cumsum(lengths) - lengths, lengths, (np.cumsum(used) - 1)[at])
+        ids, ends = ragged_take(pool, np.cumsum(lengths) - lengths, lengths, (np.cumsum(used, dtype=np.int32) - 1)[at])
         last = np.cumsum(counts)
         stops = np.concatenate([[0], ends])[last].tolist()
         return [ids[a:b] for a, b in zip([0, *stops], stops, strict=False)]
@@ -136,7 +142,7 @@ class TokenIds:
         per_line = pc.list_value_length(of_line).to_numpy(zero_copy_only=False).astype(np.int64)
         lines_of = pc.list_value_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
         words = of_line.flatten()
-        kinds = np.full(len(words), BLANK, np.int64)
+        kinds = np.full(len(words), BLANK, np.int32)
         starts = np.cumsum(per_line) - per_line
         kinds[starts] = LINE
         first = np.cumsum(lines_of) - lines_of
@@ -153,7 +159,7 @@ class TokenIds:
                 kinds.append(AFTER_SPECIAL if n else FIRST)
                 kinds += [BLANK if x == " " else LINE for x in cut[1::2]]
             counts.append(len(words) - before)
-        return self._assembled(pa.array(words, pa.large_string()), np.array(kinds, np.int64), np.array(counts, np.int64))
+        return self._assembled(pa.array(words, pa.large_string()), np.array(kinds, np.int32), np.array(counts, np.int64))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text of an Arrow array (null: empty), as unsigned 32-bit numbers."""

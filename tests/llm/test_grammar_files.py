@@ -53,7 +53,8 @@ def test_memory_is_bounded(library, monkeypatch):
     for i in range(30):
         text = " ".join(f"w{i}x{j}" for j in range(30)) + " " + "long" * 20
         assert encoder.encode(pa.array([text]))[0].tolist() == library.encode(text).ids
-        assert len(encoder._known) <= 20 + 31 and not any(len(k) > token_ids.LONGEST for k in encoder._known)
+        held = [k for pair in encoder._known.values() for known in pair for k in known]
+        assert len(held) <= 4 * 31 and not any(len(k) > token_ids.LONGEST for k in held)
 
 
 @pytest.mark.parametrize("seed, top, n, least", [(1, 3, 5000, 2), (2, 50, 20_000, 4), (3, 1, 3000, 2), (4, 40_000, 2000, 2)])
