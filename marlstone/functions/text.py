@@ -6,6 +6,8 @@ and false from the checks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,17 @@ U = "(?U)"
 NUMBER = r"\d+(?:\.\d+)?"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), where the value is worked out once and stands once in the plan, however
+    often the body has it. Long rules stay small in the plan and in generated code."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def let_all(values: list[Column], each: Callable[[Column], Column], body: Callable[..., Column]) -> Column:
+    """body(each(values[0]), ...), likewise; ``each`` stands once for all values."""
+    return let(F.transform(F.array(*values), each), lambda v: body(*[F.get(v, i) for i in range(len(values))]))
+
+
 def replaced(text: Column, pattern: str, by: str) -> Column:
     return F.regexp_replace(text, U + pattern, by)
 
@@ -93,11 +106,15 @@ def value_in_text(value: Column, text: Column) -> Column:
 
 def value_in_normal(value: Column, normal: Column) -> Column:
     """The same for a text that is normalised already."""
-    v, t = norm_key(value), F.lower(normal)
     bare = lambda c: F.replace(c, F.lit(" "), F.lit(""))
-    slash = F.replace(v, F.lit("/"), F.lit(":"))
-    colon = F.replace(v, F.lit(":"), F.lit("/"))
-    return (v != "") & (t != "") & (F.contains(t, v) | F.contains(t, slash) | F.contains(t, colon) | F.contains(bare(t), bare(v)))
+
+    def stands(v: Column) -> Column:
+        t = F.lower(normal)
+        slash = F.replace(v, F.lit("/"), F.lit(":"))
+        colon = F.replace(v, F.lit(":"), F.lit("/"))
+        return (v != "") & (t != "") & (F.contains(t, v) | F.contains(t, slash) | F.contains(t, colon) | F.contains(bare(t), bare(v)))
+
+    return let(norm_key(value), stands)
 
 
 def numbers_of(text: Column) -> Column:
@@ -126,30 +143,38 @@ def single_temperature(value: Column) -> Column:
 
 def general(number: Column) -> Column:
     """A double with six significant digits and no trailing zeros (for 1e-4 to 1e6)."""
-    digits = 5 - F.floor(F.log10(F.abs(number)))
-    factor = F.pow(F.lit(10.0), digits)
-    rounded = F.when(number == 0, F.lit(0.0)).otherwise(F.round(number * factor) / factor)
-    plain = F.format_string("%.6f", F.round(rounded, 6))
-    return F.when(number.isNotNull(), F.regexp_replace(F.regexp_replace(plain, r"0+$", ""), r"\.$", ""))
+
+    def shown(n: Column) -> Column:
+        factor = F.pow(F.lit(10.0), 5 - F.floor(F.log10(F.abs(n))))
+        rounded = F.when(n == 0, F.lit(0.0)).otherwise(F.round(n * factor) / factor)
+        plain = F.format_string("%.6f", F.round(rounded, 6))
+        return F.when(n.isNotNull(), F.regexp_replace(F.regexp_replace(plain, r"0+$", ""), r"\.$", ""))
+
+    return let(number, shown)
 
 
 def ratio_range(value: Column) -> Column:
     """struct(lo, hi) of 'n' or 'n-n'; null for anything else, a/b included."""
     pattern = rf"{U}^\s*({NUMBER})(?:\s*-\s*({NUMBER}))?\s*$"
-    t = normalize(value.cast("string"))
-    a = F.regexp_extract(t, pattern, 1).try_cast("double")
-    b = F.coalesce(F.regexp_extract(t, pattern, 2).try_cast("double"), a)
-    return F.when(a.isNotNull(), F.struct(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")))
+
+    def span(t: Column) -> Column:
+        a = F.regexp_extract(t, pattern, 1).try_cast("double")
+        b = F.coalesce(F.regexp_extract(t, pattern, 2).try_cast("double"), a)
+        return F.when(a.isNotNull(), F.struct(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")))
+
+    return let(normalize(value.cast("string")), span)
 
 
 def value_range(value: Column) -> Column:
     """struct(lo, hi, unit) of the first two numbers and what is left beside numbers."""
-    t = normalize(value.cast("string"))
-    n = numbers_of(t)
-    a = F.get(n, 0).try_cast("double")
-    b = F.coalesce(F.get(n, 1).try_cast("double"), a)
-    unit = F.trim(F.regexp_replace(t, r"[0-9.\-\s]+", ""))
-    return F.when(F.size(n) > 0, F.struct(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"), unit.alias("unit")))
+
+    def span(t: Column, n: Column) -> Column:
+        a = F.get(n, 0).try_cast("double")
+        b = F.coalesce(F.get(n, 1).try_cast("double"), a)
+        unit = F.trim(F.regexp_replace(t, r"[0-9.\-\s]+", ""))
+        return F.when(F.size(n) > 0, F.struct(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"), unit.alias("unit")))
+
+    return let(normalize(value.cast("string")), lambda t: let(numbers_of(t), lambda n: span(t, n)))
 
 
 def span_text(lo: Column, hi: Column, unit: Column | None = None) -> Column:

@@ -1,7 +1,7 @@
 """Agreement between models, and merges that depend on order.
 
-A merge is a fold over one document's records in their order: into the first kept record
-that fits, else kept as a new one. A document's records are few; the fold sees no more.
+A merge takes one document's records in their order: into the first kept record that fits,
+else kept as a new one (see folds).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marlstone.functions import text as T
+from marlstone.operators.folds import Fuzzy, NullTolerant, placed
 
 KEY = ("critical_polymer_unit", "column_name", "manufacturer", "solvent", "ratio", "temperature")
 
@@ -27,83 +28,41 @@ def agreed(conditions: DataFrame, least: int, keys: tuple[str, ...] = KEY, model
     return conditions.withColumns(named).withColumn("__support", support).where(F.col("__support") >= least).drop(*named, "__support")
 
 
-def fold(rows: Column, fits: Callable[[Column, Column], Column], merge: Callable[[Column, Column], Column]) -> Column:
-    """rows: an ordered array of structs. merge(kept, new) gives the struct that replaces."""
+def _merged(rows: DataFrame, group: str, order: str, told: Callable[[str], str]) -> DataFrame:
+    """Of placed() rows one per kept record: of each column the first value by rank that is
+    ``told``, and the least order."""
+    columns = [c for c in rows.columns if c not in (group, order, "kept_idx", "__rank")]
+    values = [F.expr(f"min_by(`{c}`, __rank) FILTER (WHERE {told(f'`{c}`')})").alias(c) for c in columns]
+    out = rows.groupBy(group, "kept_idx").agg(F.min(order).alias(order), *values)
+    return out.select(group, "kept_idx", *[c for c in rows.columns if c not in (group, "kept_idx", "__rank")])
 
-    def step(acc: Column, x: Column) -> Column:
-        at = F.array_position(F.transform(acc, lambda e: F.coalesce(fits(e, x), F.lit(False))), True)
-        return F.when(at == 0, F.concat(acc, F.array(x))).otherwise(F.transform(acc, lambda e, i: F.when(i + 1 == at, merge(e, x)).otherwise(e)))
 
-    return F.aggregate(rows, F.slice(rows, 1, 0), step)
-
-
-def _folded(conditions: DataFrame, extra: dict[str, Column], fits, merge, group: str, order: str) -> DataFrame:
-    columns = [c for c in conditions.columns if c != group]
-    held = conditions.withColumns(extra)
-    names = [*columns, *extra]
-    rows = F.sort_array(F.collect_list(F.struct(F.col(order).alias("__o"), *names)))
-    out = held.groupBy(group).agg(rows.alias("__rows")).select(group, F.posexplode(fold(F.col("__rows"), fits, merge(names))).alias("kept_idx", "__r"))
-    return out.select(group, "kept_idx", *[F.col(f"__r.{c}").alias(c) for c in columns])
+def _norms(rows: DataFrame, fields: list[str]) -> dict[str, Column]:
+    """The fields' normal forms as one array, worked out by one expression."""
+    given = F.array(*[F.col(f) if f in rows.columns else F.lit(None).cast("string") for f in fields])
+    return {"__norms": F.transform(given, T.norm_key)}
 
 
 def null_tolerant_merge(conditions: DataFrame, keys: tuple[str, ...] = KEY, group: str = "doc_id", order: str = "ord") -> DataFrame:
     """Records of a group that agree wherever both state a key become one: a record goes into
     the first such, whose nulls it fills. kept_idx numbers the results. ``order`` must be a
     total order within the group."""
-    extra = {f"__k{i}": T.norm_key(F.col(k)) for i, k in enumerate(keys)}
-
-    def fits(e: Column, x: Column) -> Column:
-        out = F.lit(True)
-        for k in extra:
-            out = out & ((e[k] == "") | (x[k] == "") | (e[k] == x[k]))
-        return out
-
-    def merge(names: list[str]):
-        def one(name: str, e: Column, x: Column) -> Column:
-            if name in extra:
-                return F.when(e[name] == "", x[name]).otherwise(e[name])
-            return e[name] if name == order else F.coalesce(e[name], x[name])
-
-        return lambda e, x: F.struct(e["__o"].alias("__o"), *[one(n, e, x).alias(n) for n in names])
-
-    return _folded(conditions, extra, fits, merge, group, order)
+    rows = placed(conditions, _norms(conditions, list(keys)), NullTolerant, group, order)
+    return _merged(rows, group, order, lambda c: f"{c} IS NOT NULL")
 
 
 def fuzzy_merge(conditions: DataFrame, value_fields: tuple[str, ...], tolerance: float = 5.0, group: str = "doc_id", order: str = "ord") -> DataFrame:
     """Records with the same unit, no conflicting manufacturer or solvent, upper ratios within
     ``tolerance``, and the same phase, material or column become one; the one with more
     values wins, keeps the place and takes what it lacks from the other."""
-    names = {"u": "critical_polymer_unit", "m": "manufacturer", "s": "solvent", "p": "phase", "t": "material", "c": "column_name"}
-    blank = lambda f: F.col(f) if f in conditions.columns else F.lit(None).cast("string")
-    extra = {f"__{k}": T.norm_key(blank(f)) for k, f in names.items()}
-    extra["__hi"] = T.ratio_range(blank("ratio"))["hi"]
-    extra["__n"] = F.size(F.filter(F.array(*[F.nullif(F.col(f), F.lit("")) for f in value_fields]), lambda x: x.isNotNull()))
-
-    def fits(e: Column, x: Column) -> Column:
-        free = lambda k: (e[k] == "") | (x[k] == "") | (e[k] == x[k])
-        same = lambda k: (e[k] != "") & (e[k] == x[k])
-        near = F.coalesce(F.abs(e["__hi"] - x["__hi"]) <= tolerance, F.lit(True))
-        return (e["__u"] == x["__u"]) & free("__m") & free("__s") & near & (same("__p") | same("__t") | same("__c"))
-
-    def merge(cols: list[str]):
-        def struct(win: Column, lose: Column, place: Column) -> Column:
-            def one(n: str) -> Column:
-                if n == order:
-                    return place[n]
-                if n == "__n":
-                    gained = F.lit(0)
-                    for f in value_fields:
-                        gained = gained + F.when(F.coalesce(win[f], F.lit("")) == "", F.when(F.coalesce(lose[f], F.lit("")) != "", 1).otherwise(0)).otherwise(0)
-                    return (win["__n"] + gained).cast("int")
-                if n == "__hi" or n not in (*value_fields, *(k for k in extra if k != "__n")):
-                    return F.coalesce(win[n], lose[n])
-                return F.when(F.coalesce(win[n], F.lit("")) == "", lose[n]).otherwise(win[n])
-
-            return F.struct(place["__o"].alias("__o"), *[one(n).alias(n) for n in cols])
-
-        return lambda e, x: F.when(x["__n"] > e["__n"], struct(x, e, e)).otherwise(struct(e, x, e))
-
-    return _folded(conditions, extra, fits, merge, group, order)
+    keys = _norms(conditions, ["critical_polymer_unit", "manufacturer", "solvent", "phase", "material", "column_name"])
+    ratio = F.col("ratio") if "ratio" in conditions.columns else F.lit(None).cast("string")
+    keys["__hi"] = T.ratio_range(ratio)["hi"]
+    # a bit for each field that has a value
+    bits = " + ".join(f"if(coalesce(`{f}`, '') = '', 0L, {1 << i}L)" for i, f in enumerate(value_fields))
+    keys["__values"] = F.expr(bits)
+    rows = placed(conditions, keys, lambda: Fuzzy(tolerance), group, order)
+    return _merged(rows, group, order, lambda c: f"{c} IS NOT NULL AND {c} <> ''" if c.strip("`") in value_fields else f"{c} IS NOT NULL")
 
 
 def column_consensus(columns: DataFrame, least: int, key: Column, value_fields: tuple[str, ...]) -> DataFrame:

@@ -12,6 +12,8 @@ from marlstone.operators.records import BEHAVIOR, FIELDS, SOLVENT, STATIONARY, T
 
 RANGED = ("temperature", "flow_rate", "injection_volume")
 KEY = ("critical_polymer_unit", "column_name", "manufacturer", "column_dimensions", "phase", "solvent")
+# Words that name a column by themselves.
+FAMILIAR = ("jordi", "discovery", "hs-peg", "nucleosil", "diol")
 VALUES = ("critical_polymer_unit", *STATIONARY, *SOLVENT, *TECHNICAL, *BEHAVIOR)
 
 
@@ -81,10 +83,13 @@ def normalized_solvent(rows: DataFrame) -> DataFrame:
 
 
 def names_of_column(rows: DataFrame) -> Column:
-    text = F.concat_ws(" ", *[T.norm_key(F.col(c)) for c in ("column_name", "material", "modification", "phase")])
-    known = F.filter(F.array(*[F.lit(t) for t in ("jordi", "discovery", "hs-peg", "nucleosil", "diol")]), lambda t: F.contains(text, t))
-    own = F.filter(F.split(T.norm_key(F.col("column_name")), "[^a-z0-9]+"), lambda t: F.length(t) >= 4)
-    return F.when(F.size(known) > 0, known).otherwise(own)
+    def names(norms: Column) -> Column:
+        text = F.array_join(norms, " ")
+        known = F.filter(F.array(*map(F.lit, FAMILIAR)), lambda t: F.contains(text, t))
+        own = F.filter(F.split(F.get(norms, 0), "[^a-z0-9]+"), lambda t: F.length(t) >= 4)
+        return F.when(F.size(known) > 0, known).otherwise(own)
+
+    return T.let(F.transform(F.array("column_name", "material", "modification", "phase"), T.norm_key), names)
 
 
 def repaired(rows: DataFrame, compat: bool = True, widen: bool = True) -> DataFrame:

@@ -31,25 +31,26 @@ def _holds(text: Column, *terms: str) -> Column:
 
 
 def solvent_name(name: Column) -> Column:
-    n = T.normalize(name)
     known = F.create_map(*[F.lit(x) for pair in SOLVENT_NAMES.items() for x in pair])
-    return F.coalesce(F.try_element_at(known, F.lower(n)), T.title_case(n))
+    return T.let(T.normalize(name), lambda n: F.coalesce(F.try_element_at(known, F.lower(n)), T.title_case(n)))
 
 
 def solvent(value: Column) -> Column:
     """One spelling per solvent and known mixture; 'A / B' of two; else as it was."""
-    s = F.replace(T.norm_key(value), F.lit("methyl ethyl ketone"), F.lit("butanone"))
-    parts = F.split(s, r"\s*/\s*|\s+and\s+", 2)
-    pair = F.concat(solvent_name(F.get(parts, 0)), F.lit(" / "), solvent_name(F.get(parts, 1)))
-    return (
-        F.when(value.isNull() | (value == ""), value)
-        .when(_holds(s, "butanone") & _holds(s, "cyclohexane"), "Butanone / Cyclohexane")
-        .when(_holds(s, "acetone") & _holds(s, "water"), "Acetone / Water")
-        .when(_holds(s, "tetrahydrofuran") | (F.trim(s) == "thf"), "THF")
-        .when(_holds(s, "chloroform", "chcl3"), "Chloroform")
-        .when(_holds(s, "/", " and ") & (F.size(parts) >= 2), pair)
-        .otherwise(value)
-    )
+
+    def spelled(s: Column) -> Column:
+        parts = F.split(s, r"\s*/\s*|\s+and\s+", 2)
+        return (
+            F.when(value.isNull() | (value == ""), value)
+            .when(_holds(s, "butanone") & _holds(s, "cyclohexane"), "Butanone / Cyclohexane")
+            .when(_holds(s, "acetone") & _holds(s, "water"), "Acetone / Water")
+            .when(_holds(s, "tetrahydrofuran") | (F.trim(s) == "thf"), "THF")
+            .when(_holds(s, "chloroform", "chcl3"), "Chloroform")
+            .when(_holds(s, "/", " and ") & (F.size(parts) >= 2), F.array_join(F.transform(parts, solvent_name), " / "))
+            .otherwise(value)
+        )
+
+    return T.let(F.replace(T.norm_key(value), F.lit("methyl ethyl ketone"), F.lit("butanone")), spelled)
 
 
 def ratio_units(units: Column, solvent_value: Column) -> Column:
@@ -62,14 +63,17 @@ def ratio_units(units: Column, solvent_value: Column) -> Column:
 
 def phase(value: Column, name: Column, modification: Column, material: Column) -> Column:
     """The phase, inferred from the column where it isn't given."""
-    n, m, t = T.norm_key(name), T.norm_key(modification), T.norm_key(material)
-    inferred = (
-        F.when(_holds(n, "diol") | _holds(m, "diol") | _holds(t, "diol"), "Normal phase")
-        .when(_holds(n, "dvb") | _holds(t, "divinyl"), "Reversed phase (polymeric)")
-        .when(_holds(n, "hs-peg") | (_holds(n, "peg") & _holds(t, "silica")) | _holds(m, "peg"), "Reversed phase (PEG-modified silica)")
-        .when(_holds(n, "rp"), "Reversed phase")
-    )
-    return F.when(value.isNull() | (value == ""), F.coalesce(inferred, value)).otherwise(value)
+
+    def inferred(n: Column, m: Column, t: Column) -> Column:
+        return (
+            F.when(_holds(n, "diol") | _holds(m, "diol") | _holds(t, "diol"), "Normal phase")
+            .when(_holds(n, "dvb") | _holds(t, "divinyl"), "Reversed phase (polymeric)")
+            .when(_holds(n, "hs-peg") | (_holds(n, "peg") & _holds(t, "silica")) | _holds(m, "peg"), "Reversed phase (PEG-modified silica)")
+            .when(_holds(n, "rp"), "Reversed phase")
+        )
+
+    found = T.let_all([name, modification, material], T.norm_key, inferred)
+    return F.when(value.isNull() | (value == ""), F.coalesce(found, value)).otherwise(value)
 
 
 def with_unit(value: Column, was_number: Column, unit: str) -> Column:
@@ -100,11 +104,14 @@ def is_pair(ratio: Column) -> Column:
 def both_shares(ratio: Column, solvent_value: Column) -> Column:
     """A single share (1 to 99) of a mixture as 'a/b', the larger first."""
     text = F.trim(F.regexp_replace(F.trim(ratio), r"(?i)\s*(vol%|wt%|v/v|w/w|%)\s*$", ""))
-    value = F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), text.try_cast("double"))
-    rest = F.round(F.lit(100.0) - value, 4)
-    pair = F.when(value < 50, F.concat(T.general(rest), F.lit("/"), T.general(value))).otherwise(F.concat(T.general(value), F.lit("/"), T.general(rest)))
-    acts = _holds(F.coalesce(solvent_value, F.lit("")), "/") & ~is_pair(ratio) & value.between(1, 99)
-    return F.when(F.coalesce(acts, F.lit(False)), pair).otherwise(ratio)
+
+    def pair(value: Column) -> Column:
+        rest = F.round(F.lit(100.0) - value, 4)
+        shares = F.array_join(F.transform(F.array(F.greatest(value, rest), F.least(value, rest)), T.general), "/")
+        acts = _holds(F.coalesce(solvent_value, F.lit("")), "/") & ~is_pair(ratio) & value.between(1, 99)
+        return F.when(F.coalesce(acts, F.lit(False)), shares).otherwise(ratio)
+
+    return T.let(F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), text.try_cast("double")), pair)
 
 
 def units_of_shares(units: Column, before: Column, after: Column) -> Column:
@@ -113,28 +120,33 @@ def units_of_shares(units: Column, before: Column, after: Column) -> Column:
 
 def inferred_column(snippets: Column) -> Column:
     """A column's name from the texts a condition came from; null if none is known."""
-    t = T.norm_key(F.array_join(snippets, " "))
-    brand = F.regexp_extract(t, r"\b([a-z][a-z0-9\-]+)\s+c\s*18\b", 1)
-    return (
-        F.when(_holds(t, "nucleosil", "nucleosol"), F.when(_holds(t, "c18", "c 18"), "Nucleosil C18").otherwise("Nucleosil"))
-        .when(_holds(t, "discovery") & _holds(t, "peg"), "Discovery HS-PEG")
-        .when(_holds(t, "jordi") & _holds(t, "dvb"), "Jordi Gel DVB")
-        .when(_holds(t, "hs-peg", "hs peg"), "HS-PEG")
-        .when(_holds(t, "jordi"), "Jordi")
-        .when(_holds(t, "styragel"), "Styragel")
-        .when(_holds(t, "plgel"), "PLgel")
-        .when(brand != "", F.concat(T.title_case(brand), F.lit(" C18")))
-    )
+
+    def inferred(t: Column) -> Column:
+        brand = F.regexp_extract(t, r"\b([a-z][a-z0-9\-]+)\s+c\s*18\b", 1)
+        return (
+            F.when(_holds(t, "nucleosil", "nucleosol"), F.when(_holds(t, "c18", "c 18"), "Nucleosil C18").otherwise("Nucleosil"))
+            .when(_holds(t, "discovery") & _holds(t, "peg"), "Discovery HS-PEG")
+            .when(_holds(t, "jordi") & _holds(t, "dvb"), "Jordi Gel DVB")
+            .when(_holds(t, "hs-peg", "hs peg"), "HS-PEG")
+            .when(_holds(t, "jordi"), "Jordi")
+            .when(_holds(t, "styragel"), "Styragel")
+            .when(_holds(t, "plgel"), "PLgel")
+            .when(brand != "", F.concat(T.title_case(brand), F.lit(" C18")))
+        )
+
+    return T.let(T.norm_key(F.array_join(snippets, " ")), inferred)
 
 
 def column_name(name: Column) -> Column:
     """Brand spellings put right."""
-    n = T.normalize(name)
-    low = F.lower(n)
-    out = F.regexp_replace(F.regexp_replace(n, "(?i)nucleosol", "Nucleosil"), r"(?i)hs\s*peg", "HS-PEG")
-    out = F.when(low.rlike("^of c[ -]?18"), F.regexp_replace(out, r"(?i)^of\s+", "")).otherwise(out)
-    out = F.when(_holds(low, "c18") & _holds(low, "nucleosil"), "Nucleosil C18").otherwise(out)
-    return F.when(name.isNull() | (name == ""), name).otherwise(out)
+
+    def spelled(n: Column) -> Column:
+        low = F.lower(n)
+        out = F.regexp_replace(F.regexp_replace(n, "(?i)nucleosol", "Nucleosil"), r"(?i)hs\s*peg", "HS-PEG")
+        out = F.when(low.rlike("^of c[ -]?18"), F.regexp_replace(out, r"(?i)^of\s+", "")).otherwise(out)
+        return F.when(_holds(low, "c18") & _holds(low, "nucleosil"), "Nucleosil C18").otherwise(out)
+
+    return F.when(name.isNull() | (name == ""), name).otherwise(T.let(T.normalize(name), spelled))
 
 
 def is_phantom(name: Column) -> Column:
@@ -163,26 +175,36 @@ def injection_volume(value: Column) -> Column:
 
 def ratio_in_solvent(value: Column) -> Column:
     """struct(ratio, units) that a solvent's text holds: a share, else a pair."""
-    s = T.normalize(value)
+    # fixed values: how a share and a pair of shares are written
     one = r"(?i)(\d+(?:\.\d+)?(?:\s*-\s*\d+(?:\.\d+)?)?)\s*(wt%|w/w|v/v|%)"
     pair = r"(?i)(\d+(?:\.\d+)?)\s*[/:\-]\s*(\d+(?:\.\d+)?)\s*(vol%|v/v|%|vol)"
-    single = F.struct(F.regexp_replace(F.regexp_extract(s, one, 1), r"\s+", "").alias("ratio"), F.lower(F.regexp_extract(s, one, 2)).alias("units"))
-    unit = F.lower(F.regexp_extract(s, pair, 3))
-    double = F.struct(F.concat(F.regexp_extract(s, pair, 1), F.lit("/"), F.regexp_extract(s, pair, 2)).alias("ratio"), F.when(unit == "vol", "vol%").otherwise(unit).alias("units"))
-    return F.when(s.rlike(one), single).when(s.rlike(pair), double)
+
+    def found(s: Column) -> Column:
+        single = F.struct(F.regexp_replace(F.regexp_extract(s, one, 1), r"\s+", "").alias("ratio"), F.lower(F.regexp_extract(s, one, 2)).alias("units"))
+        unit = F.lower(F.regexp_extract(s, pair, 3))
+        double = F.struct(F.concat(F.regexp_extract(s, pair, 1), F.lit("/"), F.regexp_extract(s, pair, 2)).alias("ratio"), F.when(unit == "vol", "vol%").otherwise(unit).alias("units"))
+        return F.when(s.rlike(one), single).when(s.rlike(pair), double)
+
+    return T.let(T.normalize(value), found)
 
 
 def pair_in_snippets(snippets: Column) -> Column:
     """struct(ratio, units) of the first snippet with a pair of shares."""
+    # fixed values: how a pair of shares is written
     pair = r"(\d+(?:\.\d+)?)\s*[/:\-]\s*(\d+(?:\.\d+)?)\s*(vol%|v/v|%|vol)"
-    hit = F.get(F.filter(F.transform(snippets, T.norm_key), lambda s: s.rlike(pair)), 0)
-    unit = F.regexp_extract(hit, pair, 3)
-    return F.when(hit.isNotNull(), F.struct(F.concat(F.regexp_extract(hit, pair, 1), F.lit("/"), F.regexp_extract(hit, pair, 2)).alias("ratio"), F.when(unit == "vol", "vol%").otherwise(unit).alias("units")))
+
+    def found(hit: Column) -> Column:
+        unit = F.regexp_extract(hit, pair, 3)
+        shares = F.struct(F.concat(F.regexp_extract(hit, pair, 1), F.lit("/"), F.regexp_extract(hit, pair, 2)).alias("ratio"), F.when(unit == "vol", "vol%").otherwise(unit).alias("units"))
+        return F.when(hit.isNotNull(), shares)
+
+    return T.let(F.get(F.filter(F.transform(snippets, T.norm_key), lambda s: s.rlike(pair)), 0), found)
 
 
 def shares_in_snippets(snippets: Column, names: Column) -> Column:
     """Sorted distinct shares in the sentences that name the column; and in those that speak
     of 'this column' without a name, if the column has names."""
+    # fixed values: how a share is written, where a sentence ends
     share = r"(\d+(?:\.\d+)?)\s*(?:wt%|w/w|%)"
     sentences = F.filter(F.flatten(F.transform(snippets, lambda s: F.split(T.norm_key(s), r"(?<!\d)[.!?](?!\d)"))), lambda s: s.rlike(r"wt%|w/w|%|v/v|vol%"))
     told = F.filter(sentences, lambda s: (F.size(names) == 0) | F.exists(names, lambda a: F.contains(s, a)) | _holds(s, "this column", "the column"))
