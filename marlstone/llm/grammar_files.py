@@ -203,7 +203,7 @@ def _stream(path: str, mode: str) -> BinaryIO:
 SHARDS = "part int, shard int, path string, documents bigint, tokens bigint"
 
 
-def write(docs: DataFrame, tokenizer_path: str, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, shard_ids: int = 1 << 19, rounds: int = 5, least: int = 16) -> DataFrame:
+def write(docs: DataFrame, tokenizer_path: str, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, shard_ids: int = 1 << 19, rounds: int = 4, least: int = 16) -> DataFrame:
     """Writes the ids of ``docs`` below ``path``, a new folder that all executors share: the
     shards, and their table, which is returned.
 
@@ -248,9 +248,10 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, id_col: str = "doc_id
     return spark.read.schema(SHARDS).parquet(f"{path}/table")
 
 
-def read(spark: SparkSession, path: str, most_tasks: int = 100_000) -> DataFrame:
+def read(spark: SparkSession, path: str, task_ids: int = 1 << 22) -> DataFrame:
     """A row per document of the files: doc_id, start (ids of all documents before it),
-    n_tokens, ids_crc32. The driver sees one total per writing task."""
+    n_tokens, ids_crc32. The driver sees one total per writing task; a task reads shards of
+    about ``task_ids`` ids."""
     table = spark.read.schema(SHARDS).parquet(f"{path}/table")
     before, totals = 0, []
     for r in table.groupBy("part").agg(F.sum("tokens").alias("n")).orderBy("part").collect():
@@ -260,7 +261,7 @@ def read(spark: SparkSession, path: str, most_tasks: int = 100_000) -> DataFrame
     ahead = F.sum("tokens").over(Window.partitionBy("part").orderBy("shard")) - F.col("tokens")
     shards = table.withColumn("ahead", ahead).join(F.broadcast(offsets), "part").select("path", (F.col("before") + F.col("ahead")).alias("start"))
     # rows this small would be coalesced into one task; a stated number of partitions is not
-    shards = shards.repartition(max(1, min(table.count(), most_tasks)))
+    shards = shards.repartition(max(spark.sparkContext.defaultParallelism, before // task_ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

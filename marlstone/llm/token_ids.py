@@ -128,7 +128,7 @@ class TokenIds:
         for kind, own in enumerate(used.reshape(len(LEADS), -1)):
             which = np.flatnonzero(own)
             if len(which):
-                blobs += self._chunk_ids(kind, distinct.take(which).to_pylist(), solid[which].tolist())
+                blobs += self._chunk_ids(kind, distinct.take(which).to_numpy(zero_copy_only=False).tolist(), solid[which].tolist())
         lengths = np.fromiter(map(len, blobs), np.int32, len(blobs)) >> 2
         pool = np.frombuffer(b"".join(blobs), np.uint32)
         ids, ends = ragged_take(pool, np.cumsum(lengths) - lengths, lengths, (np.cumsum(used, dtype=np.int32) - 1)[at])
