@@ -17,8 +17,10 @@ NUMBER = r"\d+(?:\.\d+)?"
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value), where the value is worked out once and stands once in the plan, however
-    often the body has it. Long rules stay small in the plan and in generated code."""
-    return F.get(F.transform(F.array(value), body), 0)
+    often the body has it. Long rules stay small in the plan and in generated code. The
+    largest of one element is that element; taking it by its place would look up the type of
+    the whole rule for every row."""
+    return F.array_max(F.transform(F.array(value), body))
 
 
 def let_all(values: list[Column], each: Callable[[Column], Column], body: Callable[..., Column]) -> Column:
@@ -49,18 +51,27 @@ OCR_RULES = (
 )
 
 
+#: What a text holds if any rule of normalize() is to change it: most short values hold none.
+TRIGGERS = r"[^ -~]|  |\A | \z|Z[0-9]|!|8\s*[CFK]|(?i:loop|particle|aeton|aceton(?!e)|(?:vol|wt)\s+%|c\s+[0-9]|(?:min|l)\s*-\s*1)"
+
+
 def normalize(text: Column, compat: bool = True) -> Column:
     """Cleans text that came out of a PDF: glyph variants, OCR slips, unit spellings; then
     ASCII only, single blanks, trimmed. With ``compat`` a trailing 8 of a number before a
     temperature unit counts as a misread degree sign even where it is part of the number;
-    without, only a detached 8 does."""
-    t = F.translate(replaced(F.coalesce(text, F.lit("")), r"(\d)\s*Â\s*(\d)", "$1x$2"), "".join(GLYPHS) + DROPPED_GLYPHS, "".join(GLYPHS.values()))
-    for pattern, by in OCR_RULES:
-        t = replaced(t, pattern, by)
+    without, only a detached 8 does. A text without any of TRIGGERS stays as it is."""
     blanks = r"\s*" if compat else r"\s+"
-    t = replaced(t, rf"\b({NUMBER}){blanks}8\s*([CFK])\b", "$1 $2")
-    t = F.regexp_replace(t, r"[^\x00-\x7F]+", " ")
-    return F.trim(F.regexp_replace(t, r"\s+", " "))
+
+    def cleaned(t: Column) -> Column:
+        out = F.translate(replaced(t, r"(\d)\s*Â\s*(\d)", "$1x$2"), "".join(GLYPHS) + DROPPED_GLYPHS, "".join(GLYPHS.values()))
+        for pattern, by in OCR_RULES:
+            out = replaced(out, pattern, by)
+        # fixed value: a misread degree sign
+        out = replaced(out, rf"\b({NUMBER}){blanks}8\s*([CFK])\b", "$1 $2")
+        out = F.trim(F.regexp_replace(F.regexp_replace(out, r"[^\x00-\x7F]+", " "), r"\s+", " "))
+        return F.when(t.rlike(TRIGGERS), out).otherwise(t)
+
+    return let(F.coalesce(text, F.lit("")), cleaned)
 
 
 def norm_key(value: Column) -> Column:
@@ -117,6 +128,11 @@ def value_in_normal(value: Column, normal: Column) -> Column:
     return let(norm_key(value), stands)
 
 
+def number(text: Column) -> Column:
+    """A double of digits; null for an empty text, which a cast would first try to read."""
+    return F.nullif(text, F.lit("")).try_cast("double")
+
+
 def numbers_of(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(U + NUMBER), F.lit(0))
 
@@ -141,7 +157,7 @@ def single_temperature(value: Column) -> Column:
     return F.when(s.isNotNull() & ~span & (F.size(n) == 1), F.get(n, 0))
 
 
-def general(number: Column) -> Column:
+def general(value: Column) -> Column:
     """A double with six significant digits and no trailing zeros (for 1e-4 to 1e6)."""
 
     def shown(n: Column) -> Column:
@@ -150,7 +166,7 @@ def general(number: Column) -> Column:
         plain = F.format_string("%.6f", F.round(rounded, 6))
         return F.when(n.isNotNull(), F.regexp_replace(F.regexp_replace(plain, r"0+$", ""), r"\.$", ""))
 
-    return let(number, shown)
+    return let(value, shown)
 
 
 def ratio_range(value: Column) -> Column:
@@ -158,8 +174,8 @@ def ratio_range(value: Column) -> Column:
     pattern = rf"{U}^\s*({NUMBER})(?:\s*-\s*({NUMBER}))?\s*$"
 
     def span(t: Column) -> Column:
-        a = F.regexp_extract(t, pattern, 1).try_cast("double")
-        b = F.coalesce(F.regexp_extract(t, pattern, 2).try_cast("double"), a)
+        a = number(F.regexp_extract(t, pattern, 1))
+        b = F.coalesce(number(F.regexp_extract(t, pattern, 2)), a)
         return F.when(a.isNotNull(), F.struct(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")))
 
     return let(normalize(value.cast("string")), span)

@@ -32,7 +32,7 @@ def _merged(rows: DataFrame, group: str, order: str, told: Callable[[str], str])
     """Of placed() rows one per kept record: of each column the first value by rank that is
     ``told``, and the least order."""
     columns = [c for c in rows.columns if c not in (group, order, "kept_idx", "__rank")]
-    values = [F.expr(f"min_by(`{c}`, __rank) FILTER (WHERE {told(f'`{c}`')})").alias(c) for c in columns]
+    values = [F.expr(f"min_by(`{c}`, CASE WHEN {told(f'`{c}`')} THEN __rank END)").alias(c) for c in columns]
     out = rows.groupBy(group, "kept_idx").agg(F.min(order).alias(order), *values)
     return out.select(group, "kept_idx", *[c for c in rows.columns if c not in (group, "kept_idx", "__rank")])
 

@@ -18,7 +18,7 @@ VALUES = ("critical_polymer_unit", *STATIONARY, *SOLVENT, *TECHNICAL, *BEHAVIOR)
 
 
 def _first(field: str) -> Column:
-    return F.expr(f"min_by(`{field}`, ord) FILTER (WHERE `{field}` IS NOT NULL AND `{field}` <> '')")
+    return F.expr(f"min_by(`{field}`, CASE WHEN `{field}` <> '' THEN ord END)")
 
 
 def keyed_merge(conditions: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
@@ -48,13 +48,13 @@ def keyed_merge(conditions: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
             out.append(_first(f).alias(f))
     for f in ranged:
         parsed = f"__{f}"
-        out += [_first(f).alias(f), F.expr(f"min_by(`{parsed}`, ord) FILTER (WHERE `{f}` IS NOT NULL AND `{f}` <> '')").alias(f"{parsed}0"), F.min(f"{parsed}.lo").alias(f"{parsed}lo"), F.max(f"{parsed}.hi").alias(f"{parsed}hi")]
-        told = f"FILTER (WHERE `{parsed}` IS NOT NULL)"  # different ones: cheaper than counting them
-        out.append(F.expr(f"min(`{f}`) {told} <> max(`{f}`) {told}").alias(f"{parsed}n"))
+        out += [_first(f).alias(f), F.expr(f"min_by(`{parsed}`, CASE WHEN `{f}` <> '' THEN ord END)").alias(f"{parsed}0"), F.min(f"{parsed}.lo").alias(f"{parsed}lo"), F.max(f"{parsed}.hi").alias(f"{parsed}hi")]
+        told = f"CASE WHEN `{parsed}` IS NOT NULL THEN `{f}` END"  # different ones: cheaper than counting them
+        out.append(F.expr(f"min({told}) <> max({told})").alias(f"{parsed}n"))
         if f != "ratio":
-            out.append(F.expr(f"min_by(`{parsed}`.unit, ord) FILTER (WHERE `{parsed}`.unit <> '')").alias(f"{parsed}unit"))
+            out.append(F.expr(f"min_by(`{parsed}`.unit, CASE WHEN `{parsed}`.unit <> '' THEN ord END)").alias(f"{parsed}unit"))
     if "ratio_units" in given:
-        out += [_first("ratio_units").alias("ratio_units"), F.expr("max_by(ratio_units, ord) FILTER (WHERE lower(ratio_units) LIKE '%wt\\%%')").alias("__weight")]
+        out += [_first("ratio_units").alias("ratio_units"), F.expr("max_by(ratio_units, CASE WHEN contains(lower(ratio_units), 'wt%') THEN ord END)").alias("__weight")]
     out.append(F.transform(F.sort_array(F.expr("collect_list(struct(ord, context_snippet)) FILTER (WHERE context_snippet <> '')")), lambda x: x["context_snippet"]).alias("context_snippets"))
     merged = rows.groupBy("doc_id", *names, "__snippet").agg(*out)
     spans: dict[str, Column] = {}

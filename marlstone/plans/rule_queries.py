@@ -594,3 +594,33 @@ def conditions_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     bare = lambda c: F.when(F.col("doc_id") % 3 != 0, F.col(c))
     rows = rows.withColumns({c: bare(c) for c in ("column_name", "critical_polymer_unit", "ratio", "manufacturer")})
     return report.conditions_table(report.table_rows(rows)).select("doc_id", "ord", *REPORT)
+
+
+# ---- linking with the texts that conditions came from
+
+#: Two records a part with one key: a column unnamed, misspelled, known, odd or plain; a ratio
+#: not given, a share or a pair; texts with shares beside and away from the column's name.
+TOLD = """
+SELECT p_partkey AS doc_id, CAST(o AS INT) AS ord, p_type AS critical_polymer_unit, p_brand AS manufacturer, 'acetone / water' AS solvent,
+  CASE p_partkey % 6 WHEN 2 THEN 'Nucleosol C18' WHEN 3 THEN 'Jordi Gel DVB' WHEN 4 THEN 'of C18 best' WHEN 5 THEN 'item ' || p_partkey END AS column_name,
+  CASE p_partkey % 3 WHEN 1 THEN CAST(20 + p_size AS VARCHAR(9)) WHEN 2 THEN '60/40' END AS ratio,
+  CASE WHEN o = 1 THEN 'The Nucleosil C18 was run at 45 % here. Then ' || CAST(20 + p_size AS VARCHAR(9)) || '% was used.'
+       WHEN p_partkey % 2 = 0 THEN 'This column took 70/30 vol% first, and 55 wt% acetone then.' ELSE 'This column took 55 wt% of it.' END AS context_snippet
+FROM part CROSS JOIN (VALUES (1), (2)) AS v(o)"""
+
+
+@query(
+    f"""
+WITH c AS (SELECT DISTINCT doc_id, doc_id % 6 AS n, column_name, ratio, 20 + p_size AS q FROM ({TOLD}) t JOIN part ON p_partkey = doc_id),
+s AS (SELECT *, CASE WHEN n < 2 THEN list_distinct([45, q, 55]) ELSE [55] END AS shares FROM c),
+p AS (SELECT *, CASE WHEN ratio IS NULL AND doc_id % 2 = 0 THEN '70/30' ELSE ratio END AS paired, CASE WHEN ratio IS NULL AND doc_id % 2 = 0 THEN 'vol%' END AS units FROM s),
+w AS (SELECT *, paired IS NULL OR NOT contains(paired, '/') AS acts FROM p),
+x AS (SELECT *, CASE WHEN acts AND (paired IS NULL OR len(shares) > 1) THEN CASE WHEN list_min(shares) = list_max(shares) THEN CAST(list_min(shares) AS VARCHAR) ELSE list_min(shares) || '-' || list_max(shares) END ELSE paired END AS wide,
+  CASE WHEN acts THEN coalesce(units, 'wt% acetone') ELSE units END AS told FROM w)
+SELECT doc_id, CAST(1 AS INTEGER) AS ord, CASE WHEN n < 3 THEN 'Nucleosil C18' WHEN n = 4 THEN 'C18 best' ELSE column_name END AS column_name, CASE WHEN n = 3 THEN 'Reversed phase (polymeric)' END AS phase,
+  CASE WHEN TRY_CAST(wide AS INTEGER) < 50 THEN (100 - CAST(wide AS INTEGER)) || '/' || wide WHEN TRY_CAST(wide AS INTEGER) IS NOT NULL THEN wide || '/' || (100 - CAST(wide AS INTEGER)) ELSE wide END AS ratio,
+  CASE WHEN told IS NULL AND TRY_CAST(wide AS INTEGER) IS NOT NULL THEN 'vol%' ELSE told END AS ratio_units FROM x"""
+)
+def linked_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = derived(spark, sf_dir, TOLD)
+    return link.linked(rows).select("doc_id", "ord", "column_name", "phase", "ratio", "ratio_units")
