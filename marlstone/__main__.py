@@ -26,6 +26,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("-o", "--output", default="extracted.json", help="result JSON: a file, or for several documents a folder of JSON lines")
     parser.add_argument("--no-validation", action="store_true", help="take all names as valid")
     parser.add_argument("--online-validation", action="store_true", help="look names up over the network")
+    parser.add_argument("--recognize", action="store_true", help="names by a recogniser that learns from the documents, too")
     parser.add_argument("--threshold", type=float, default=0.5, help="share of the top name's count that main names have (0 to 1)")
     parser.add_argument("--no-summary", action="store_true")
     parser.add_argument("--output-mode", choices=("compact", "full"), default="compact", help="full keeps snippets and grades")
@@ -36,6 +37,8 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--llm-host", default="http://127.0.0.1:11434")
     parser.add_argument("--llm-timeout", type=float, default=120.0, help="seconds")
     parser.add_argument("--llm-max-context", type=int, default=6000, help="characters of a chunk")
+    for switch in ("--llm-no-start-server", "--llm-no-http"):
+        parser.add_argument(switch, action="store_true", help="taken and of no effect: no server is started, and answers come over HTTP or from rules")
     parser.add_argument("--no-llm-postprocess", action="store_true", help="leave the table as it is")
     parser.add_argument("--llm-postprocess-max-rows", type=int, default=60)
     parser.add_argument("--table-csv", default=None, help="folder for the table as CSV")
@@ -49,7 +52,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
 def config(args: argparse.Namespace) -> pipeline.Config:
     models = tuple(m.strip() for m in (args.llm_models or args.llm_model).split(",") if m.strip())
     clean = not args.no_llm_postprocess and args.llm_provider != "rules"
-    return pipeline.Config(models=models, consensus=args.llm_consensus, threshold=args.threshold, validate_names=not args.no_validation, max_chars=args.llm_max_context, compact=args.output_mode == "compact", clean=clean, clean_rows=args.llm_postprocess_max_rows)
+    return pipeline.Config(models=models, consensus=args.llm_consensus, threshold=args.threshold, validate_names=not args.no_validation, recognize=args.recognize, max_chars=args.llm_max_context, compact=args.output_mode == "compact", clean=clean, clean_rows=args.llm_postprocess_max_rows)
 
 
 def main(given: list[str] | None = None) -> int:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions import text as T
 from marlstone.functions.lexicon import Vocabulary, abbreviations
-from marlstone.operators import consensus, evidence, link, mentions, records, report, response, segment, validate
+from marlstone.operators import consensus, evidence, link, mentions, recognizer, records, report, response, segment, validate
 from marlstone.operators.records import STATIONARY
 from marlstone.plans import prompts
 from marlstone.plans.lineage import cut
@@ -32,6 +32,7 @@ class Config:
     consensus: int = 0  # 0: two if there are several models, else one
     threshold: float = 0.5
     validate_names: bool = True
+    recognize: bool = False  # names by a recogniser that learns from the documents, too
     max_chars: int = 6000
     global_chars: int = 12_000
     catalogue_chars: int = 5000
@@ -172,7 +173,8 @@ def run(docs: DataFrame, source, config: Config | None = None, known: DataFrame
     ``known`` has names that count as valid beside those of the abbreviations."""
     config = config or Config()
     table = abbreviations(docs.sparkSession)
-    counts = cut(mentions.mention_counts(mentions.mentions(docs, table)))
+    tagger = recognizer.train(docs, table) if config.recognize else None
+    counts = cut(mentions.mention_counts(mentions.mentions(docs, table, tagger.names if tagger else None)))
     names = table.select("name") if known is None else table.select("name").union(known.select("name"))
     valid = mentions.validated(counts, names) if config.validate_names else counts
     main = cut(mentions.main_names(valid, config.threshold))
