@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -9,6 +10,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _own_dir: dict[str, str] = {}
 
@@ -86,8 +88,18 @@ def ids_and_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
 
 
-def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(function, schema)
+def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """mapInArrow whose tasks give what they have freed back to the system when they end:
+    workers are kept for later stages, and what they hold counts against the executor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+        if trim is not None:
+            trim(0)
+
+    return df.mapInArrow(run, schema)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:

@@ -287,4 +287,4 @@ def keep(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", threshold: f
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             yield batch.filter(pa.array([lexicon.score(t or "") < threshold for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
