@@ -39,6 +39,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--llm-max-context", type=int, default=6000, help="characters of a chunk")
     for switch in ("--llm-no-start-server", "--llm-no-http"):
         parser.add_argument(switch, action="store_true", help="taken and of no effect: no server is started, and answers come over HTTP or from rules")
+    parser.add_argument("--ledger", default=None, help="folder that keeps answers and names over runs")
     parser.add_argument("--no-llm-postprocess", action="store_true", help="leave the table as it is")
     parser.add_argument("--llm-postprocess-max-rows", type=int, default=60)
     parser.add_argument("--table-csv", default=None, help="folder for the table as CSV")
@@ -65,8 +66,8 @@ def main(given: list[str] | None = None) -> int:
     where = args.input if "://" in args.input else "file://" + os.path.abspath(args.input)
     docs = files.text_documents(spark, where).select(F.col("path").alias("doc_id"), "text")
     settings = config(args)
-    source = responses.Rules(Vocabulary().solvents) if args.llm_provider == "rules" else responses.Http(responses.Client(host=args.llm_host, timeout=args.llm_timeout))
-    known = pipeline.online_names(docs, services.NameService()) if args.online_validation else None
+    source = responses.Rules(Vocabulary().solvents) if args.llm_provider == "rules" else responses.Http(responses.Client(host=args.llm_host, timeout=args.llm_timeout), args.ledger and f"{args.ledger}/answers")
+    known = pipeline.online_names(docs, services.NameService(), ledger=args.ledger and f"{args.ledger}/names") if args.online_validation else None
     tables = pipeline.run(docs, source, settings, known)
     out = pipeline.cut(pipeline.result(docs, tables))
     table = pipeline.cut(tables["conditions_table"])

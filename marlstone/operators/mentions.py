@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marlstone.functions.text import canonical_name
+from marlstone.operators.membership import Bloom
+from marlstone.plans.lineage import cut
 
 # Words that are no names, and the shapes of names.
 EXCLUDED = r"(?i)\b(MPa|kPa|Pa|mol|wt%|polynomial|polydispersity|polymers?)\b"
@@ -59,10 +61,24 @@ def term_counts(docs: DataFrame, terms: DataFrame, pattern: str = ABBREVIATION,
     return tokens.join(F.broadcast(terms.select("abbrev", "name")), "abbrev").groupBy("doc_id", "name").agg(F.count("*").alias("count"))
 
 
-def validated(counts: DataFrame, known: DataFrame, key: Column | None = None) -> DataFrame:
-    """The counts whose name is known; of a document without any known name, all."""
-    names = known.select(canonical_name(F.col("name")).alias("known_name")).distinct()
-    marked = counts.withColumn("k", key if key is not None else canonical_name(F.col("name"))).join(F.broadcast(names), F.col("k") == F.col("known_name"), "left")
+#: Known names that are sent to every task; more are met by a shuffled join behind a filter.
+SENT_NAMES = 100_000
+
+
+def validated(counts: DataFrame, known: DataFrame, key: Column | None = None, sent: int = SENT_NAMES) -> DataFrame:
+    """The counts whose name is known; of a document without any known name, all. More than
+    ``sent`` known names don't travel: a Bloom filter of them does, and the names that pass
+    it meet them in a shuffled join."""
+    names = known.select(canonical_name(F.col("name")).alias("known_name")).where("known_name IS NOT NULL").distinct()
+    marked = counts.withColumn("k", key if key is not None else canonical_name(F.col("name")))
+    if names.limit(sent + 1).count() <= sent:
+        found = F.broadcast(names)
+    else:
+        names = cut(names)
+        bloom = Bloom(names, "known_name", names.count())
+        asked = marked.select(F.col("k").alias("known_name")).distinct().where(bloom.might_hold(F.col("known_name")))
+        found = asked.join(names, "known_name", "left_semi")
+    marked = marked.join(found, F.col("k") == F.col("known_name"), "left")
     is_known = F.col("known_name").isNotNull()
     some = F.max(is_known).over(W.partitionBy("doc_id"))
     return marked.withColumn("some", some).where(is_known | ~F.col("some")).drop("k", "known_name", "some")

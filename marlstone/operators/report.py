@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marlstone.operators import rules as R
+from marlstone.plans.lineage import cut
 
 # The columns of the report, in order, and those that tell rows apart.
 COLUMNS = (
@@ -70,6 +72,18 @@ def names_table(counts: DataFrame) -> DataFrame:
     return counts.groupBy("name").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "name")
 
 
+def ranked(rows: DataFrame, *order, name: str = "place") -> DataFrame:
+    """Rows with their place (from 1) in the whole order, none through the driver or one task:
+    partitions by ranges, sorted; the place inside, and the sizes of the partitions before,
+    of which there is one number each. ``order`` has to tell all rows apart."""
+    ordered = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id()))
+    part, inside = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
+    sizes = ordered.groupBy(part.cast("int").alias("__part")).agg(F.count("*").alias("n"))
+    before = sizes.select("__part", (F.sum("n").over(W.orderBy("__part")) - F.col("n")).alias("__before"))
+    placed = ordered.withColumn("__part", part.cast("int")).join(F.broadcast(before), "__part")
+    return placed.withColumn(name, (F.col("__before") + inside + 1).cast("int")).drop("__id", "__part", "__before")
+
+
 def run_counters(counts: DataFrame, valid: DataFrame, main: DataFrame, paras: DataFrame, conditions: DataFrame) -> DataFrame:
     """One row: how much of everything a run has seen."""
     n = lambda df, name: df.agg(F.count("*").alias(name)).withColumn("__one", F.lit(1))

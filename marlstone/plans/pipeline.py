@@ -18,7 +18,7 @@ from marlstone.functions.lexicon import Vocabulary, abbreviations
 from marlstone.operators import consensus, evidence, link, mentions, recognizer, records, report, response, segment, validate
 from marlstone.operators.records import STATIONARY
 from marlstone.plans import prompts
-from marlstone.plans.lineage import cut
+from marlstone.plans.lineage import Counts, cut
 from marlstone.sources import services
 
 COLUMN, WHOLE, CHUNK = 1, 2, 3  # the passes, in their order
@@ -169,16 +169,17 @@ def statistics(answered: DataFrame, columns: DataFrame, conditions: DataFrame) -
 
 def run(docs: DataFrame, source, config: Config | None = None, known: DataFrame | None = None) -> dict[str, DataFrame]:
     """Tables by name: conditions, conditions_table, names, main_names, catalogue, statistics,
-    counters, and with config.clean conditions_raw and clean_up. ``docs`` is (doc_id, text);
+    counters, problems (records without the structure of one), and with config.clean conditions_raw and clean_up. ``docs`` is (doc_id, text);
     ``known`` has names that count as valid beside those of the abbreviations."""
     config = config or Config()
     table = abbreviations(docs.sparkSession)
     tagger = recognizer.train(docs, table) if config.recognize else None
-    counts = cut(mentions.mention_counts(mentions.mentions(docs, table, tagger.names if tagger else None)))
+    count = Counts()  # with the run's own jobs
+    counts = cut(count.seen(mentions.mention_counts(mentions.mentions(docs, table, tagger.names if tagger else None)), "total_names_found"))
     names = table.select("name") if known is None else table.select("name").union(known.select("name"))
     valid = mentions.validated(counts, names) if config.validate_names else counts
-    main = cut(mentions.main_names(valid, config.threshold))
-    paras = cut(segment.paragraphs(docs))
+    main = cut(count.seen(mentions.main_names(count.seen(valid, "validated_names"), config.threshold), "main_names"))
+    paras = cut(count.seen(segment.paragraphs(docs), "total_paragraphs"))
     norms = cut(docs.select("doc_id", T.normalize(F.col("text")).alias("__norm")))  # once per document, not per field
     columns = cut(catalogue(paras, norms, source, config))
     answered = answers(questions(paras, columns, config), source, config)
@@ -189,7 +190,7 @@ def run(docs: DataFrame, source, config: Config | None = None, known: DataFrame
     merged = consensus.null_tolerant_merge(cut(conditions), consensus.KEY)
     conditions = cut(merged.drop("ord").withColumnRenamed("kept_idx", "ord").select(*conditions.columns))
     linked = cut(link.linked(conditions, config.compat).drop("kept_idx"))
-    kept = cut(report.graded(report.with_patch(report.without_size_exclusion(linked), docs)))
+    kept = cut(count.seen(report.graded(report.with_patch(report.without_size_exclusion(linked), docs)), "conditions_found"))
     shown = report.compact(kept) if config.compact else kept
     groups = main.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("c"), "first", "name"))), lambda x: x["name"]), ", ").alias("__groups"))
     rows = report.table_rows(shown.join(groups, "doc_id", "left"), F.col("__groups"))
@@ -200,7 +201,8 @@ def run(docs: DataFrame, source, config: Config | None = None, known: DataFrame
         "main_names": main,
         "catalogue": columns,
         "statistics": statistics(answered, columns, conditions),
-        "counters": report.run_counters(counts, valid, main, paras, shown),
+        "counters": count.table(docs.sparkSession),
+        "problems": records.problems(records.nested(shown).select("doc_id", "ord", F.to_json(F.struct(*records.GROUPS), {"ignoreNullFields": "false"}).alias("record"))),
     }
     if config.clean:
         out["conditions_raw"] = out["conditions_table"]
@@ -208,12 +210,13 @@ def run(docs: DataFrame, source, config: Config | None = None, known: DataFrame
     return out
 
 
-def online_names(docs: DataFrame, service, cache: DataFrame | None = None) -> DataFrame:
+def online_names(docs: DataFrame, service, cache: DataFrame | None = None, ledger: str | None = None) -> DataFrame:
     """(name) of the documents' names that a service knows, each distinct one asked for once;
-    those of the abbreviations and of ``cache`` aren't asked for."""
+    those of the abbreviations and of ``cache`` aren't asked for, nor those that ``ledger`` (a
+    path that stays) has an answer to."""
     table = abbreviations(docs.sparkSession)
     sure = table.select("name") if cache is None else table.select("name").union(cache.select("name"))
-    return cut(services.looked_up(mentions.mentions(docs, table), sure, service)).where("valid").select("name")
+    return cut(services.looked_up(mentions.mentions(docs, table), sure, service, ledger)).where("valid").select("name")
 
 
 def result(docs: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions import text as T
 from marlstone.functions.lexicon import ABBREVIATIONS, Vocabulary, abbreviations
-from marlstone.operators import consensus, evidence, link, mentions, records, report, response, rules, segment, validate
+from marlstone.operators import consensus, evidence, link, mentions, records, report, response, rules, segment, terms, validate
 from marlstone.plans.catalog import PARAS, WORDS, query, sql_any
 from marlstone.plans.derived import CONDITIONS, conditions, table, view
 from marlstone.sources import files, responses
@@ -95,7 +95,7 @@ def numbers_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- mentions
 
 NAMED = f"""SELECT p_partkey AS doc_id, {pick(f"'poly(' || p_name || ')s and PEO, PEO at ' || {S} || ' MPa; Polystyrenes'", f"'The polymers PMMA, PS-' || {S} || ' and PMMA, polymer blends of Polyisoprene'", f"'poly (' || p_type || ') or PEG-MME and PEG-' || {S} || ' with polydispersity'", "'nothing here but ' || p_name", "CAST(NULL AS VARCHAR(10))", "'POLY(Ethylene  Oxide) PPO-1 and PPO polyglass'", "'PEO and PEO and PEO of PS'")} AS text FROM part"""
-_ABBREVIATED = ", ".join("('{}', '{}')".format(*(p.strip() for p in line.split(" = ", 1))) for line in ABBREVIATIONS.splitlines() if " = " in line)
+_ABBREVIATED = ", ".join(f"('{abbrev}', '{name}')" for abbrev, name in ABBREVIATIONS)
 _CANON = r"regexp_replace(CASE WHEN lower(trim(n)) LIKE '%s' AND lower(trim(n)) NOT LIKE '%ss' THEN left(lower(trim(n)), length(trim(n)) - 1) ELSE lower(trim(n)) END, '\s+', ' ', 'g')"
 _EXCLUDED = r"(?i)\b(MPa|kPa|Pa|mol|wt%|polynomial|polydispersity|polymers?)\b"
 MENTIONED = rf"""
@@ -144,8 +144,7 @@ def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {MENTIONED}, n AS (SELECT name, sum(count) AS c FROM counts GROUP BY name) SELECT name, CAST(c AS BIGINT) AS count, CAST(row_number() OVER (ORDER BY c DESC, name) AS INTEGER) AS place FROM n")
 def names_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = report.names_table(_named_counts(spark, sf_dir)).collect()  # a handful of names, in the table's order
-    return spark.createDataFrame([(r["name"], r["count"], i) for i, r in enumerate(rows, 1)], "name string, count bigint, place int")
+    return report.ranked(report.names_table(_named_counts(spark, sf_dir)), F.desc("count"), F.asc("name"))
 
 
 # ---- paragraphs and chunks
@@ -466,7 +465,7 @@ def lexicon_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     text = F.lower(F.concat("p_name", F.lit(" column in acetone at the critical point of "), "p_type", F.lit(" loop")))
     rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), text.alias("t"))
-    return rows.join(F.broadcast(term_table(spark, _VOCABULARY)), F.contains("t", "term")).groupBy("doc_id", "lexicon").agg(F.count("*").alias("n"))
+    return terms.hits(rows, term_table(spark, _VOCABULARY)).groupBy("doc_id", "lexicon").agg(F.count("*").alias("n"))
 
 
 # ---- merges: folds over a document's records, as recursive queries

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import urllib.request
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions import text as T
 from marlstone.operators import rules as R
+from marlstone.sources.calls import Ledger, Patience, in_flight, tasks_for
 
 
 @dataclass(frozen=True)
@@ -24,6 +26,7 @@ class Client:
     chars_per_second: float = 20.0
     attempts: int = 2
     delay: float = 2.0
+    at_once: int = 30  # calls in flight, of all tasks together
 
     def patience(self, prompt: str) -> float:
         return min(self.timeout + len(prompt) / self.chars_per_second, self.most_timeout)
@@ -41,39 +44,42 @@ class Replay:
 
 
 class Http:
-    """Answers from a service; a request that fails in all attempts gives null. Write the
-    result to a table before using it twice: a task that runs again asks again."""
+    """Answers from a service, several calls in flight; a request that fails in all attempts
+    gives null, and ``reason`` says why. With ``ledger``, a path that stays, each prompt is
+    asked once for each model, over runs and tasks that run again; without, write the result
+    to a table before using it twice."""
 
-    def __init__(self, client: Client | None = None):
-        self.client = client or Client()
+    def __init__(self, client: Client | None = None, ledger: str | None = None):
+        self.client, self.ledger = client or Client(), ledger
+
+    def _asked(self, item: dict) -> tuple[str | None, str | None]:
+        client, prompt = self.client, item["prompt"]
+        body = json.dumps({"model": item["model"], "prompt": prompt, "stream": False}).encode()
+
+        def call() -> str | None:
+            request = urllib.request.Request(f"{client.host}/api/generate", body, {"Content-Type": "application/json"})
+            with urllib.request.urlopen(request, timeout=client.patience(prompt)) as answer:
+                return json.loads(answer.read()).get("response")
+
+        return Patience(client.attempts, client.delay).tried(call)
 
     def responses(self, prompts: DataFrame) -> DataFrame:
-        client = self.client
-
-        def ask(model: str, prompt: str) -> str | None:
-            import time
-            import urllib.error
-            import urllib.request
-
-            body = json.dumps({"model": model, "prompt": prompt, "stream": False}).encode()
-            for attempt in range(client.attempts):
-                try:
-                    request = urllib.request.Request(f"{client.host}/api/generate", body, {"Content-Type": "application/json"})
-                    with urllib.request.urlopen(request, timeout=client.patience(prompt)) as answer:
-                        return json.loads(answer.read()).get("response")
-                except urllib.error.HTTPError:
-                    return None
-                except OSError:
-                    if attempt + 1 < client.attempts:
-                        time.sleep(client.delay)
-            return None
+        client, asked = self.client, self._asked
+        if self.ledger:
+            rows = prompts.withColumn("prompt_sha", F.sha2("prompt", 256))
+            kept = Ledger(prompts.sparkSession, self.ledger, ("model", "prompt_sha"), "response")
+            answers = kept.ask(rows.select("model", "prompt_sha", "prompt"), asked, client.at_once)
+            return rows.join(answers, ["model", "prompt_sha"], "left").drop("prompt_sha")
+        tasks, at_once = tasks_for(prompts.sparkSession, client.at_once)
 
         def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for part in parts:
-                yield part.assign(response=[ask(m, p) for m, p in zip(part["model"], part["prompt"], strict=True)])
+                items = zip(range(len(part)), part["model"], part["prompt"], strict=True)
+                found = dict(in_flight(({"at": i, "model": m, "prompt": p} for i, m, p in items), asked, at_once, lambda item: item["at"]))
+                yield part.assign(response=[found[i][0] for i in range(len(part))], reason=[found[i][1] for i in range(len(part))])
 
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prompts.schema.fields)
-        return prompts.mapInPandas(run, f"{fields}, response string")
+        return prompts.repartition(tasks).mapInPandas(run, f"{fields}, response string, reason string")
 
 
 class Rules:

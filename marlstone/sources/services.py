@@ -7,12 +7,10 @@ twice, as a task that runs again asks again.
 from __future__ import annotations
 
 import json
-import urllib.error
 import urllib.parse
 import urllib.request
 import uuid
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pandas as pd
@@ -20,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions.text import canonical_name
+from marlstone.sources.calls import Ledger, Patience, in_flight, tasks_for
 
 
 @dataclass(frozen=True)
@@ -62,25 +61,38 @@ class NameService:
     timeout: float = 4.0
     at_once: int = 30
 
+    def asked(self, item: dict) -> tuple[str | None, str | None]:
+        """true, false (as any refusal is), or null and why where no answer came."""
+
+        def call() -> str:
+            with urllib.request.urlopen(self.url.format(urllib.parse.quote(item["name"], safe="")), timeout=self.timeout) as answer:
+                return str(answer.status == 200 and self.field in json.loads(answer.read())).lower()
+
+        value, reason = Patience(attempts=1).tried(call)
+        return ("false", reason) if reason and reason.startswith("status 4") and reason != "status 429" else (value, reason)
+
     def knows(self, name: str) -> bool:
-        try:
-            with urllib.request.urlopen(self.url.format(urllib.parse.quote(name, safe="")), timeout=self.timeout) as answer:
-                return answer.status == 200 and self.field in json.loads(answer.read())
-        except (OSError, ValueError):
-            return False
+        return self.asked({"name": name})[0] == "true"
 
 
-def looked_up(names: DataFrame, known: DataFrame, service: NameService | None = None) -> DataFrame:
-    """(name, valid) of the distinct canonical names: those in ``known`` (a cache or a
-    dimension, column name) are valid, the others are asked for, each once."""
+def looked_up(names: DataFrame, known: DataFrame, service: NameService | None = None, ledger: str | None = None) -> DataFrame:
+    """(name, valid) of the distinct canonical names: those in ``known`` (a dimension, column
+    name) are valid, the others are asked for, each once; with ``ledger``, a path that
+    stays, once over all runs. Failures count as no, and are asked again in a later run."""
     service = service or NameService()
     distinct = names.select(canonical_name(F.col("name")).alias("name")).where("name <> ''").distinct()
     sure = known.select(canonical_name(F.col("name")).alias("name")).distinct()
     open_ = distinct.join(sure, "name", "left_anti")
 
+    found = distinct.join(sure, "name", "left_semi").withColumn("valid", F.lit(True))
+    if ledger:
+        answers = Ledger(names.sparkSession, ledger, ("name",), "known").ask(open_, service.asked, service.at_once)
+        return found.union(open_.join(answers, "name", "left").select("name", F.coalesce(F.col("known") == "true", F.lit(False)).alias("valid")))
+    tasks, at_once = tasks_for(names.sparkSession, service.at_once)
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with ThreadPoolExecutor(service.at_once) as pool:
-            for part in parts:
-                yield part.assign(valid=list(pool.map(service.knows, part["name"])))
+        for part in parts:
+            told = dict(in_flight(iter(part["name"]), service.knows, at_once))
+            yield part.assign(valid=[told[n] for n in part["name"]])
 
-    return distinct.join(sure, "name", "left_semi").withColumn("valid", F.lit(True)).union(open_.mapInPandas(run, "name string, valid boolean"))
+    return found.union(open_.repartition(tasks).mapInPandas(run, "name string, valid boolean"))
