@@ -39,8 +39,8 @@ def test_stages(spark):
 def test_run_against_planted(spark, tmp_path, monkeypatch):
     """What run() keeps at each stage, against sets worked out in plain Python."""
     own = random.Random(14)
-    clean = [a + b for a in ("tree", "bird", "river", "stone", "cloud", "north", "paper") for b in "abcdefghij"]
-    texts = [[own.choice(clean) for _ in range(80)] for _ in range(1500)]
+    words = [a + b for a in ("tree", "bird", "river", "stone", "cloud", "north", "paper") for b in "abcdefghij"]
+    texts = [[own.choice(words) for _ in range(80)] for _ in range(1500)]
     junk, toxic = set(range(0, 1500, 10)), set(range(1, 1500, 5))
     for i in junk:
         texts[i] = [w + own.choice(("###", "$$$", "%%%")) for w in texts[i]]
@@ -48,17 +48,22 @@ def test_run_against_planted(spark, tmp_path, monkeypatch):
         texts[i][own.randrange(1, 79)] = "grumbo"
     for i in range(4, 1500, 50):
         texts[i + 4] = [*texts[i][:79], "end"]
+    for i in range(2, 1500, 10):
+        texts[i][40:40] = ["password", "=", "hunter77x"]
     texts = [" ".join(w) for w in texts]
+    texts[12] += "\n" + " " * 1_000_000  # a long run passes all stages
     columns = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], columns).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(i, int(i not in junk), int(i in toxic)) for i in range(1500)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
 
-    kept, stored = {}, common.stored
+    kept, clean, stored = {}, {}, common.stored
 
     def spy(session, df, name):
         out = stored(session, df, name)
         if name in ("quality", "toxicity", "near_duplicates", "secrets"):
             kept[name] = sorted(r.doc_id for r in out[0].select("doc_id").collect())
+            if name == "secrets":
+                clean.update((r.doc_id, r.text) for r in out[0].collect())
         return out
 
     monkeypatch.setattr(corpus_pipeline.common, "stored", spy)
@@ -73,6 +78,11 @@ def test_run_against_planted(spark, tmp_path, monkeypatch):
     assert len(near) >= 20
     single = [i for i in mild if i not in near]
     assert kept["near_duplicates"] == kept["secrets"] == single and pieces == set(single)
+    planted = [i for i in single if i % 10 == 2]
+    assert planted
+    for i in single:
+        hidden = "hunter" not in clean[i]
+        assert hidden and len(clean[i].split()) > 60 if i in planted else clean[i] == texts[i]
 
 
 def test_empty(spark, tmp_path):
