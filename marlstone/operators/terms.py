@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 Q = 3
 
+#: Listed terms that are sent to every task; with more, both sides of the join are shuffled.
+SENT_TERMS = 100_000
+
 
 def _parts(text):
     """All overlapping parts of Q characters."""
@@ -30,15 +33,17 @@ def indexed(terms: DataFrame) -> DataFrame:
     return distinct.join(rare, "term", "left")
 
 
-def hits(texts: DataFrame, terms: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "t") -> DataFrame:
+def hits(texts: DataFrame, terms: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "t", sent: int = SENT_TERMS) -> DataFrame:
     """(keys, lexicon, term) of each term that a text contains, as substrings. ``texts`` has
     one row per keys. Terms shorter than Q are tested on every text; they are few, as there
-    are few such strings."""
+    are few such strings. Texts are never broadcast, however small their files: a row for each
+    of their parts is many times as large. Up to ``sent`` terms are."""
+    way = "broadcast" if terms.limit(sent + 1).count() <= sent else "merge"
     index = indexed(terms)
     rows = texts.select(*keys, F.col(text).alias("__t"))
-    listed = rows.select(*keys, "__t", F.explode(F.array_distinct(_parts(F.col("__t")))).alias("part")).join(index.where("part IS NOT NULL"), "part")
+    listed = rows.select(*keys, "__t", F.explode(F.array_distinct(_parts(F.col("__t")))).alias("part")).join(index.where("part IS NOT NULL").hint(way), "part")
     long = listed.where(F.contains("__t", "term")).select(*keys, "lexicon", "term")
     short = index.where("part IS NULL").select("lexicon", "term", F.substring("term", 1, 1).alias("first"))
     # by their first character, so that this is a join on equality, too
     letters = rows.select(*keys, "__t", F.explode(F.array_distinct(F.split("__t", ""))).alias("first"))
-    return long.unionByName(letters.join(short, "first").where(F.contains("__t", "term")).select(*keys, "lexicon", "term"))
+    return long.unionByName(letters.join(short.hint(way), "first").where(F.contains("__t", "term")).select(*keys, "lexicon", "term"))

@@ -27,6 +27,17 @@ def test_term_hits(spark):
     assert terms.hits(df, spark.createDataFrame([], "lexicon string, term string")).count() == 0
 
 
+def test_texts_of_terms_are_not_broadcast(spark):
+    """Texts whose files are small are many times as large in parts: they stay where they are."""
+    texts = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text of number "), "id").alias("t"))
+    listed = spark.createDataFrame([("x", "number 19"), ("x", "no"), ("y", "of n")], "lexicon string, term string")
+    want = {(i, lexicon, w) for i in range(2000) for lexicon, w in (("x", "number 19"), ("x", "no"), ("y", "of n")) if w in f"text of number {i}"}
+    for sent in (10, 1):
+        found = terms.hits(texts, listed, sent=sent)
+        assert "BuildLeft" not in plan_of(found) and ("BuildRight" in plan_of(found)) == (sent == 10)
+        assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
 def test_bloom(spark):
     names = spark.range(20_000).select(F.concat(F.lit("name "), "id").alias("n")).union(spark.createDataFrame([(None,)], "n string"))
     bloom = Bloom(names, "n", 20_000)
