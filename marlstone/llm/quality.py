@@ -15,6 +15,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.operators.report import ranked
+
 BUCKETS = 1 << 14
 WHITE = r"[\x20\x09-\x0D]+"
 
@@ -74,25 +76,38 @@ def base_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
-def trusted_ids(labels: DataFrame, most: int, id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, calibrates) of at most ``most`` labelled rows of good quality, by smallest
-    hash, so the choice is the same at any time. Half of them set the threshold."""
+def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, calibrates) of all labelled rows of good quality. Those with an odd hash, the same
+    ones at any time, set the threshold."""
     good = labels.where("quality = 1").select(F.col(f"`{id_col}`").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
-    order = F.xxhash64("doc_id", F.lit("trusted"))
-    return good.orderBy(order, "doc_id").limit(most).withColumn("calibrates", F.pmod(order, F.lit(2)) == 1)
-
-
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, most_trusted: int = 20_000, quantile: float = 0.005, slack: float = 1.0) -> tuple[list[float], float]:
-    """(weights, threshold). The raw counts cover all documents; the target's the labelled
-    ones, at most ``most_trusted`` of them, which also bounds what is broadcast. The
-    weights are one number per bucket. The threshold is the ``quantile`` of the scores of
+    return good.withColumn("calibrates", F.pmod(F.xxhash64("doc_id", F.lit("trusted")), F.lit(2)) == 1)
+
+
+def quantiles(rows: DataFrame, column: str, shares: list[float]) -> list[float] | None:
+    """Exact quantiles, between two values by their distance; None without rows. The rows are
+    sorted by ranges and numbered, and only those at the places asked for are collected."""
+    placed = ranked(rows.select(F.col(column).alias("__v")), F.asc("__v"))
+    n = placed.count()
+    if not n:
+        return None
+    at = [(n - 1) * share for share in shares]
+    places = sorted({k for x in at for k in (math.floor(x) + 1, math.ceil(x) + 1)})
+    value = {r["place"]: r["__v"] for r in placed.where(F.col("place").isin(places)).collect()}
+    low = [value[math.floor(x) + 1] for x in at]
+    return [v + (value[math.ceil(x) + 1] - v) * (x - math.floor(x)) for x, v in zip(at, low, strict=True)]
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, quantile: float = 0.005, slack: float = 1.0) -> tuple[list[float], float]:
+    """(weights, threshold). The raw counts cover all documents, the target's all labelled ones
+    of good quality that don't calibrate. How their ids meet the texts is left to Spark, which
+    broadcasts few and shuffles many. The weights are one number per bucket. The threshold is the ``quantile`` of the scores of
     trusted documents outside the target, less ``slack`` times their interquartile range, so
     that the room below follows the spread of clean scores; without such documents nothing is
     rejected (minus infinity)."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), words_of(text).alias("words"))
-    trusted = F.broadcast(trusted_ids(labels, most_trusted))
-    rows = rows.join(trusted, "doc_id", "left")
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
+    trusted = trusted_ids(labels)
+    rows = rows.join(trusted, "doc_id", "left").withColumn("words", words_of(F.col("text")))
     grams = rows.select((F.col("calibrates") == F.lit(False)).alias("target"), F.explode(features(F.col("words"), buckets)).alias("bucket"))
     raw, target = [0] * buckets, [0] * buckets
     for bucket, n, m in grams.groupBy("bucket").agg(F.count("*"), F.count_if("target")).collect():  # at most `buckets` rows
@@ -104,9 +119,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     total = sum(raw) + buckets
     share = [(n + 1) / total for n in raw]
     weights = [math.log((m + prior * p) / ((sum(target) + prior) * p)) for m, p in zip(target, share, strict=True)]
-    held = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text")).join(trusted, "doc_id").where("calibrates").select(words_of(F.col("text")).alias("words"))
+    held = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text")).join(trusted.where("calibrates"), "doc_id").select(words_of(F.col("text")).alias("words"))
     score = held.where(F.size("words") > 0).select(ratio(F.col("words"), weights).alias("score"))
-    cut = score.agg(F.percentile("score", F.array(F.lit(quantile), F.lit(0.25), F.lit(0.75))).alias("cut")).collect()[0]["cut"]
+    cut = quantiles(score, "score", [quantile, 0.25, 0.75])
     return weights, -math.inf if cut is None else cut[0] - slack * (cut[2] - cut[1])
 
 

@@ -684,3 +684,14 @@ def test_toxicity_keeps_all_terms(spark):
     assert {toxicity.fold(p) for p in phrases} <= set(lexicon.exceptions) and "zug" in lexicon.weights
     got = {r.doc_id: r.predicted for r in toxicity.score(df, lexicon).collect()}
     assert all(got[i] == (i % 3 == 0) for i in range(1200))
+
+
+def test_quality_trusts_every_label(spark):
+    """No label of good quality is left out, however many there are; quantiles are exact."""
+    labels = spark.range(30_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 30_000 < 29_990, 1).otherwise(0).alias("quality"))
+    found = quality.trusted_ids(labels)
+    assert found.count() == 29_990 and 14_000 < found.where("calibrates").count() < 16_000
+    scores = spark.range(10_001).select((F.pmod(F.xxhash64("id"), F.lit(9973)) / 7.0).alias("score"))
+    want = scores.agg(F.percentile("score", F.array(F.lit(0.005), F.lit(0.25), F.lit(0.3333)))).first()[0]
+    assert quality.quantiles(scores, "score", [0.005, 0.25, 0.3333]) == pytest.approx(want, rel=1e-12)
+    assert quality.quantiles(scores.limit(0), "score", [0.5]) is None and quality.quantiles(scores.limit(1), "score", [0.5]) == [scores.first()[0]]
