@@ -18,11 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 
+#: Of so many kept records each is looked at; an index of more is worth its making.
+FEW = 16
+
+
 class Kept:
     """Kept records by what they state. A record has ``parts``, which fit where either side has
-    none (null) or both are equal, and ``bases``, of which one has to be the same. For each
-    set of parts that kept records state, and each subset that a new one states too, a table
-    from their values to the records is made when first asked for."""
+    none (null) or both are equal, and ``bases``, of which one has to be the same. Of more than
+    FEW, for each set of parts that kept records state, and each subset that a new one states
+    too, a table from their values to the records is made when first asked for."""
 
     def __init__(self):
         self._state: list[tuple[int, tuple, tuple]] = []
@@ -39,6 +43,16 @@ class Kept:
 
     def put(self, at: int, bases: tuple, parts: tuple) -> None:
         """A new record, or what a kept one has become."""
+        if len(self._state) < FEW or (at < FEW and not self._members):
+            self._state[at : at + 1] = [(None, bases, parts)]
+            return
+        if not self._members:  # one more than few: all are indexed from here on
+            few, self._state = self._state, []
+            for i, (_, *record) in enumerate(few):
+                self._put(i, *record)
+        self._put(at, bases, parts)
+
+    def _put(self, at: int, bases: tuple, parts: tuple) -> None:
         stated = self._stated(parts)
         if at == len(self._state):
             self._state.append((stated, bases, parts))
@@ -61,6 +75,8 @@ class Kept:
     def first(self, bases: tuple, choices: tuple, fits: Callable[[int], bool] | None = None) -> int | None:
         """The first kept record that fits: ``choices`` are each part's values that do (None: not
         stated), ``fits`` what else has to hold."""
+        if not self._members:
+            return self._first_of_few(bases, choices, fits)
         asked, best = self._stated(choices), None
         for stated, tables in self._tables.items():
             both = stated & asked
@@ -78,6 +94,16 @@ class Kept:
                         best = self._least(places, stated, both, base, chosen, best, fits)
         return best
 
+    def _first_of_few(self, bases: tuple, choices: tuple, fits: Callable[[int], bool] | None) -> int | None:
+        for at, (_, own, parts) in enumerate(self._state):
+            for part, chosen in zip(parts, choices):  # noqa: B905
+                if part is not None and chosen is not None and part not in chosen:
+                    break
+            else:
+                if any(base in own for base in bases) and (fits is None or fits(at)):
+                    return at
+        return None
+
     def _least(self, places: list[int], stated: int, both: int, base, chosen: tuple, best: int | None, fits) -> int | None:
         gone = []
         for at in places:
@@ -164,9 +190,19 @@ class Fuzzy:
         return at, ranks[wins]
 
 
+def _values(column: pa.Array) -> list:
+    """The column in Python; lists (of one length, none null) by way of all their elements."""
+    if not pa.types.is_list(column.type) or not len(column):
+        return column.to_pylist()
+    flat = column.flatten().to_pylist()
+    n = len(flat) // len(column)
+    return [flat[i : i + n] for i in range(0, len(flat), n)]
+
+
 def placed(rows: DataFrame, keys: dict[str, Column], fold: Callable[[], object], group: str, order: str) -> DataFrame:
     """Rows with kept_idx, the kept record each belongs to, and __rank, by which values of a
-    record come before others in it. ``keys`` is what the fold's place() is given."""
+    record come before others in it. ``keys`` is what the fold's place()
+    is given; arrays among them are of one length."""
     held = rows.withColumns(keys).repartition(group).sortWithinPartitions(group, order)
     names = list(keys)
 
@@ -174,7 +210,7 @@ def placed(rows: DataFrame, keys: dict[str, Column], fold: Callable[[], object],
         key, now = None, None
         for batch in batches:
             at, ranks = [], []
-            records = zip(*(batch.column(n).to_pylist() for n in names), strict=True)
+            records = zip(*(_values(batch.column(n)) for n in names), strict=True)
             for own, record in zip(batch.column(group).to_pylist(), records, strict=True):
                 if now is None or own != key:
                     key, now = own, fold()

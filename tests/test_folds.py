@@ -122,3 +122,21 @@ def test_one_large_document(spark):
     assert consensus.null_tolerant_merge(df, FIELDS[:6]).count() == n
     assert consensus.fuzzy_merge(df, FIELDS).count() <= n
     assert time.time() - began < 60
+
+
+def test_few_kept_records_need_no_index():
+    """Up to FEW kept records are looked through; the index of more finds the same."""
+    r = random.Random(4)
+    own = folds.NullTolerant()
+    for i in range(folds.FEW):
+        assert own.place(((f"a{i}", ""),))[0] == i
+    assert not own._kept._members
+    records = [(tuple(r.choice(("", "x", "y", "z", f"w{r.randrange(30)}")) for _ in range(4)),) for _ in range(400)]
+    few, fold = folds.FEW, folds.NullTolerant()
+    want = [fold.place(x) for x in records]
+    try:
+        for folds.FEW in (0, 1000):
+            again = folds.NullTolerant()
+            assert [again.place(x) for x in records] == want
+    finally:
+        folds.FEW = few
