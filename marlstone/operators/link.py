@@ -14,6 +14,8 @@ RANGED = ("temperature", "flow_rate", "injection_volume")
 KEY = ("critical_polymer_unit", "column_name", "manufacturer", "column_dimensions", "phase", "solvent")
 # Words that name a column by themselves.
 FAMILIAR = ("jordi", "discovery", "hs-peg", "nucleosil", "diol")
+#: Fields that repaired() may fill where conditions have none.
+INFERRED = ("column_name", "pore_size", "phase", *SOLVENT)
 VALUES = ("critical_polymer_unit", *STATIONARY, *SOLVENT, *TECHNICAL, *BEHAVIOR)
 
 
@@ -28,8 +30,14 @@ def keyed_merge(conditions: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
 
     One aggregation with partial sums: no record list is gathered but the snippets.
     """
+    return complete_columns(_keyed(conditions, key)).select("doc_id", "ord", *FIELDS, "context_snippets")
+
+
+def _keyed(conditions: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """keyed_merge() with the fields that ``conditions`` has."""
+    told = "context_snippet" in conditions.columns
     rows, given = conditions, [f for f in FIELDS if f in conditions.columns]  # the others are null
-    if "context_snippet" not in rows.columns:
+    if not told:
         rows = rows.withColumn("context_snippet", F.lit(None).cast("string"))
     names = [f"__k{i}" for i in range(len(key))]
     # one pass over an array, exploded as one element: worked out once, and no code of many rules
@@ -55,7 +63,8 @@ def keyed_merge(conditions: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
             out.append(F.expr(f"min_by(`{parsed}`.unit, CASE WHEN `{parsed}`.unit <> '' THEN ord END)").alias(f"{parsed}unit"))
     if "ratio_units" in given:
         out += [_first("ratio_units").alias("ratio_units"), F.expr("max_by(ratio_units, CASE WHEN contains(lower(ratio_units), 'wt%') THEN ord END)").alias("__weight")]
-    out.append(F.transform(F.sort_array(F.expr("collect_list(struct(ord, context_snippet)) FILTER (WHERE context_snippet <> '')")), lambda x: x["context_snippet"]).alias("context_snippets"))
+    if told:
+        out.append(F.transform(F.sort_array(F.expr("collect_list(struct(ord, context_snippet)) FILTER (WHERE context_snippet <> '')")), lambda x: x["context_snippet"]).alias("context_snippets"))
     merged = rows.groupBy("doc_id", *names, "__snippet").agg(*out)
     spans: dict[str, Column] = {}
     for f in ranged:
@@ -64,8 +73,10 @@ def keyed_merge(conditions: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
         spans[f] = F.when(F.col(f"{p}0").isNotNull() & F.col(f"{p}n"), span).otherwise(F.col(f))
     if "ratio_units" in given:
         spans["ratio_units"] = F.coalesce("__weight", "ratio_units")
-    merged = complete_columns(merged.withColumns(spans))
-    return merged.select("doc_id", F.col("first_ord").alias("ord"), *FIELDS, "context_snippets")
+    merged = merged.withColumns(spans)
+    if not told:
+        merged = merged.withColumn("context_snippets", F.array().cast("array<string>"))
+    return merged.select("doc_id", F.col("first_ord").alias("ord"), *given, "context_snippets")
 
 
 def with_ratio_of_solvent(conditions: DataFrame) -> DataFrame:
@@ -124,8 +135,11 @@ def linked(conditions: DataFrame, compat: bool = True, widen: bool = True, stric
     temperature and system also keep conditions apart."""
     key = (*KEY, "polymer_system", "ratio", "temperature") if strict_key else KEY
     needed = {f: F.lit(None).cast("string") for f in SOLVENT if f not in conditions.columns}
-    rows = keyed_merge(with_ratio_of_solvent(conditions.withColumns(needed)), key)
-    rows = repaired(rows, compat, widen)
-    if compat and not strict_key:
-        rows = rows.withColumn("polymer_system", F.lit(None).cast("string"))
-    return fuzzy_merge(rows, VALUES)
+    rows = repaired(complete_columns(_keyed(with_ratio_of_solvent(conditions.withColumns(needed)), key)), compat, widen)
+    # only what may have a value travels; the rest is null or empty in each row
+    fields = [f for f in FIELDS if (f in conditions.columns or f in INFERRED) and not (f == "polymer_system" and compat and not strict_key)]
+    snippets = ["context_snippets"] if "context_snippet" in conditions.columns else []
+    merged = fuzzy_merge(rows.select("doc_id", "ord", *fields, *snippets), tuple(f for f in VALUES if f in fields))
+    if not snippets:
+        merged = merged.withColumn("context_snippets", F.array().cast("array<string>"))
+    return complete_columns(merged).select("doc_id", "kept_idx", "ord", *FIELDS, "context_snippets")
