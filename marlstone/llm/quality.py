@@ -11,13 +11,18 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
+from marlstone.llm.common import stored
 from marlstone.operators.report import ranked
 
 BUCKETS = 1 << 14
+#: Rows of marks that are sent to all tasks at most; each stands for 64 neighbouring ids.
+SENT = 1_000_000
 WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -26,7 +31,7 @@ def words_of(text: Column) -> Column:
 
 
 def windows(words: Column, n: int = 5) -> Column:
-    """64-bit hashes of all n-word windows, in order."""
+    """64-bit hashes of all n-word windows, in order. Words may be given as hashes of their own."""
     inner = lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, n)])
     return F.transform(F.slice(words, 1, F.greatest(F.size(words) - (n - 1), F.lit(0))), inner)
 
@@ -61,13 +66,13 @@ def base_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), *source)
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.select("doc_id", "text", words_of(F.col("text")).alias("words"), lines.alias("lines"), *carried)
-    rows = rows.withColumn("hashes", windows(F.col("words")))
+    rows = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).withColumn("hashes", windows(F.col("hashes")))
     count = lambda c: c.cast("bigint")
     rows = rows.select(
         "doc_id",
         "words",
         count(F.size("words")).alias("n_words"),
-        count(F.length(F.translate("text", " \t\n\x0b\f\r", ""))).alias("word_chars"),
+        count(F.length(F.array_join("words", ""))).alias("word_chars"),
         count(F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).alias("n_symbols"),
         count(F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         repeat_words(F.col("hashes")).alias("n_repeat_words"),
@@ -83,10 +88,46 @@ def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return good.withColumn("calibrates", F.pmod(F.xxhash64("doc_id", F.lit("trusted")), F.lit(2)) == 1)
 
 
+def _place(row_id: Column, whole: bool) -> tuple[Column, Column]:
+    """Where an id's mark is: the row of 64 neighbouring whole numbers, and its bit there. Other
+    ids have a row each."""
+    if not whole:
+        return row_id, F.lit(1).cast("bigint")
+    number = row_id.cast("bigint")
+    return F.shiftright(number, 6), F.call_function("shiftleft", F.lit(1).cast("bigint"), number.bitwiseAND(F.lit(63)).cast("int"))
+
+
+class Marks:
+    """Which ids are trusted, two bits an id, so that a text need not be shuffled to learn it.
+    More than ``sent`` rows of them are met by a shuffled join instead."""
+
+    def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", sent: int = SENT):
+        trusted = trusted_ids(labels)
+        kinds = [docs.select(F.col(f"`{id_col}`")).schema[0].dataType, trusted.schema["doc_id"].dataType]
+        self.whole = all(isinstance(k, IntegralType) for k in kinds)
+        part, bit = _place(F.col("doc_id"), self.whole)
+        bits = lambda which: F.coalesce(F.bit_or(F.when(which, bit)), F.lit(0))
+        rows = trusted.groupBy(part.alias("__part")).agg(bits(~F.col("calibrates")).alias("__target"), bits(F.col("calibrates")).alias("__held"))
+        self.rows, _ = stored(docs.sparkSession, rows, "marks")
+        self.few = self.rows.count() <= sent
+
+    def on(self, rows: DataFrame) -> DataFrame:
+        """``rows``, which have doc_id, with the booleans target and held."""
+        part, bit = _place(F.col("doc_id"), self.whole)
+        marks = F.broadcast(self.rows) if self.few else self.rows
+        found = lambda c: F.coalesce(F.col(c).bitwiseAND(bit) != 0, F.lit(False))
+        return rows.withColumn("__part", part).join(marks, "__part", "left").select(*rows.columns, found("__target").alias("target"), found("__held").alias("held"))
+
+    def held(self, rows: DataFrame, score: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """The scores of held rows. Where marks are met by a shuffle, it has scores in it, not texts."""
+        return score(self.on(rows).where("held")) if self.few else self.on(score(rows)).where("held")
+
+
 def quantiles(rows: DataFrame, column: str, shares: list[float]) -> list[float] | None:
     """Exact quantiles, between two values by their distance; None without rows. The rows are
-    sorted by ranges and numbered, and only those at the places asked for are collected."""
-    placed = ranked(rows.select(F.col(column).alias("__v")), F.asc("__v"))
+    sorted by ranges and numbered, and only those at the places asked for are collected. Rows
+    of one value are told apart by their other columns, so that copies spread over the ranges."""
+    placed = ranked(rows.select(F.col(column).alias("__v"), F.xxhash64(*rows.columns).alias("__tie")), F.asc("__v"), F.asc("__tie"))
     n = placed.count()
     if not n:
         return None
@@ -97,18 +138,18 @@ def quantiles(rows: DataFrame, column: str, shares: list[float]) -> list[float]
     return [v + (value[math.ceil(x) + 1] - v) * (x - math.floor(x)) for x, v in zip(at, low, strict=True)]
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, quantile: float = 0.005, slack: float = 1.0) -> tuple[list[float], float]:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, quantile: float = 0.005, slack: float = 1.0, sent: int = SENT) -> tuple[list[float], float]:
     """(weights, threshold). The raw counts cover all documents, the target's all labelled ones
-    of good quality that don't calibrate. How their ids meet the texts is left to Spark, which
-    broadcasts few and shuffles many. The weights are one number per bucket. The threshold is the ``quantile`` of the scores of
+    of good quality that don't calibrate. Ids of good quality meet the texts as marks (see
+    Marks). The weights are one number per bucket. The threshold is the ``quantile`` of the scores of
     trusted documents outside the target, less ``slack`` times their interquartile range, so
     that the room below follows the spread of clean scores; without such documents nothing is
     rejected (minus infinity)."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
-    trusted = trusted_ids(labels)
-    rows = rows.join(trusted, "doc_id", "left").withColumn("words", words_of(F.col("text")))
-    grams = rows.select((F.col("calibrates") == F.lit(False)).alias("target"), F.explode(features(F.col("words"), buckets)).alias("bucket"))
+    marks = Marks(docs, labels, id_col, sent)
+    marked = marks.on(rows).withColumn("words", words_of(F.col("text")))
+    grams = marked.select("target", F.explode(features(F.col("words"), buckets)).alias("bucket"))
     raw, target = [0] * buckets, [0] * buckets
     for bucket, n, m in grams.groupBy("bucket").agg(F.count("*"), F.count_if("target")).collect():  # at most `buckets` rows
         raw[bucket], target[bucket] = n, m
@@ -119,9 +160,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     total = sum(raw) + buckets
     share = [(n + 1) / total for n in raw]
     weights = [math.log((m + prior * p) / ((sum(target) + prior) * p)) for m, p in zip(target, share, strict=True)]
-    held = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text")).join(trusted.where("calibrates"), "doc_id").select(words_of(F.col("text")).alias("words"))
-    score = held.where(F.size("words") > 0).select(ratio(F.col("words"), weights).alias("score"))
-    cut = quantiles(score, "score", [quantile, 0.25, 0.75])
+    held = marks.held(rows, lambda r: r.select("doc_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0).select("doc_id", ratio(F.col("words"), weights).alias("score")))
+    scores, _ = stored(docs.sparkSession, held.select("doc_id", "score"), "scores")  # sorting by ranges reads them twice
+    cut = quantiles(scores, "score", [quantile, 0.25, 0.75])
     return weights, -math.inf if cut is None else cut[0] - slack * (cut[2] - cut[1])
 
 

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import struct
@@ -695,3 +696,29 @@ def test_quality_trusts_every_label(spark):
     want = scores.agg(F.percentile("score", F.array(F.lit(0.005), F.lit(0.25), F.lit(0.3333)))).first()[0]
     assert quality.quantiles(scores, "score", [0.005, 0.25, 0.3333]) == pytest.approx(want, rel=1e-12)
     assert quality.quantiles(scores.limit(0), "score", [0.5]) is None and quality.quantiles(scores.limit(1), "score", [0.5]) == [scores.first()[0]]
+
+
+def test_quality_marks_do_not_shuffle_texts(spark):
+    """Ids of good quality meet the texts as bits in a broadcast, however Spark's own limit for
+    broadcasts stands; beyond the operator's limit they meet in a shuffle and nothing changes."""
+    own = random.Random(5)
+    ids = [None, 0, 1, 63, 64, -1, -64, -65, (1 << 63) - 1, -(1 << 63), *range(1000, 1400)]
+    rows = [(i, " ".join(own.choice(("sun", "sea", "tree", "bird")) + own.choice("abcdefg") for _ in range(30))) for i in ids]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(own.random() < 0.7)) for i in ids if own.random() < 0.8], "doc_id bigint, quality int")
+    trusted = {r.doc_id: r.calibrates for r in quality.trusted_ids(labels).collect()}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for sent in (quality.SENT, 0):
+            marked = quality.Marks(df, labels, sent=sent).on(df)
+            got = {r.doc_id: (r.target, r.held) for r in marked.collect()}
+            assert got == {i: (trusted.get(i) is False, trusted.get(i) is True) for i in ids}
+            assert ("SortMergeJoin" in marked._jdf.queryExecution().executedPlan().toString()) == (sent == 0)
+        few, many = quality.fit(df, labels, buckets=64), quality.fit(df, labels, buckets=64, sent=0)
+        assert few == many and few[1] > -math.inf
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    named = df.where("doc_id IS NOT NULL").select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "text")
+    marked = quality.Marks(named, labels.select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "quality")).on(named)
+    assert {r.doc_id for r in marked.where("target OR held").collect()} == {f"d{i}" for i in trusted}
