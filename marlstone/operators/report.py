@@ -55,16 +55,20 @@ def table_rows(conditions: DataFrame, groups: Column | None = None) -> DataFrame
 
 def conditions_table(rows: DataFrame) -> DataFrame:
     """One row per document and key: the first non-empty value of each column, different
-    purposes put together with '; '. The values are aggregated; only a key's distinct
-    purposes are gathered."""
+    purposes put together with '; '. Rows are dealt out by document and key once, which serves
+    both aggregations: by purpose, so that only a key's distinct purposes are gathered, and by
+    key. Rows without a document have no purpose."""
     others = [c for c in COLUMNS if c not in (*KEY, "purpose")]
-    first = [F.expr(f"coalesce(min_by(`{c}`, ord) FILTER (WHERE `{c}` <> ''), '')").alias(c) for c in others]
-    told = F.expr("collect_list(struct(o, purpose))")
-    once = rows.groupBy("doc_id", *KEY, "purpose").agg(F.min("ord").alias("o")).where("purpose <> ''").groupBy("doc_id", *KEY).agg(F.sort_array(told).alias("ps"))
+    first = [F.expr(f"min(struct(ord, `{c}`)) FILTER (WHERE `{c}` <> '' AND ord IS NOT NULL)").alias(c) for c in others]
+    # a hash of its own stays a column where parts of the key are constants, which Spark would
+    # put in for the columns above the shuffle and then shuffle again
+    dealt = rows.select("doc_id", "ord", *COLUMNS, F.xxhash64(*KEY).alias("__key")).repartition("doc_id", "__key")
+    once = dealt.groupBy("doc_id", "__key", *KEY, "purpose").agg(F.min("ord").alias("ord"), *first)
+    told = F.expr("sort_array(collect_list(struct(ord, purpose)) FILTER (WHERE purpose <> '' AND doc_id IS NOT NULL))").alias("ps")
+    base = once.groupBy("doc_id", "__key", *KEY).agg(F.min("ord").alias("ord"), told, *[F.min(c)[c].alias(c) for c in others])
     joined = F.aggregate("ps", F.lit(""), lambda acc, p: F.when(acc == "", p["purpose"]).when(F.contains(acc, p["purpose"]), acc).otherwise(F.concat(acc, F.lit("; "), p["purpose"])))
-    base = rows.groupBy("doc_id", *KEY).agg(F.min("ord").alias("ord"), *first)
-    out = base.join(once.select("doc_id", *KEY, joined.alias("purpose")), ["doc_id", *KEY], "left")
-    return out.select("doc_id", "ord", *[F.coalesce("purpose", F.lit("")).alias("purpose") if c == "purpose" else F.col(c) for c in COLUMNS])
+    values = {"purpose": joined} | {c: F.coalesce(c, F.lit("")) for c in others}
+    return base.select("doc_id", "ord", *[values[c].alias(c) if c in values else F.col(c) for c in COLUMNS])
 
 
 def names_table(counts: DataFrame) -> DataFrame:

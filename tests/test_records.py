@@ -368,3 +368,19 @@ def test_evidence(spark):
 def test_everything_is_covered():
     fields = list(itertools.chain(records.TOP, *records.GROUPS.values()))
     assert len(set(fields)) == len(records.FIELDS) == 22
+
+
+def test_conditions_table_deals_rows_out_once(spark):
+    """One shuffle serves the purposes and the other columns; null ords and documents as before."""
+    blank = dict.fromkeys(report.COLUMNS, "")
+    told = [(1, 3, "m", "goal", ""), (1, 1, "m", "second goal", ""), (1, 2, "m", "goal", "20 C"), (1, 4, "m", "", "30 C"), (1, 5, "m", "last", "10 C"), (1, 6, "n", "", ""), (None, 1, "m", "goal", "5 C"), (2, None, "m", "goal", "5 C")]
+    rows = [(d, o, *(blank | {"manufacturer": m, "purpose": p, "temperature": t}).values()) for d, o, m, p, t in told]
+    df = spark.createDataFrame(rows, "doc_id bigint, ord int, " + ", ".join(f"{c} string" for c in report.COLUMNS))
+    table = report.conditions_table(df)
+    got = {(r.doc_id, r.manufacturer): (r.ord, r.purpose, r.temperature) for r in table.collect()}
+    assert got == {(1, "m"): (1, "second goal; last", "20 C"), (1, "n"): (6, "", ""), (None, "m"): (1, "", "5 C"), (2, "m"): (None, "goal", "")}
+    constant = report.conditions_table(df.withColumns({"phase": F.lit(""), "ratio_units": F.lit("")}))
+    for t in (table, constant):
+        assert t._jdf.queryExecution().sparkPlan().toString().count("Join") == 0
+        t.collect()
+        assert t._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
