@@ -306,6 +306,27 @@ def test_sentencepiece_long_runs(spark):
     assert all(got[i] == library.encode(t) for i, t in enumerate(texts)) and time.monotonic() - began < 60
 
 
+def test_sentencepiece_spots():
+    """Every piece in a unit is exploded and little else; units are the pattern's."""
+    model = sentencepiece_lattice.Model.load(public_tokenizers.path("piece_bpe_32k.model"))
+    own, pieces, longest = random.Random(5), set(model.joined()), model.longest()
+    signs = "thereingtionabcdefghxyz" * 2 + "THEREé漢字😀ßΩ._-=²³¹½١7 12  \n\t▁\u0301\xa0"
+    texts = [None, "", " ", "▁", "a  ", "  a", *("".join(own.choice(signs) for _ in range(own.randrange(80))) for _ in range(3000))]
+    found, counts = sentencepiece_lattice.units_of(texts)
+    want = [sentencepiece_lattice.UNIT.findall("▁" + t.replace(" ", "▁")) if t else [] for t in texts]
+    assert counts.tolist() == list(map(len, want)) and [u.replace(" ", "▁") for u in found.to_pylist()] == [u for w in want for u in w]
+    units = ["", *sorted({u for w in want for u in w}), "", *(p * 2 for p in sorted(pieces)[::50]), ""]
+    listed = sentencepiece_lattice.Spots(model.joined()).of(units).to_pylist()
+    more = every = 0
+    for unit, spots in zip(units, listed, strict=True):
+        got = [(x >> 20, x & (1 << 20) - 1) for x in spots]
+        all_of = {(s, k) for s in range(len(unit)) for k in range(2, min(longest, len(unit) - s) + 1)}
+        edges = {(s, k) for s, k in all_of if unit[s : s + k] in pieces}
+        assert got[0] == (0, 0) and len(set(got)) == len(got) and edges <= set(got) and all(s + k <= len(unit) for s, k in got)
+        more, every = more + len(got) - 1 - len(edges), every + len(all_of) - len(edges)
+    assert more < 0.1 * every
+
+
 def test_sentencepiece_viterbi(spark):
     scores = {"▁a": -1.0, "▁ab": -1.5, "b": -1.2, "bc": -0.5, "c": -2.0, "▁": -3.0, "a": -2.5}
     model = sentencepiece_lattice.Model(tuple((p, s, i) for i, (p, s) in enumerate(scores.items())), -1, 99, merges=False)
