@@ -57,8 +57,8 @@ def _keyed(conditions: DataFrame, key: tuple[str, ...]) -> DataFrame:
     for f in ranged:
         parsed = f"__{f}"
         out += [_first(f).alias(f), F.expr(f"min_by(`{parsed}`, CASE WHEN `{f}` <> '' THEN ord END)").alias(f"{parsed}0"), F.min(f"{parsed}.lo").alias(f"{parsed}lo"), F.max(f"{parsed}.hi").alias(f"{parsed}hi")]
-        told = f"CASE WHEN `{parsed}` IS NOT NULL THEN `{f}` END"  # different ones: cheaper than counting them
-        out.append(F.expr(f"min({told}) <> max({told})").alias(f"{parsed}n"))
+        parses = f"CASE WHEN `{parsed}` IS NOT NULL THEN `{f}` END"  # different ones: cheaper than counting them
+        out.append(F.expr(f"min({parses}) <> max({parses})").alias(f"{parsed}n"))
         if f != "ratio":
             out.append(F.expr(f"min_by(`{parsed}`.unit, CASE WHEN `{parsed}`.unit <> '' THEN ord END)").alias(f"{parsed}unit"))
     if "ratio_units" in given:
@@ -132,10 +132,13 @@ def repaired(rows: DataFrame, compat: bool = True, widen: bool = True) -> DataFr
 
 def linked(conditions: DataFrame, compat: bool = True, widen: bool = True, strict_key: bool = False) -> DataFrame:
     """Merge by key, repair, merge what is nearly the same. With ``strict_key`` ratio,
-    temperature and system also keep conditions apart."""
+    temperature and system also keep conditions apart. Records are dealt out by document as
+    they are given, for both merges: before the normal forms and partial sums of the first,
+    which take three times the room on disk."""
     key = (*KEY, "polymer_system", "ratio", "temperature") if strict_key else KEY
     needed = {f: F.lit(None).cast("string") for f in SOLVENT if f not in conditions.columns}
-    rows = repaired(complete_columns(_keyed(with_ratio_of_solvent(conditions.withColumns(needed)), key)), compat, widen)
+    dealt = conditions.repartition("doc_id").withColumns(needed)
+    rows = repaired(complete_columns(_keyed(with_ratio_of_solvent(dealt), key)), compat, widen)
     # only what may have a value travels; the rest is null or empty in each row
     fields = [f for f in FIELDS if (f in conditions.columns or f in INFERRED) and not (f == "polymer_system" and compat and not strict_key)]
     snippets = ["context_snippets"] if "context_snippet" in conditions.columns else []

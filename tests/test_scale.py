@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from marlstone.operators import mentions, report, terms
+from marlstone.operators import link, mentions, report, terms
 from marlstone.operators.membership import Bloom
 from marlstone.plans import lineage
 
@@ -84,3 +84,17 @@ def test_counts_come_with_jobs(spark):
     found = counts.table(spark)
     assert jobs() == before
     assert found.first().asDict() == {"all": 1000, "third": 334, "none": 0} and empty.count() == 0
+
+
+def test_linked_records_are_dealt_out_once(spark):
+    """One shuffle by document serves both merges, one more puts values together; without
+    snippets none are gathered."""
+    fields = "critical_polymer_unit string, column_name string, manufacturer string, solvent string, ratio string, temperature string"
+    rows = [(d, o, "PEG", f"C{d % 3}", None, "acetone / water", str(40 + 9 * o), "25 C") for d in range(20) for o in range(3)]
+    df = spark.createDataFrame(rows, f"doc_id long, ord int, {fields}")
+    found = link.linked(df)
+    plan = plan_of(found)
+    assert plan.count("Exchange hashpartitioning") == 2 and "collect_list" not in plan
+    assert [(x.doc_id, x.ord, x.ratio, x.context_snippets) for x in found.orderBy("doc_id").collect()] == [(d, 0, "40-58", []) for d in range(20)]
+    told = link.linked(df.withColumn("context_snippet", F.concat(F.lit("told by "), "ord")))
+    assert {tuple(x.context_snippets) for x in told.collect()} == {("told by 0", "told by 1", "told by 2")}
