@@ -40,22 +40,22 @@ def within_budget(scored: DataFrame, budget: int, keys: tuple[str, ...] = ("doc_
     return scored.withColumn("taken", taken).where(F.col("taken") < budget).drop("taken")
 
 
-def _joined(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def _joined(rows: DataFrame, keys: tuple[str, ...], apart: bool) -> DataFrame:
     order = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "para_idx", "para")))
-    return rows.groupBy(*keys).agg(T.sanitized(F.array_join(F.transform(order, lambda x: x["para"]), "\n\n")).alias("evidence"))
+    return rows.groupBy(*keys).agg(T.sanitized(F.array_join(F.transform(order, lambda x: x["para"]), "\n\n"), apart).alias("evidence"))
 
 
-def global_rows(paras: DataFrame, vocabulary: Vocabulary, budget: int = 12_000, fallback: int = 6) -> DataFrame:
+def global_rows(paras: DataFrame, vocabulary: Vocabulary, budget: int = 12_000, fallback: int = 6, apart: bool = False) -> DataFrame:
     """(doc_id, para_idx, score, para): the scoring paragraphs of each document under the
     budget; of a document without any, the first ``fallback`` ones."""
-    scored = paras.withColumn("score", segment.score(F.col("para"), vocabulary))
+    scored = paras.withColumn("score", segment.score(F.col("para"), vocabulary, apart))
     some = F.max(F.col("score") > 0).over(W.partitionBy("doc_id"))
     usable = scored.withColumn("some", some).where((F.col("score") > 0) | (~F.col("some") & (F.col("para_idx") < fallback)))
     return within_budget(usable.drop("some"), budget).select("doc_id", "para_idx", "score", "para")
 
 
-def global_evidence(paras: DataFrame, vocabulary: Vocabulary, budget: int = 12_000) -> DataFrame:
-    return _joined(global_rows(paras, vocabulary, budget), ("doc_id",))
+def global_evidence(paras: DataFrame, vocabulary: Vocabulary, budget: int = 12_000, apart: bool = False) -> DataFrame:
+    return _joined(global_rows(paras, vocabulary, budget, apart=apart), ("doc_id",), apart)
 
 
 def column_evidence(paras: DataFrame, columns: DataFrame, vocabulary: Vocabulary, window: int = 0, stop: tuple[str, ...] = STOP_TOKENS) -> DataFrame:
@@ -83,22 +83,22 @@ def column_evidence(paras: DataFrame, columns: DataFrame, vocabulary: Vocabulary
     return found.select("doc_id", "col_idx", "para_idx")
 
 
-def technical_paragraphs(paras: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    return paras.where(has_any(F.lower(T.normalize(F.col("para"))), vocabulary.technical))
+def technical_paragraphs(paras: DataFrame, vocabulary: Vocabulary, apart: bool = False) -> DataFrame:
+    return paras.where(has_any(F.lower(T.normalize(F.col("para"), apart=apart)), vocabulary.technical))
 
 
-def evidence_text(evidence: DataFrame, technical: DataFrame, vocabulary: Vocabulary, max_chars: int = 6000) -> DataFrame:
+def evidence_text(evidence: DataFrame, technical: DataFrame, vocabulary: Vocabulary, max_chars: int = 6000, apart: bool = False) -> DataFrame:
     """(doc_id, col_idx, evidence): a column's paragraphs, best first, then the document's
     technical ones; equal normalised texts once; cut at ``max_chars``."""
-    norm = evidence.withColumn("norm", T.normalize(F.col("para")))
+    norm = evidence.withColumn("norm", T.normalize(F.col("para"), apart=apart))
     low = F.lower("norm")
     worth = F.when(has_any(low, vocabulary.critical), 3).otherwise(0) + F.when(has_any(low, vocabulary.solvents), 1).otherwise(0)
     first = norm.select("doc_id", "col_idx", F.lit(0).alias("part"), (-worth).alias("s"), "para_idx", "para", "norm")
-    more = evidence.select("doc_id", "col_idx").distinct().join(technical, "doc_id").select("doc_id", "col_idx", F.lit(1).alias("part"), F.lit(0).alias("s"), "para_idx", "para", T.normalize(F.col("para")).alias("norm"))
+    more = evidence.select("doc_id", "col_idx").distinct().join(technical, "doc_id").select("doc_id", "col_idx", F.lit(1).alias("part"), F.lit(0).alias("s"), "para_idx", "para", T.normalize(F.col("para"), apart=apart).alias("norm"))
     once = W.partitionBy("doc_id", "col_idx", "norm").orderBy("part", "para_idx")
     rows = first.unionByName(more).where("norm <> ''").withColumn("r", F.row_number().over(once)).where("r = 1")
     order = F.sort_array(F.collect_list(F.struct("part", "s", "para_idx", "para")))
-    return rows.groupBy("doc_id", "col_idx").agg(T.sanitized(F.substring(F.array_join(F.transform(order, lambda x: x["para"]), "\n\n"), 1, max_chars)).alias("evidence"))
+    return rows.groupBy("doc_id", "col_idx").agg(T.sanitized(F.substring(F.array_join(F.transform(order, lambda x: x["para"]), "\n\n"), 1, max_chars), apart).alias("evidence"))
 
 
 def condition_tokens(values: Column) -> Column:
@@ -107,13 +107,13 @@ def condition_tokens(values: Column) -> Column:
     return F.array_distinct(F.filter(parts, lambda t: F.length(t) >= 3))
 
 
-def condition_evidence(conditions: DataFrame, paras: DataFrame, vocabulary: Vocabulary, budget: int = 6000) -> DataFrame:
+def condition_evidence(conditions: DataFrame, paras: DataFrame, vocabulary: Vocabulary, budget: int = 6000, apart: bool = False) -> DataFrame:
     """(doc_id, ord, evidence) for conditions (doc_id, ord, tokens)."""
-    t = F.lower(T.normalize(F.col("para")))
+    t = F.lower(T.normalize(F.col("para"), apart=apart))
     texts = paras.withColumn("t", t)
     own = F.when(F.exists("tokens", lambda k: F.contains(F.col("t"), k)), 2).otherwise(0)
     rest = F.when(has_any(F.col("t"), vocabulary.critical), 2).otherwise(0) + F.when(has_any(F.col("t"), vocabulary.solvents), 1).otherwise(0)
     rest = rest + F.when(F.col("t").rlike(r"\b\d+(?:\.\d+)?\s*(wt%|w/w|v/v|vol%|%)\b"), 1).otherwise(0)
     scored = conditions.where(F.size("tokens") > 0).select("doc_id", "ord", "tokens").join(texts, "doc_id").withColumn("score", own + rest).where("score > 0")
     keys = ("doc_id", "ord")
-    return _joined(within_budget(scored.select(*keys, "score", "para_idx", "para"), budget, keys), keys)
+    return _joined(within_budget(scored.select(*keys, "score", "para_idx", "para"), budget, keys), keys, apart)

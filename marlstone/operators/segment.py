@@ -27,10 +27,10 @@ def relevant(para: Column, vocabulary: Vocabulary) -> Column:
     return has_any(F.lower(F.coalesce(para, F.lit(""))), vocabulary.relevant)
 
 
-def score(para: Column, v: Vocabulary) -> Column:
+def score(para: Column, v: Vocabulary, apart: bool = False) -> Column:
     """0 to 13: what a paragraph says about conditions."""
     # a one-element array binds the normalised text to a name, so that it is worked out once
-    return F.get(F.transform(F.array(F.lower(T.normalize(para))), lambda t: _points(t, v)), 0)
+    return F.get(F.transform(F.array(F.lower(T.normalize(para, apart=apart))), lambda t: _points(t, v)), 0)
 
 
 def _points(t: Column, v: Vocabulary) -> Column:
@@ -64,7 +64,7 @@ def windows(paras: DataFrame, vocabulary: Vocabulary, around: int = 2) -> DataFr
     return islands.groupBy("doc_id", "window").agg(F.min("s").alias("start"), F.max("e").alias("end"))
 
 
-def chunks(paras: DataFrame, vocabulary: Vocabulary, max_chars: int = 6000, around: int = 2, overlap: int = 1) -> DataFrame:
+def chunks(paras: DataFrame, vocabulary: Vocabulary, max_chars: int = 6000, around: int = 2, overlap: int = 1, apart: bool = False) -> DataFrame:
     """(doc_id, chunk_id, para_start, para_end, raw_text, llm_text): each window packed into
     chunks of at most ``max_chars`` (a single longer paragraph is cut), the next starting
     ``overlap`` paragraphs before the last one's end; irrelevant chunks go, ids count the
@@ -91,7 +91,7 @@ def chunks(paras: DataFrame, vocabulary: Vocabulary, max_chars: int = 6000, arou
     made = grouped.select("doc_id", "window", "start", "ps", F.posexplode(packed).alias("k", "c"))
     raw = F.substring(F.array_join(F.slice("ps", F.col("c.a") + 1, F.col("c.b") - F.col("c.a")), "\n\n"), 1, limit)
     made = made.select("doc_id", "window", "k", (F.col("start") + F.col("c.a")).alias("para_start"), (F.col("start") + F.col("c.b") - 1).alias("para_end"), raw.alias("raw_text"))
-    kept = made.withColumn("llm_text", T.sanitized(F.col("raw_text"))).where((F.col("llm_text") != "") & relevant(F.col("llm_text"), vocabulary))
+    kept = made.withColumn("llm_text", T.sanitized(F.col("raw_text"), apart)).where((F.col("llm_text") != "") & relevant(F.col("llm_text"), vocabulary))
     return kept.select("doc_id", F.row_number().over(W.partitionBy("doc_id").orderBy("window", "k")).alias("chunk_id"), "para_start", "para_end", "raw_text", "llm_text")
 
 
